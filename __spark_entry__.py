@@ -193,13 +193,16 @@ def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return th.with_page_number(lineitem, KEYS["lineitem"], PAGE, RANGES)
 
 
+def _hot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hot = F.when(F.col("l_returnflag") == "A", F.lit(-1)).otherwise(F.col("l_orderkey"))
+    return _table(spark, sf_dir, "lineitem").select(hot.alias("hot_key"), *KEYS["lineitem"])
+
+
 def row_numbers_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the rows share the leading key; later key columns split them."""
-    lineitem = _table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_returnflag") == "A", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
-        *KEYS["lineitem"],
+    return th.with_row_number(
+        _hot_lineitem(spark, sf_dir), ["hot_key", *KEYS["lineitem"]], RANGES, even_floor=0
     )
-    return th.with_row_number(lineitem, ["hot_key", *KEYS["lineitem"]], RANGES, even_floor=0)
 
 
 # profiles and plans
@@ -251,6 +254,20 @@ def balanced_range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def predicates_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows share the leading key: every row meets one predicate, shares stay even."""
+    rows = _hot_lineitem(spark, sf_dir)
+    keys = ["hot_key", *KEYS["lineitem"]]
+    predicates = th.plan_key_predicates(rows, keys, RANGES)
+    hits = [F.expr(p).cast("int") for p in predicates]
+    counted = rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(reduce(lambda a, b: a + b, hits)).alias("hits"),
+        F.greatest(*[F.sum(h) for h in hits]).alias("heaviest"),
+    )
+    return counted.select("n", "hits", (F.col("heaviest") * RANGES < F.col("n") * 2).alias("even"))
+
+
 # catalogs and strategies
 
 
@@ -403,7 +420,7 @@ _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_text_blobs,
     extract_nested, extract_uneven_key, extract_stats, source_view_sql, page_slice, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
-    balanced_range_counts, resolve_columns, detect_keys, table_strategies, coerce_numeric, coerce_text,
+    balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, table_strategies, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
     compact_files, reconcile_clean, reconcile_faulty,
 )
@@ -556,6 +573,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST({RANGES} AS BIGINT) AS n_ranges, CAST(count(*) AS BIGINT) AS rows_covered,
                    min(o_orderkey * o_orderkey) AS first_key, max(o_orderkey * o_orderkey) AS last_key, true AS even
             FROM orders""",
+        "predicates_hot_key": "SELECT count(*) AS n, count(*) AS hits, true AS even FROM lineitem",
         "resolve_columns": f"""
             SELECT c.relation_name, c.position, c.column_name, c.type_code, c.target_type, c.is_text_blob,
                    m.n, m.null_ratio

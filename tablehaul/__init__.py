@@ -1,16 +1,30 @@
 """Extract relational tables to Parquet in parallel, each row exactly once."""
 
 from tablehaul.functions.coerce import coerce_column, coerce_table
-from tablehaul.operators.extract import ExtractStats, extract_stats, run_extract, run_extracts
+from tablehaul.operators.extract import (
+    ExtractStats,
+    extract_stats,
+    run_extract,
+    run_extract_jdbc,
+    run_extracts,
+)
 from tablehaul.operators.paging import page, read_in_key_order, with_page_number, with_row_number
 from tablehaul.operators.reconcile import key_balance, reconcile
-from tablehaul.plans.catalog import Catalog, describe_tables, detect_keys, resolve_columns, text_blob_tables
+from tablehaul.plans.catalog import (
+    Catalog,
+    describe_tables,
+    detect_keys,
+    mark_text_blobs,
+    resolve_columns,
+    text_blob_tables,
+)
 from tablehaul.plans.profile import KeyProfile, column_stats, profile_frame, profile_key
 from tablehaul.plans.ranges import (
     KeyRange,
     assign_range,
     plan_balanced_ranges,
     plan_chunks,
+    plan_key_predicates,
     plan_ranges,
     range_counts,
     range_id,

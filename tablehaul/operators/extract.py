@@ -12,20 +12,24 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablehaul.functions.coerce import coerce_table
 from tablehaul.operators.reconcile import reconcile
+from tablehaul.plans.catalog import has_text_blob as marked_text_blob
 from tablehaul.plans.profile import profile_key
-from tablehaul.plans.strategy import (
-    EMPTY,
-    KEY_ORDER,
-    LEADING_KEY,
-    SINGLE_KEY,
-    UNKEYED,
-    partitions_for,
-    rows_per_file,
-    strategy_of,
+from tablehaul.plans.ranges import plan_key_predicates
+from tablehaul.plans.strategy import EMPTY, UNKEYED, rows_per_file, strategy_of
+from tablehaul.sources.files import exists, replace_dir, total_bytes
+from tablehaul.sources.jdbc import (
+    DEFAULT_CONNECTIONS,
+    profile_jdbc,
+    read_jdbc_all,
+    read_jdbc_by_key_range,
 )
-from tablehaul.sources.files import exists, replace_dir, source_bytes, total_bytes
 from tablehaul.sources.parquet import write_extract
-from tablehaul.sources.tables import EVEN_ENOUGH_ROWS, EVEN_ENOUGH_TEXTS, read_by_key_range
+from tablehaul.sources.tables import (
+    EVEN_ENOUGH_ROWS,
+    EVEN_ENOUGH_TEXTS,
+    default_partitions,
+    read_by_key_range,
+)
 
 SINGLE_FILE_ROWS = 10_000_000
 
@@ -47,6 +51,43 @@ STATS_SCHEMA = (
 )
 
 
+def _final_path(spark: SparkSession, out_dir: str, table: str, overwrite: bool) -> str:
+    final = f"{out_dir.rstrip('/')}/{table.lower()}.parquet"
+    if not overwrite and exists(spark, final):
+        raise FileExistsError(final)
+    return final
+
+
+def _nothing(table: str, started: float) -> ExtractStats:
+    return ExtractStats(table, EMPTY, 0, time.monotonic() - started, 0.0, 0.0, None)
+
+
+def _store(
+    rows: DataFrame,
+    final: str,
+    compress: bool,
+    file_rows: int | None,
+    expected: int | None,
+    verify: Callable[[DataFrame], None] | None = None,
+) -> tuple[int, float]:
+    """Write beside ``final``, check, then move; returns rows and megabytes."""
+    spark = rows.sparkSession
+    folder, _, name = final.rpartition("/")
+    unfinished = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    counted = Observation(f"extract-{uuid.uuid4().hex}")
+    write_extract(rows.observe(counted, F.count(F.lit(1)).alias("rows")), unfinished, compress, file_rows)
+    written = counted.get["rows"]
+    back = spark.read.schema(rows.schema).parquet(unfinished)
+    stored = back.count()
+    if written != stored or expected not in (None, stored):
+        raise RuntimeError(f"{final}: {expected} rows in source, {written} written, {stored} stored")
+    if verify:
+        verify(back)
+    megabytes = total_bytes(spark, unfinished) / 2**20
+    replace_dir(spark, unfinished, final)
+    return written, megabytes
+
+
 def run_extract(
     source: DataFrame,
     table: str,
@@ -56,7 +97,7 @@ def run_extract(
     strategy: str | None = None,
     declared_schema: Mapping[str, str] | None = None,
     charset: str | None = None,
-    has_text_blob: bool = False,
+    has_text_blob: bool | None = None,
     compress: bool = False,
     single_file: bool = False,
     overwrite: bool = False,
@@ -69,26 +110,25 @@ def run_extract(
     hold as many rows as the source, and then the folder is moved. Any failure
     raises and leaves an earlier extract as it was. An empty table writes nothing.
     ``strategy='unkeyed'`` skips the shuffle where key order is not wanted.
-    ``check_keys`` also reconciles every key before the move.
+    ``check_keys`` also reconciles every key before the move. Without
+    ``has_text_blob`` the mark in the source's schema decides.
     """
     started = time.monotonic()
-    spark = source.sparkSession
-    final = f"{out_dir.rstrip('/')}/{table.lower()}.parquet"
-    if not overwrite and exists(spark, final):
-        raise FileExistsError(final)
-
+    final = _final_path(source.sparkSession, out_dir, table, overwrite)
     wanted = [] if strategy == UNKEYED else list(keys)
+    if has_text_blob is None:
+        has_text_blob = marked_text_blob(source)
+
     profile = profile_key(source, wanted)
     chosen = strategy_of(profile.rows, len(wanted), strategy)
     if chosen == EMPTY:
-        return ExtractStats(table, chosen, 0, time.monotonic() - started, 0.0, 0.0, None)
+        return _nothing(table, started)
     if chosen != UNKEYED and not wanted:
         raise ValueError(f"strategy {chosen!r} needs a key")
 
     rows = source
-    if chosen in (SINGLE_KEY, LEADING_KEY, KEY_ORDER):
-        cores = spark.sparkContext.defaultParallelism
-        parts = n or partitions_for(profile.rows, source_bytes(source), has_text_blob, cores)
+    if chosen != UNKEYED:
+        parts = n or default_partitions(source, profile.rows, has_text_blob)
         floor = EVEN_ENOUGH_TEXTS if has_text_blob else EVEN_ENOUGH_ROWS
         rows = read_by_key_range(source, wanted, parts, profile, floor)
     rows = coerce_table(rows, declared_schema, charset)
@@ -97,25 +137,69 @@ def run_extract(
             raise ValueError(f"{profile.rows} rows are too many for one task and one file")
         rows = rows.coalesce(1)
 
-    counted = Observation(f"extract-{table}-{uuid.uuid4().hex}")
-    unfinished = f"{out_dir.rstrip('/')}/.{table.lower()}-{uuid.uuid4().hex}"
-    write_extract(
-        rows.observe(counted, F.count(F.lit(1)).alias("rows")),
-        unfinished,
-        compress,
-        None if single_file else rows_per_file(profile.rows, has_text_blob),
-    )
-    written = counted.get["rows"]
-    back = spark.read.parquet(unfinished)
-    stored = back.count()
-    if not written == stored == profile.rows:
-        raise RuntimeError(f"{table}: {profile.rows} rows in source, {written} written, {stored} stored")
-    if check_keys and wanted:
+    def same_keys(back: DataFrame) -> None:
         report = reconcile(source, back, wanted).first()
         if report["duplicate_rows"] or report["missing_rows"] or report["extra_rows"]:
             raise RuntimeError(f"{table}: extract differs from source: {report.asDict()}")
-    megabytes = total_bytes(spark, unfinished) / 2**20
-    replace_dir(spark, unfinished, final)
+
+    written, megabytes = _store(
+        rows,
+        final,
+        compress,
+        None if single_file else rows_per_file(profile.rows, has_text_blob),
+        profile.rows,
+        same_keys if check_keys and wanted else None,
+    )
+    seconds = time.monotonic() - started
+    return ExtractStats(table, chosen, written, seconds, megabytes, written / seconds, final)
+
+
+def run_extract_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    out_dir: str,
+    keys: Sequence[str] = (),
+    n: int = DEFAULT_CONNECTIONS,
+    balanced: bool = False,
+    strategy: str | None = None,
+    declared_schema: Mapping[str, str] | None = None,
+    charset: str | None = None,
+    has_text_blob: bool = False,
+    compress: bool = False,
+    overwrite: bool = False,
+    properties: Mapping[str, str] | None = None,
+    quote: str = '"',
+) -> ExtractStats:
+    """The same job from a relational source: ``n`` ranges, ``n`` connections, no shuffle.
+
+    The source counts and bounds the key itself. ``balanced`` first reads the key
+    columns alone to cut ranges of equal rows. The source may change
+    meanwhile, so the row check compares what was read with what was stored.
+    """
+    started = time.monotonic()
+    final = _final_path(spark, out_dir, table, overwrite)
+    wanted = [] if strategy == UNKEYED else list(keys)
+    profile = profile_jdbc(spark, url, table, wanted[0] if wanted else None, properties, quote)
+    chosen = strategy_of(profile.rows, len(wanted), strategy)
+    if chosen == EMPTY:
+        return _nothing(table, started)
+    if chosen == UNKEYED:
+        rows = read_jdbc_all(spark, url, table, properties, quote)
+    elif not wanted:
+        raise ValueError(f"strategy {chosen!r} needs a key")
+    else:
+        predicates = None
+        if balanced:
+            key_rows = read_jdbc_by_key_range(
+                spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, ordered=False
+            ).select(*wanted)
+            predicates = plan_key_predicates(key_rows, wanted, n, quote, profile)
+        rows = read_jdbc_by_key_range(
+            spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, predicates=predicates
+        )
+    rows = coerce_table(rows, declared_schema, charset)
+    written, megabytes = _store(rows, final, compress, rows_per_file(profile.rows, has_text_blob), None)
     seconds = time.monotonic() - started
     return ExtractStats(table, chosen, written, seconds, megabytes, written / seconds, final)
 

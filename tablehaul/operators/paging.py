@@ -9,9 +9,15 @@ from pyspark.sql.window import Window
 
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import range_counts
-from tablehaul.plans.strategy import partitions_for
-from tablehaul.sources.files import source_bytes, staged
-from tablehaul.sources.tables import EVEN_ENOUGH_ROWS, ranges_are_even, split_by_plan, split_by_sample
+from tablehaul.sources.files import staged
+from tablehaul.sources.tables import (
+    EVEN_ENOUGH_ROWS,
+    default_partitions,
+    ranges_are_even,
+    read_by_key_range,
+    split_by_plan,
+    split_by_sample,
+)
 
 # Up to this many leading rows a top-k is cheaper than numbering the table.
 TOP_ROWS = 10_000
@@ -44,9 +50,7 @@ def with_row_number(
     profile = profile or profile_key(df, keys)
     if profile.rows == 0:
         return df.withColumn("row_no", F.lit(0).cast("bigint"))
-    if n is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = partitions_for(profile.rows, source_bytes(df), False, cores)
+    n = n or default_partitions(df, profile.rows)
     if ranges_are_even(df, keys[0], n, profile, even_floor):
         placed = _with_place(split_by_plan(df, keys, n, profile))
         counts = range_counts(df, keys[0], n, profile).select(F.col("range_id").alias("_part"), "n_rows")
@@ -83,16 +87,7 @@ def read_in_key_order(
     """Whole table in key order across partitions; with ``page_rows``, pages numbered."""
     if page_rows is not None:
         return with_page_number(df, keys, page_rows, n)
-    check_keys(df, keys)
-    profile = profile_key(df, keys)
-    if profile.rows == 0:
-        return df
-    if n is None:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = partitions_for(profile.rows, source_bytes(df), False, cores)
-    if ranges_are_even(df, keys[0], n, profile):
-        return split_by_plan(df, keys, n, profile)
-    return split_by_sample(df, keys, n)
+    return read_by_key_range(df, keys, n)
 
 
 def page(df: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:

@@ -24,6 +24,9 @@ from tablehaul.functions.coerce import trim_text
 from tablehaul.functions.types import INTEGER_CODES, code_of_type, is_text_blob, target_of_code
 
 
+TEXT_BLOB_FLAG = "is_text_blob"
+
+
 class Catalog(NamedTuple):
     relation_fields: DataFrame
     fields: DataFrame
@@ -128,3 +131,12 @@ def detect_keys(catalog: Catalog, columns: DataFrame) -> DataFrame:
         ).alias("key_columns"),
         F.bool_and(F.coalesce(F.col("type_code").isin(*INTEGER_CODES), F.lit(False))).alias("usable"),
     )
+
+
+def mark_text_blobs(df: DataFrame, columns: Collection[str]) -> DataFrame:
+    """Note in the schema which columns hold long text; extracts size their files by it."""
+    return df.withColumns({c: F.col(c).alias(c, metadata={TEXT_BLOB_FLAG: True}) for c in columns})
+
+
+def has_text_blob(df: DataFrame) -> bool:
+    return any((f.metadata or {}).get(TEXT_BLOB_FLAG) for f in df.schema.fields)

@@ -7,6 +7,7 @@ side is arithmetic on the key, never a join against the plan.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -74,6 +75,11 @@ def plan_chunks(spark: SparkSession, ranges: Sequence[KeyRange], size: int) -> D
     )
 
 
+def _constant_id(value: int) -> Column:
+    # not a bare integer literal, which grouping would take for a column position
+    return F.lit(str(value)).cast("int")
+
+
 def range_id(key: Column, lo: int, hi: int, n: int) -> Column:
     """Id of the equal-width range (``plan_ranges(lo, hi, n)``) a key falls in.
 
@@ -83,7 +89,7 @@ def range_id(key: Column, lo: int, hi: int, n: int) -> Column:
     span = hi - lo + 1
     n = min(n, span)
     if n == 1:
-        return F.lit(0)
+        return _constant_id(0)
     if span * n < 2**63 and abs(lo) < 2**62 and abs(hi) < 2**62:
         place = (key.cast("bigint") - F.lit(lo) + F.lit(1)) * F.lit(n) - F.lit(1)
         return F.call_function("div", place, F.lit(span)).cast("int")
@@ -120,8 +126,9 @@ def plan_balanced_ranges(
 ) -> list[KeyRange]:
     """About equal rows per range, cut at approximate quantiles of the key.
 
-    A key value that fills more than one share ends up alone in its range, so
-    fewer than ``n`` ranges may come back. Still disjoint and gap-free over [lo, hi].
+    A key value that fills several shares is cut off on both sides and stands alone,
+    so fewer than ``n`` ranges may come back; any other range holds at most about
+    two shares. Still disjoint and gap-free over [lo, hi].
     """
     if not 1 <= n <= MAX_BALANCED:
         raise ValueError(f"between 1 and {MAX_BALANCED} balanced ranges, not {n}")
@@ -134,7 +141,8 @@ def plan_balanced_ranges(
         cuts = df.agg(
             F.percentile_approx(F.col(key).cast("bigint"), shares, max(10_000, 100 * n))
         ).first()[0]
-    ends = [c for c in sorted(set(cuts)) if c < profile.hi] + [profile.hi]
+    hot = {c for c, times in Counter([*cuts, profile.hi]).items() if times > 1}
+    ends = sorted({*cuts, *(c - 1 for c in hot if c > profile.lo), profile.hi})
     starts = [profile.lo] + [e + 1 for e in ends[:-1]]
     return [KeyRange(i, lo, hi) for i, (lo, hi) in enumerate(zip(starts, ends))]
 
@@ -144,7 +152,7 @@ def assign_range(key: Column, ranges: Sequence[KeyRange]) -> Column:
     if not 1 <= len(ranges) <= MAX_BALANCED:
         raise ValueError(f"between 1 and {MAX_BALANCED} ranges, not {len(ranges)}")
     if len(ranges) == 1:
-        return F.lit(ranges[0].range_id)
+        return _constant_id(ranges[0].range_id)
     half = len(ranges) // 2
     return F.when(key <= F.lit(ranges[half - 1].hi), assign_range(key, ranges[:half])).otherwise(
         assign_range(key, ranges[half:])
@@ -163,3 +171,38 @@ def range_predicates(quoted_key: str, ranges: Sequence[KeyRange], open_ended: bo
         high = None if open_ended and i == len(ranges) - 1 else f"{quoted_key} <= {r.hi}"
         out.append(" AND ".join(p for p in (low, high) if p) or "1 = 1")
     return out
+
+
+def plan_key_predicates(
+    df: DataFrame,
+    keys: Sequence[str],
+    n: int,
+    quote: str = "`",
+    profile: KeyProfile | None = None,
+) -> list[str]:
+    """Disjoint predicates of about equal rows over a composite key.
+
+    Balanced ranges of the leading column, except that one value holding more than
+    two shares is split by the next key column, and so on. At most half of the
+    ranges can be that heavy, so the recursion stays small.
+    """
+    profile = profile or profile_key(df, keys[:1])
+    ranges = plan_balanced_ranges(df, keys[0], n, profile)
+    lead = quote + keys[0].replace(quote, quote * 2) + quote
+    predicates = range_predicates(lead, ranges, open_ended=True)
+    lone = [r for r in ranges if r.lo == r.hi]
+    if len(keys) == 1 or n == 1 or not lone:
+        return predicates
+    counted = df.groupBy(assign_range(F.col(keys[0]), ranges).alias("range_id")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    rows = {r["range_id"]: r["n_rows"] for r in counted.collect()}
+    out = []
+    for r, predicate in zip(ranges, predicates):
+        parts = -(-rows.get(r.range_id, 0) * n // profile.rows)
+        if r.lo == r.hi and parts > 2:
+            inner = plan_key_predicates(df.where(F.col(keys[0]) == r.lo), keys[1:], parts, quote)
+            out += [f"{predicate} AND {p}" for p in inner]
+        else:
+            out.append(predicate)
+    return out

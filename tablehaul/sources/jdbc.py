@@ -62,27 +62,24 @@ def read_jdbc_by_key_range(
     n: int = DEFAULT_CONNECTIONS,
     properties: Mapping[str, str] | None = None,
     quote: str = '"',
+    ordered: bool = True,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One partition and one connection per range, each sorted by all keys.
+    """One partition and one connection per range, each sorted by all keys if ``ordered``.
 
-    ``ranges`` may come from any plan (equal-width, balanced, chunks). The outer
-    bounds are open, so rows that arrived after the profile are read as well.
+    ``ranges`` may come from any plan of the leading key; ``predicates`` replace them
+    where the plan uses several key columns. The outer bounds are open, so rows
+    that arrived after the profile are read as well.
     """
-    if ranges is None:
-        ranges = [] if profile.lo is None else plan_ranges(profile.lo, profile.hi, n)
-    name = quoted(table, quote)
-    if not ranges:
-        return read_jdbc_all(spark, url, table, properties, quote)
-    df = spark.read.jdbc(
-        url,
-        name,
-        predicates=range_predicates(quoted(keys[0], quote), ranges, open_ended=True),
-        properties=_settings(properties),
-    )
+    if predicates is None:
+        if ranges is None:
+            ranges = [] if profile.lo is None else plan_ranges(profile.lo, profile.hi, n)
+        predicates = range_predicates(quoted(keys[0], quote), ranges, open_ended=True)
+    df = read_jdbc_all(spark, url, table, properties, quote, predicates)
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise ValueError(f"key columns not in the table: {missing}")
-    return df.sortWithinPartitions(*keys)
+    return df.sortWithinPartitions(*keys) if ordered else df
 
 
 def read_jdbc_all(

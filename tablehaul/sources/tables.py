@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import heaviest_range, range_id
+from tablehaul.plans.strategy import partitions_for
+from tablehaul.sources.files import source_bytes
 
 # A range of this many rows suits one task, so smaller tables are not checked for skew.
 EVEN_ENOUGH_ROWS = 1_000_000
@@ -40,6 +42,11 @@ def ranges_are_even(
     return heaviest_range(df, key, n, profile) <= allowed
 
 
+def default_partitions(df: DataFrame, rows: int, has_text_blob: bool = False) -> int:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return partitions_for(rows, source_bytes(df), has_text_blob, cores)
+
+
 def split_by_plan(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfile) -> DataFrame:
     """Partition *i* holds equal-width range *i* of the leading key, sorted by all keys."""
     ids = range_id(F.col(keys[0]), profile.lo, profile.hi, n)
@@ -64,7 +71,7 @@ def split_by_sample(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
 def read_by_key_range(
     df: DataFrame,
     keys: Sequence[str],
-    n: int,
+    n: int | None = None,
     profile: KeyProfile | None = None,
     even_floor: int = EVEN_ENOUGH_ROWS,
 ) -> DataFrame:
@@ -73,11 +80,13 @@ def read_by_key_range(
     Partitions follow key order, so part files do too. Equal-width ranges of the
     leading key place rows by arithmetic, with no sampling pass; where they are
     lopsided (gaps, outliers, a hot leading key) the split is taken from the data.
+    Without ``n``, partitions are sized by the table's rows and bytes.
     """
     check_keys(df, keys)
     profile = profile or profile_key(df, keys)
     if profile.rows == 0:
         return df
+    n = n or default_partitions(df, profile.rows)
     if ranges_are_even(df, keys[0], n, profile, even_floor):
         return split_by_plan(df, keys, n, profile)
     return split_by_sample(df, keys, n)
