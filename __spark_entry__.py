@@ -20,7 +20,6 @@ from tablehaul.functions.coerce import (  # noqa: E402
     text_to_bytes,
     trim_text,
 )
-from tablehaul.plans.strategy import choose_strategy  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
 RANGES = 8
@@ -295,7 +294,7 @@ def detect_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def table_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def choose_strategy(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys, columns, profiles = _detected(spark, sf_dir)
     blobs = th.text_blob_tables(columns)
     sized = keys.where("usable").select("relation_name", F.size("key_columns").alias("key_size"))
@@ -304,7 +303,7 @@ def table_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(sized, "relation_name", "left")
         .join(blobs, "relation_name")
     )
-    return choose_strategy(joined).select("relation_name", "n", "has_text_blob", "strategy", "batch_rows")
+    return th.choose_strategy(joined).select("relation_name", "n", "has_text_blob", "strategy", "batch_rows")
 
 
 # coercion
@@ -420,7 +419,7 @@ _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_text_blobs,
     extract_nested, extract_uneven_key, extract_stats, source_view_sql, page_slice, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
-    balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, table_strategies, coerce_numeric, coerce_text,
+    balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
     compact_files, reconcile_clean, reconcile_faulty,
 )
@@ -582,7 +581,7 @@ def oracle_sql() -> dict[str, str]:
         "detect_keys": f"""
             SELECT table_name, key_columns, true AS usable, n, lo, hi
             FROM ({_profile_rows()}) p JOIN {key_lists} AS k(table_name, key_columns) USING (table_name)""",
-        "table_strategies": f"""
+        "choose_strategy": f"""
             SELECT table_name AS relation_name, n, has_text_blob, {_strategy('key_size')} AS strategy,
                    CAST(CASE WHEN has_text_blob THEN batch * 2 // 3 ELSE batch END AS BIGINT) AS batch_rows
             FROM (SELECT *, CASE WHEN n < 200000 THEN 250000 WHEN n < 10000000 THEN 500000

@@ -6,10 +6,11 @@ shortest digits the JVM does not print reliably.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablehaul.functions.types import BINARY, FLOAT64, INT64, NATIVE, SPARK_TYPES, UTF8, default_target
@@ -25,8 +26,14 @@ INT64_MIN, INT64_MAX = -(2**63), 2**63 - 1
 
 
 def trim_text(text: Column) -> Column:
-    """Strip Unicode whitespace from both ends; blank text becomes empty, not NULL."""
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """Strip Unicode whitespace from both ends; blank text becomes empty, not NULL.
+
+    Text whose first and last characters are printable ASCII, which is most text,
+    is told apart by two comparisons and passed on as it is.
+    """
+    last = F.substring(text, -1, 1)
+    clean = text.between("!", "~~") & last.between("!", "~")
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
 
 
 def float_to_int64(value: Column) -> Column:
@@ -58,18 +65,15 @@ def bytes_to_text(raw: Column, charset: str = "ISO-8859-1") -> Column:
     return F.decode(raw, charset)
 
 
-@F.pandas_udf(T.StringType())
-def _shortest_digits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    def text(x: float) -> str:
-        if np.isinf(x):
-            return "inf" if x > 0 else "-inf"
-        return np.format_float_positional(x, unique=True, trim="-")
-
-    for values in batches:
-        out = pd.Series([None] * len(values), dtype=object)
-        hit = values.notna().to_numpy()
-        out[hit] = [text(x) for x in values.to_numpy()[hit]]
-        yield out
+@F.arrow_udf(T.StringType())
+def _shortest_digits(values: pa.Array) -> pa.Array:
+    # Arrow prints the shortest digits, but very large and small values with an exponent
+    text = pc.cast(values, pa.string())
+    powers = pc.fill_null(pc.match_substring(text, "e"), False)
+    if not pc.any(powers).as_py():
+        return text
+    plain = [np.format_float_positional(x, unique=True, trim="-") for x in values.filter(powers).to_pylist()]
+    return pc.replace_with_mask(text, powers, pa.array(plain, pa.string()))
 
 
 def float_to_text(value: Column) -> Column:
@@ -78,15 +82,14 @@ def float_to_text(value: Column) -> Column:
     Whole numbers below 2^53 print as bigint. Of the rest, a plain JVM rendering
     of at most 15 significant digits is already the shortest, since no two
     decimals of 15 digits share a double. Only what is left goes through Arrow;
-    the other rows enter that function as NULL (as does NaN, which Arrow batches
-    cannot tell from NULL once in pandas).
+    the other rows enter that function as NULL.
     """
     value = value.cast("double")
     size = F.abs(value)
     jvm = value.cast("string")
     whole = (size < F.lit(float(2**53))) & (value == F.rint(value)) & (value != 0)
-    digits = F.length(F.regexp_replace(F.translate(jvm, "-.", ""), "^0+", ""))
-    plain = (size >= F.lit(1e-3)) & (size < F.lit(1e7)) & (digits <= 15)
+    # 15 digits and the point
+    plain = (size >= F.lit(1e-3)) & (size < F.lit(1e7)) & (F.length(jvm) <= 16)
     zero_or_nan = (value == 0) | F.isnan(value)
     rest = F.when(~(zero_or_nan | whole | plain), value)
     return (

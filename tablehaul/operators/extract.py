@@ -16,7 +16,7 @@ from tablehaul.plans.catalog import has_text_blob as marked_text_blob
 from tablehaul.plans.profile import profile_key
 from tablehaul.plans.ranges import plan_key_predicates
 from tablehaul.plans.strategy import EMPTY, UNKEYED, rows_per_file, strategy_of
-from tablehaul.sources.files import exists, replace_dir, total_bytes
+from tablehaul.sources.files import exists, remove_dir, replace_dir, total_bytes
 from tablehaul.sources.jdbc import (
     DEFAULT_CONNECTIONS,
     profile_jdbc,
@@ -74,16 +74,20 @@ def _store(
     spark = rows.sparkSession
     folder, _, name = final.rpartition("/")
     unfinished = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    counted = Observation(f"extract-{uuid.uuid4().hex}")
-    write_extract(rows.observe(counted, F.count(F.lit(1)).alias("rows")), unfinished, compress, file_rows)
-    written = counted.get["rows"]
-    back = spark.read.schema(rows.schema).parquet(unfinished)
-    stored = back.count()
-    if written != stored or expected not in (None, stored):
-        raise RuntimeError(f"{final}: {expected} rows in source, {written} written, {stored} stored")
-    if verify:
-        verify(back)
-    megabytes = total_bytes(spark, unfinished) / 2**20
+    try:
+        counted = Observation(f"extract-{uuid.uuid4().hex}")
+        write_extract(rows.observe(counted, F.count(F.lit(1)).alias("rows")), unfinished, compress, file_rows)
+        written = counted.get["rows"]
+        back = spark.read.schema(rows.schema).parquet(unfinished)
+        stored = back.count()
+        if written != stored or expected not in (None, stored):
+            raise RuntimeError(f"{final}: {expected} rows in source, {written} written, {stored} stored")
+        if verify:
+            verify(back)
+        megabytes = total_bytes(spark, unfinished) / 2**20
+    except BaseException:
+        remove_dir(spark, unfinished)
+        raise
     replace_dir(spark, unfinished, final)
     return written, megabytes
 

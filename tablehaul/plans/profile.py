@@ -64,19 +64,20 @@ def profile_key(df: DataFrame, keys: Sequence[str] = ()) -> KeyProfile:
 def column_stats(df: DataFrame) -> DataFrame:
     """Per column: position, rows, share of NULLs, average text length (text columns).
 
-    All columns are measured in one aggregate and then turned into rows.
+    All columns are measured in one aggregate, whose single row then becomes one
+    row per column.
     """
-    per_column = []
-    for position, field in enumerate(df.schema.fields):
-        c = F.col("`" + field.name.replace("`", "``") + "`")
-        is_text = isinstance(field.dataType, T.StringType)
-        per_column.append(
-            F.struct(
-                F.lit(position).alias("position"),
-                F.lit(field.name).alias("column_name"),
-                F.count(F.lit(1)).alias("n"),
-                F.avg(c.isNull().cast("int")).alias("null_ratio"),
-                (F.avg(F.length(c)) if is_text else F.lit(None).cast("double")).alias("avg_length"),
-            )
+    measures, rows = ["count(1) AS n"], []
+    for i, field in enumerate(df.schema.fields):
+        name = "`" + field.name.replace("`", "``") + "`"
+        label = field.name.replace("\\", "\\\\").replace("'", "\\'")
+        length = "CAST(NULL AS DOUBLE)"
+        measures.append(f"count({name}) AS present_{i}")
+        if isinstance(field.dataType, T.StringType):
+            measures.append(f"avg(length({name})) AS length_{i}")
+            length = f"length_{i}"
+        rows.append(
+            f"named_struct('position', {i}, 'column_name', '{label}', 'n', n, "
+            f"'null_ratio', try_divide(n - present_{i}, n), 'avg_length', {length})"
         )
-    return df.agg(F.array(*per_column).alias("stats")).select(F.inline("stats"))
+    return df.selectExpr(*measures).selectExpr(f"inline(array({', '.join(rows)}))")

@@ -61,6 +61,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
 def replace_dir(spark: SparkSession, new: str, final: str) -> None:
     """Move ``new`` to ``final``. An older ``final`` is removed only after the move."""
     fs, source = _file_system(spark, new)

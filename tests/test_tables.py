@@ -144,3 +144,10 @@ def test_column_stats(spark):
     assert rows["s"]["avg_length"] == 3.0 and rows["s"]["null_ratio"] == pytest.approx(1 / 3)
     assert rows["n"]["avg_length"] is None and rows["n"]["null_ratio"] == pytest.approx(2 / 3)
     assert {r["n"] for r in rows.values()} == {3}
+
+
+def test_column_stats_with_odd_names_and_no_rows(spark):
+    df = spark.createDataFrame([("x", 1)], "`it's` string, `a``b\\\\c` int")
+    assert [r["column_name"] for r in column_stats(df).orderBy("position").collect()] == df.columns
+    empty = column_stats(df.where("false")).collect()
+    assert len(empty) == 2 and {(r["n"], r["null_ratio"]) for r in empty} == {(0, None)}
