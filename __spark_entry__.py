@@ -25,6 +25,7 @@ from tablehaul.sources.files import fresh_path  # noqa: E402
 RANGES = 8
 PAGE = 100
 CHUNK = 500
+MAX_PLANNED = 100_000
 
 KEYS: dict[str, list[str]] = {
     "region": ["r_regionkey"],
@@ -107,7 +108,7 @@ def _union(frames) -> DataFrame:
 def _extract(
     spark: SparkSession, df: DataFrame, table: str, keys: list[str], **options
 ) -> DataFrame:
-    stats = th.run_extract(df, table, fresh_path(spark, "extract"), keys, n=RANGES, **options)
+    stats = th.run_extract(df, table, fresh_path(spark, "extract"), keys, **options)
     return spark.read.parquet(stats.path) if stats.path else th.coerce_table(df)
 
 
@@ -134,13 +135,18 @@ def extract_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _extract(
         spark, _table(spark, sf_dir, "conversations"), "CONVERSATIONS", KEYS["conversations"], has_text_blob=True
     )
-    return th.read_in_key_order(rows, KEYS["conversations"], RANGES, page_rows=PAGE)
+    return th.read_in_key_order(rows, KEYS["conversations"], page_rows=PAGE)
 
 
 def extract_unkeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extract(spark, _table(spark, sf_dir, "labels"), "LABELS", [])
 
 
+def extract_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A keyed table where key order is not wanted: no shuffle."""
+    return _extract(spark, _table(spark, sf_dir, "lineitem"), "LINEITEM", KEYS["lineitem"], strategy="unkeyed")
+
+
 def extract_text_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return _extract(
@@ -157,7 +163,7 @@ def extract_uneven_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squared keys crowd the first ranges, so the split is taken from the data."""
     orders = _table(spark, sf_dir, "orders").withColumn("sq_key", F.col("o_orderkey") * F.col("o_orderkey"))
     path = fresh_path(spark, "uneven")
-    th.write_extract(th.read_by_key_range(orders, ["sq_key"], RANGES, even_floor=0), path)
+    th.write_extract(th.read_by_key_range(orders, ["sq_key"], even_floor=0), path)
     return spark.read.parquet(path)
 
 
@@ -165,7 +171,7 @@ def extract_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "all")
 
     def job(name: str, df: DataFrame):
-        return lambda: th.run_extract(df, name, out, KEYS[name], n=RANGES)
+        return lambda: th.run_extract(df, name, out, KEYS[name])
 
     stats = th.run_extracts([job(name, df) for name, df in _tables(spark, sf_dir).items()])
     return th.extract_stats(spark, stats).select("table_name", "strategy", "rows", (F.col("megabytes") > 0).alias("wrote"))
@@ -189,7 +195,7 @@ def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem").select(*KEYS["lineitem"])
-    return th.with_page_number(lineitem, KEYS["lineitem"], PAGE, RANGES)
+    return th.with_page_number(lineitem, KEYS["lineitem"], PAGE)
 
 
 def _hot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,9 +205,7 @@ def _hot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def row_numbers_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the rows share the leading key; later key columns split them."""
-    return th.with_row_number(
-        _hot_lineitem(spark, sf_dir), ["hot_key", *KEYS["lineitem"]], RANGES, even_floor=0
-    )
+    return th.with_row_number(_hot_lineitem(spark, sf_dir), ["hot_key", *KEYS["lineitem"]], even_floor=0)
 
 
 # profiles and plans
@@ -218,7 +222,8 @@ def plan_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = th.profile_key(_table(spark, sf_dir, "orders"), KEYS["orders"])
-    return th.plan_chunks(spark, th.plan_ranges(profile.lo, profile.hi, RANGES), CHUNK)
+    size = max(CHUNK, profile.span // MAX_PLANNED + 1)
+    return th.plan_chunks(spark, th.plan_ranges(profile.lo, profile.hi, RANGES), size)
 
 
 def range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,11 +389,14 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    many, few = fresh_path(spark, "many"), fresh_path(spark, "few")
+    """Orders in many small files, then in files of the usual size (at least two)."""
+    small, usual = fresh_path(spark, "small"), fresh_path(spark, "usual")
     orders = _table(spark, sf_dir, "orders")
-    th.write_extract(orders.repartition(16), many)
-    th.compact(spark, many, few, -(-orders.count() // 2))
-    return spark.read.parquet(few)
+    rows = orders.count()
+    target = min(th.rows_per_file(rows), rows // 2 + 1)
+    th.write_extract(orders, small, rows_per_file=target // 8 + 1)
+    th.compact(spark, small, usual, target)
+    return spark.read.parquet(usual)
 
 
 def reconcile_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,8 +424,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 _QUERIES = (
-    extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_text_blobs,
-    extract_nested, extract_uneven_key, extract_stats, source_view_sql, page_slice, page_numbers,
+    extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
+    extract_text_blobs, extract_nested, extract_uneven_key, extract_stats, source_view_sql, page_slice, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
@@ -534,6 +542,7 @@ def oracle_sql() -> dict[str, str]:
                    CAST((row_number() OVER (ORDER BY conv_id, turn) - 1) // {PAGE} AS BIGINT) AS page_no
             FROM conversations""",
         "extract_unkeyed": f"SELECT {_coerced('labels')} FROM labels",
+        "extract_unordered": f"SELECT {_coerced('lineitem')} FROM lineitem",
         "extract_text_blobs": f"SELECT {_coerced('documents')} FROM documents",
         "extract_nested": """
             SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, embedding[i] AS x, CAST(label AS BIGINT) AS label
@@ -558,9 +567,11 @@ def oracle_sql() -> dict[str, str]:
         "profile_keys": _profile_rows(),
         "plan_ranges": _planned("orders", "o_orderkey"),
         "plan_chunks": f"""
-            SELECT range_id, c AS chunk_id, lo + c * {CHUNK} AS lo, least(lo + (c + 1) * {CHUNK} - 1, hi) AS hi
-            FROM (SELECT *, unnest(range((hi - lo) // {CHUNK} + 1)) AS c
-                  FROM ({_planned('orders', 'o_orderkey')}))""",
+            SELECT range_id, c AS chunk_id, lo + c * size AS lo, least(lo + (c + 1) * size - 1, hi) AS hi
+            FROM (SELECT *, unnest(range((hi - lo) // size + 1)) AS c
+                  FROM ({_planned('orders', 'o_orderkey')}),
+                       (SELECT greatest({CHUNK}, span // {MAX_PLANNED} + 1) AS size
+                        FROM {_bounds('orders', 'o_orderkey')}))""",
         "range_counts": f"""
             SELECT p.range_id, p.lo, p.hi, count(l.doc_id) AS n_rows
             FROM ({_planned('labels', 'doc_id')}) p LEFT JOIN labels l ON l.doc_id BETWEEN p.lo AND p.hi

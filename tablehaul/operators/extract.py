@@ -15,7 +15,7 @@ from tablehaul.operators.reconcile import reconcile
 from tablehaul.plans.catalog import has_text_blob as marked_text_blob
 from tablehaul.plans.profile import profile_key
 from tablehaul.plans.ranges import plan_key_predicates
-from tablehaul.plans.strategy import EMPTY, UNKEYED, rows_per_file, strategy_of
+from tablehaul.plans.strategy import EMPTY, UNKEYED, partitions_for, rows_per_file, strategy_of
 from tablehaul.sources.files import exists, remove_dir, replace_dir, total_bytes
 from tablehaul.sources.jdbc import (
     DEFAULT_CONNECTIONS,
@@ -164,7 +164,7 @@ def run_extract_jdbc(
     table: str,
     out_dir: str,
     keys: Sequence[str] = (),
-    n: int = DEFAULT_CONNECTIONS,
+    n: int | None = None,
     balanced: bool = False,
     strategy: str | None = None,
     declared_schema: Mapping[str, str] | None = None,
@@ -175,9 +175,11 @@ def run_extract_jdbc(
     properties: Mapping[str, str] | None = None,
     quote: str = '"',
 ) -> ExtractStats:
-    """The same job from a relational source: ``n`` ranges, ``n`` connections, no shuffle.
+    """The same job from a relational source: one connection per range, no shuffle.
 
-    The source counts and bounds the key itself. ``balanced`` first reads the key
+    The source counts and bounds the key itself. Without ``n`` a range holds about
+    one file of rows, so a lost task repeats little; as many connections are open
+    at a time as the application has cores. ``balanced`` first reads the key
     columns alone to cut ranges of equal rows. The source may change
     meanwhile, so the row check compares what was read with what was stored.
     """
@@ -188,6 +190,7 @@ def run_extract_jdbc(
     chosen = strategy_of(profile.rows, len(wanted), strategy)
     if chosen == EMPTY:
         return _nothing(table, started)
+    n = n or partitions_for(profile.rows, None, has_text_blob, DEFAULT_CONNECTIONS)
     if chosen == UNKEYED:
         rows = read_jdbc_all(spark, url, table, properties, quote)
     elif not wanted:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
 @dataclass(frozen=True)
 class KeyProfile:
-    """Row count, bounds of the leading key column, rows with a NULL in the key."""
+    """Row count, bounds of the leading key column, NULLs in the key column with the most."""
 
     rows: int
     lo: int | None
@@ -36,20 +34,27 @@ def check_keys(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def profile_frame(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """One row ``n, lo, hi, null_keys``; the scan reads the key columns only."""
+    """One row ``n, lo, hi, null_keys``; the scan reads the key columns only.
+
+    Plain COUNT, MIN and MAX, which sources with aggregate pushdown answer from
+    their own statistics (Parquet footers, a database).
+    """
     check_keys(df, keys)
-    nothing = F.lit(None).cast("bigint")
     if not keys:
+        nothing = F.lit(None).cast("bigint")
         return df.agg(F.count(F.lit(1)).alias("n")).select(
             "n", nothing.alias("lo"), nothing.alias("hi"), F.lit(0).cast("bigint").alias("null_keys")
         )
-    lead = F.col(keys[0]).cast("bigint")
-    any_null = reduce(or_, [F.col(k).isNull() for k in keys])
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(lead).alias("lo"),
-        F.max(lead).alias("hi"),
-        F.count_if(any_null).alias("null_keys"),
+    present = [F.count(k).alias(f"present_{i}") for i, k in enumerate(keys)]
+    facts = df.agg(
+        F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi"), *present
+    )
+    nulls = [F.col("n") - F.col(f"present_{i}") for i in range(len(keys))]
+    return facts.select(
+        "n",
+        F.col("lo").cast("bigint").alias("lo"),
+        F.col("hi").cast("bigint").alias("hi"),
+        (F.greatest(*nulls) if len(nulls) > 1 else nulls[0]).alias("null_keys"),
     )
 
 
@@ -57,7 +62,7 @@ def profile_key(df: DataFrame, keys: Sequence[str] = ()) -> KeyProfile:
     """Profile as a value. A NULL in the key is an error: no range would hold it."""
     row = profile_frame(df, keys).first()
     if row["null_keys"]:
-        raise ValueError(f"{row['null_keys']} rows have a NULL in key {list(keys)}")
+        raise ValueError(f"at least {row['null_keys']} rows have a NULL in key {list(keys)}")
     return KeyProfile(row["n"], row["lo"], row["hi"], row["null_keys"])
 
 

@@ -173,6 +173,12 @@ def range_predicates(quoted_key: str, ranges: Sequence[KeyRange], open_ended: bo
     return out
 
 
+def cut_ranges(ranges: Sequence[KeyRange], pieces: int) -> list[KeyRange]:
+    """Each range cut into ``pieces`` of equal width, numbered anew."""
+    cut = [part for r in ranges for part in plan_ranges(r.lo, r.hi, pieces)]
+    return [KeyRange(i, r.lo, r.hi) for i, r in enumerate(cut)]
+
+
 def plan_key_predicates(
     df: DataFrame,
     keys: Sequence[str],
@@ -184,24 +190,28 @@ def plan_key_predicates(
 
     Balanced ranges of the leading column, except that one value holding more than
     two shares is split by the next key column, and so on. At most half of the
-    ranges can be that heavy, so the recursion stays small.
+    ranges can be that heavy, so the recursion stays small. Beyond ``MAX_BALANCED``
+    the balanced ranges are cut further by width.
     """
     profile = profile or profile_key(df, keys[:1])
-    ranges = plan_balanced_ranges(df, keys[0], n, profile)
-    lead = quote + keys[0].replace(quote, quote * 2) + quote
-    predicates = range_predicates(lead, ranges, open_ended=True)
+    base = min(n, MAX_BALANCED)
+    ranges = plan_balanced_ranges(df, keys[0], base, profile)
+    shares = {}
     lone = [r for r in ranges if r.lo == r.hi]
-    if len(keys) == 1 or n == 1 or not lone:
-        return predicates
-    counted = df.groupBy(assign_range(F.col(keys[0]), ranges).alias("range_id")).agg(
-        F.count(F.lit(1)).alias("n_rows")
-    )
-    rows = {r["range_id"]: r["n_rows"] for r in counted.collect()}
+    if len(keys) > 1 and n > 1 and lone:
+        counted = df.groupBy(assign_range(F.col(keys[0]), ranges).alias("range_id")).agg(
+            F.count(F.lit(1)).alias("n_rows")
+        )
+        rows = {r["range_id"]: r["n_rows"] for r in counted.collect()}
+        heavy = {r.lo: -(-rows.get(r.range_id, 0) * n // profile.rows) for r in lone}
+        shares = {key: parts for key, parts in heavy.items() if parts > 2}
+    ranges = cut_ranges(ranges, -(-n // base))
+    lead = quote + keys[0].replace(quote, quote * 2) + quote
     out = []
-    for r, predicate in zip(ranges, predicates):
-        parts = -(-rows.get(r.range_id, 0) * n // profile.rows)
-        if r.lo == r.hi and parts > 2:
-            inner = plan_key_predicates(df.where(F.col(keys[0]) == r.lo), keys[1:], parts, quote)
+    for r, predicate in zip(ranges, range_predicates(lead, ranges, open_ended=True)):
+        if r.lo == r.hi and r.lo in shares:
+            rest = df.where(F.col(keys[0]) == r.lo)
+            inner = plan_key_predicates(rest, keys[1:], shares[r.lo], quote)
             out += [f"{predicate} AND {p}" for p in inner]
         else:
             out.append(predicate)

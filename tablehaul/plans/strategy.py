@@ -23,6 +23,7 @@ BATCH_TOP = 1_000_000
 BATCH_FLOOR = 100_000
 
 MAX_PARTITIONS = 100_000
+MIN_PARTITION_ROWS = 10_000
 PARTITION_BYTES = 256 * 1024 * 1024
 
 
@@ -86,9 +87,11 @@ def partitions_for(rows: int, source_bytes: int | None, has_text_blob: bool, cor
 
     Both matter: a few million long texts fill an executor that the same number of
     narrow rows would not. Compressed columnar bytes are taken to grow fourfold.
+    Smaller tables spread over the cores, but not into tiny files.
     """
     if rows == 0:
         return 1
     by_rows = -(-rows // rows_per_file(rows, has_text_blob))
     by_bytes = -(-(source_bytes or 0) * 4 // PARTITION_BYTES)
-    return max(1, min(max(by_rows, by_bytes, cores), MAX_PARTITIONS, rows))
+    by_cores = min(cores, -(-rows // MIN_PARTITION_ROWS))
+    return max(1, min(max(by_rows, by_bytes, by_cores), MAX_PARTITIONS, rows))

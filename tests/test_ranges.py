@@ -4,9 +4,10 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tablehaul.plans.profile import profile_key
+from tablehaul.plans.profile import profile_frame, profile_key
 from tablehaul.plans.ranges import (
     assign_range,
+    cut_ranges,
     plan_balanced_ranges,
     plan_chunks,
     plan_key_predicates,
@@ -129,6 +130,22 @@ def test_a_hot_value_anywhere_stands_alone(keyed, hot):
     assert all(x.hi + 1 == y.lo for x, y in zip(ranges, ranges[1:]))
 
 
+def test_cut_ranges_stay_disjoint():
+    cut = cut_ranges(plan_ranges(0, 99, 3), 4)
+    assert [r.range_id for r in cut] == list(range(12))
+    assert cut[0].lo == 0 and cut[-1].hi == 99
+    assert all(x.hi + 1 == y.lo for x, y in zip(cut, cut[1:]))
+
+
+def test_more_predicates_than_balanced_ranges(keyed, monkeypatch):
+    monkeypatch.setattr("tablehaul.plans.ranges.MAX_BALANCED", 8)
+    df = keyed([i * i for i in range(2000)])
+    predicates = plan_key_predicates(df, ["k"], 20)
+    assert len(predicates) == 24
+    hits = df.select(sum(F.expr(p).cast("int") for p in predicates).alias("hits")).distinct().collect()
+    assert [r["hits"] for r in hits] == [1]
+
+
 def test_composite_predicates_split_a_hot_leading_key(spark):
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, 42).otherwise(F.col("id")).alias("a"), F.col("id").alias("b")
@@ -153,3 +170,17 @@ def test_profile_rejects_text_keys(spark):
         profile_key(df, ["a"])
     with pytest.raises(ValueError, match="not in the table"):
         profile_key(df, ["nope"])
+
+
+def test_profile_can_be_answered_from_footers(spark, table):
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        frame = profile_frame(table("lineitem"), ["l_orderkey", "l_linenumber"])
+        assert "PushedAggregation: [COUNT(*), MIN(l_orderkey)" in frame._jdf.queryExecution().toString()
+        assert frame.first()["n"] == 6000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

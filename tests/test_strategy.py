@@ -66,7 +66,9 @@ def test_file_and_partition_counts_stay_bounded():
     assert partitions_for(huge, 100 * 2**40, False, 1000) >= 50_000
     # few rows, but long ones
     assert partitions_for(1_000_000, 2**40, True, 8) > 1000
-    assert partitions_for(5, 100, False, 8) == 5
+    # small tables neither idle the cores nor fall into tiny files
+    assert partitions_for(600_000, 10**7, False, 8) == 8
+    assert partitions_for(25, 100, False, 4000) == 1
     assert partitions_for(0, None, False, 8) == 1
 
 
