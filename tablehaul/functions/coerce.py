@@ -13,7 +13,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablehaul.functions.types import BINARY, FLOAT64, INT64, NATIVE, SPARK_TYPES, UTF8, default_target
+from tablehaul.functions.types import (
+    BINARY,
+    FLOAT64,
+    INT64,
+    NATIVE,
+    SPARK_TYPES,
+    TEXT_TYPES,
+    UTF8,
+    default_target,
+)
+from tablehaul.names import column
 
 # The code points with the Unicode White_Space property.
 WHITE_SPACE = (
@@ -102,7 +112,7 @@ def float_to_text(value: Column) -> Column:
 
 
 def coerce_column(
-    column: Column,
+    value: Column,
     data_type: T.DataType,
     target: str | None = None,
     charset: str | None = None,
@@ -114,40 +124,40 @@ def coerce_column(
     """
     target = target or default_target(data_type) or NATIVE
     if target == NATIVE:
-        return column
+        return value
     if target not in SPARK_TYPES:
         raise ValueError(f"unknown target type {target!r}; use one of {[*SPARK_TYPES, NATIVE]}")
 
     integral = isinstance(data_type, T.IntegralType)
     decimal = isinstance(data_type, T.DecimalType)
     floating = isinstance(data_type, T.FractionalType) and not decimal
-    text = isinstance(data_type, T.StringType)
+    text = isinstance(data_type, TEXT_TYPES)
     raw = isinstance(data_type, T.BinaryType)
 
     if target == INT64:
         if integral:
-            return column.cast("bigint")
+            return value.cast("bigint")
         if floating:
-            return float_to_int64(column)
+            return float_to_int64(value)
         if decimal:
-            return decimal_to_int64(column)
+            return decimal_to_int64(value)
     elif target == FLOAT64:
         if integral or floating or decimal:
-            return column.cast("double")
+            return value.cast("double")
     elif target == UTF8:
         if text:
-            return trim_text(column)
+            return trim_text(value)
         if floating:
-            return float_to_text(column)
+            return float_to_text(value)
         if integral or decimal or isinstance(data_type, T.BooleanType):
-            return column.cast("string")
+            return value.cast("string")
         if raw and charset:
-            return trim_text(bytes_to_text(column, charset))
+            return trim_text(bytes_to_text(value, charset))
     elif target == BINARY:
         if raw:
-            return column
+            return value
         if text:
-            return text_to_bytes(column)
+            return text_to_bytes(value)
     return F.lit(None).cast(SPARK_TYPES[target])
 
 
@@ -167,13 +177,9 @@ def coerce_table(
         raise ValueError(f"declared columns not in the table: {unknown}")
     return df.select(
         *[
-            coerce_column(df[_quoted(f.name)], f.dataType, declared.get(f.name), charset).alias(
+            coerce_column(column(f.name), f.dataType, declared.get(f.name), charset).alias(
                 f.name, metadata=f.metadata or {}
             )
             for f in df.schema.fields
         ]
     )
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

@@ -24,6 +24,9 @@ SPARK_TYPES = {
 }
 
 
+TEXT_TYPES = (T.StringType, T.CharType, T.VarcharType)
+
+
 def is_text_blob(code: Column, subtype: Column) -> Column:
     return F.coalesce((code == BLOB_CODE) & (subtype == TEXT_BLOB_SUBTYPE), F.lit(False))
 
@@ -41,7 +44,7 @@ def target_of_code(code: Column, subtype: Column) -> Column:
 
 def code_of_type(data_type: T.DataType, text_blob: bool = False) -> tuple[int, int]:
     """Catalog type code and sub-type that describe a Spark column; 0 where none does."""
-    if isinstance(data_type, T.StringType):
+    if isinstance(data_type, TEXT_TYPES):
         return (BLOB_CODE, TEXT_BLOB_SUBTYPE) if text_blob else (37, 0)
     if isinstance(data_type, T.BinaryType):
         return BLOB_CODE, 0
@@ -55,7 +58,7 @@ def default_target(data_type: T.DataType) -> str | None:
         return INT64
     if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
         return FLOAT64
-    if isinstance(data_type, T.StringType):
+    if isinstance(data_type, TEXT_TYPES):
         return UTF8
     if isinstance(data_type, T.BinaryType):
         return BINARY

@@ -24,12 +24,7 @@ from tablehaul.sources.jdbc import (
     read_jdbc_by_key_range,
 )
 from tablehaul.sources.parquet import write_extract
-from tablehaul.sources.tables import (
-    EVEN_ENOUGH_ROWS,
-    EVEN_ENOUGH_TEXTS,
-    default_partitions,
-    read_by_key_range,
-)
+from tablehaul.sources.tables import default_partitions, read_by_key_range
 
 SINGLE_FILE_ROWS = 10_000_000
 
@@ -133,8 +128,7 @@ def run_extract(
     rows = source
     if chosen != UNKEYED:
         parts = n or default_partitions(source, profile.rows, has_text_blob)
-        floor = EVEN_ENOUGH_TEXTS if has_text_blob else EVEN_ENOUGH_ROWS
-        rows = read_by_key_range(source, wanted, parts, profile, floor)
+        rows = read_by_key_range(source, wanted, parts, profile)
     rows = coerce_table(rows, declared_schema, charset)
     if single_file:
         if profile.rows > SINGLE_FILE_ROWS:
@@ -161,7 +155,7 @@ def run_extract(
 def run_extract_jdbc(
     spark: SparkSession,
     url: str,
-    table: str,
+    table: str | Sequence[str],
     out_dir: str,
     keys: Sequence[str] = (),
     n: int | None = None,
@@ -184,12 +178,13 @@ def run_extract_jdbc(
     meanwhile, so the row check compares what was read with what was stored.
     """
     started = time.monotonic()
-    final = _final_path(spark, out_dir, table, overwrite)
+    label = table if isinstance(table, str) else table[-1]
+    final = _final_path(spark, out_dir, label, overwrite)
     wanted = [] if strategy == UNKEYED else list(keys)
     profile = profile_jdbc(spark, url, table, wanted[0] if wanted else None, properties, quote)
     chosen = strategy_of(profile.rows, len(wanted), strategy)
     if chosen == EMPTY:
-        return _nothing(table, started)
+        return _nothing(label, started)
     n = n or partitions_for(profile.rows, None, has_text_blob, DEFAULT_CONNECTIONS)
     if chosen == UNKEYED:
         rows = read_jdbc_all(spark, url, table, properties, quote)
@@ -208,7 +203,7 @@ def run_extract_jdbc(
     rows = coerce_table(rows, declared_schema, charset)
     written, megabytes = _store(rows, final, compress, rows_per_file(profile.rows, has_text_blob), None)
     seconds = time.monotonic() - started
-    return ExtractStats(table, chosen, written, seconds, megabytes, written / seconds, final)
+    return ExtractStats(label, chosen, written, seconds, megabytes, written / seconds, final)
 
 
 def run_extracts(jobs: Sequence[Callable[[], ExtractStats]], at_once: int = 4) -> list[ExtractStats]:

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from tablehaul.names import columns
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import range_counts
 from tablehaul.sources.files import staged
 from tablehaul.sources.tables import (
-    EVEN_ENOUGH_ROWS,
     default_partitions,
     ranges_are_even,
     read_by_key_range,
@@ -37,7 +37,7 @@ def with_row_number(
     keys: Sequence[str],
     n: int | None = None,
     profile: KeyProfile | None = None,
-    even_floor: int = EVEN_ENOUGH_ROWS,
+    even_floor: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``row_no``, 1-based over the whole table in order of unique ``keys``.
 
@@ -61,7 +61,7 @@ def with_row_number(
     earlier = F.sum("n_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_part", F.coalesce(earlier, F.lit(0).cast("bigint")).alias("_before"))
     return placed.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_before") + F.col("_place") + F.lit(1)).alias("row_no")
+        *columns(df.columns), (F.col("_before") + F.col("_place") + F.lit(1)).alias("row_no")
     )
 
 
@@ -71,7 +71,7 @@ def with_page_number(
     page_rows: int,
     n: int | None = None,
     profile: KeyProfile | None = None,
-    even_floor: int = EVEN_ENOUGH_ROWS,
+    even_floor: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``page_no``: page *i* holds rows ``i*page_rows+1 .. (i+1)*page_rows``."""
     if page_rows < 1:
@@ -99,5 +99,5 @@ def page(df: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame
     if not 1 <= first <= last:
         raise ValueError(f"not a row interval: {first}..{last}")
     if last <= TOP_ROWS:
-        return df.orderBy(*keys).offset(first - 1).limit(last - first + 1)
+        return df.orderBy(*columns(keys)).offset(first - 1).limit(last - first + 1)
     return with_row_number(df, keys).where(F.col("row_no").between(first, last)).drop("row_no")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tablehaul.names import columns
+
 
 def key_balance(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: ``in_source`` and ``in_extract`` row counts, in one shuffle.
@@ -13,10 +15,11 @@ def key_balance(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) ->
     Both sides are tagged and grouped together instead of joined; counts combine
     before the shuffle, so a hot key moves as one row per task. NULL keys group too.
     """
-    tagged = source.select(*keys, F.lit(1).alias("s"), F.lit(0).alias("e")).union(
-        extracted.select(*keys, F.lit(0).alias("s"), F.lit(1).alias("e"))
+    by = columns(keys)
+    tagged = source.select(*by, F.lit(1).alias("s"), F.lit(0).alias("e")).union(
+        extracted.select(*by, F.lit(0).alias("s"), F.lit(1).alias("e"))
     )
-    return tagged.groupBy(*keys).agg(F.sum("s").alias("in_source"), F.sum("e").alias("in_extract"))
+    return tagged.groupBy(*by).agg(F.sum("s").alias("in_source"), F.sum("e").alias("in_extract"))
 
 
 def reconcile(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:

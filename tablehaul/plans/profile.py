@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tablehaul.names import column, quoted
+
 
 @dataclass(frozen=True)
 class KeyProfile:
@@ -45,9 +47,9 @@ def profile_frame(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias("n")).select(
             "n", nothing.alias("lo"), nothing.alias("hi"), F.lit(0).cast("bigint").alias("null_keys")
         )
-    present = [F.count(k).alias(f"present_{i}") for i, k in enumerate(keys)]
+    present = [F.count(column(k)).alias(f"present_{i}") for i, k in enumerate(keys)]
     facts = df.agg(
-        F.count(F.lit(1)).alias("n"), F.min(keys[0]).alias("lo"), F.max(keys[0]).alias("hi"), *present
+        F.count(F.lit(1)).alias("n"), F.min(column(keys[0])).alias("lo"), F.max(column(keys[0])).alias("hi"), *present
     )
     nulls = [F.col("n") - F.col(f"present_{i}") for i in range(len(keys))]
     return facts.select(
@@ -74,7 +76,7 @@ def column_stats(df: DataFrame) -> DataFrame:
     """
     measures, rows = ["count(1) AS n"], []
     for i, field in enumerate(df.schema.fields):
-        name = "`" + field.name.replace("`", "``") + "`"
+        name = quoted(field.name)
         label = field.name.replace("\\", "\\\\").replace("'", "\\'")
         length = "CAST(NULL AS DOUBLE)"
         measures.append(f"count({name}) AS present_{i}")

@@ -13,6 +13,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tablehaul.names import column, quoted
 from tablehaul.plans.profile import KeyProfile, profile_key
 
 MAX_CHUNKS = 1_000_000
@@ -105,7 +106,7 @@ def range_counts(df: DataFrame, key: str, n: int, profile: KeyProfile | None = N
     if profile.rows == 0:
         return ranges_frame(df.sparkSession, []).withColumn("n_rows", F.lit(0).cast("bigint"))
     ranges = plan_ranges(profile.lo, profile.hi, n)
-    counted = df.groupBy(range_id(F.col(key), profile.lo, profile.hi, n).cast("bigint").alias("range_id")).agg(
+    counted = df.groupBy(range_id(column(key), profile.lo, profile.hi, n).cast("bigint").alias("range_id")).agg(
         F.count(F.lit(1)).alias("n_rows")
     )
     return (
@@ -117,7 +118,7 @@ def range_counts(df: DataFrame, key: str, n: int, profile: KeyProfile | None = N
 
 def heaviest_range(df: DataFrame, key: str, n: int, profile: KeyProfile) -> int:
     """Rows in the fullest equal-width range; reads the key column only."""
-    ids = df.groupBy(range_id(F.col(key), profile.lo, profile.hi, n)).agg(F.count(F.lit(1)).alias("n_rows"))
+    ids = df.groupBy(range_id(column(key), profile.lo, profile.hi, n)).agg(F.count(F.lit(1)).alias("n_rows"))
     return ids.agg(F.max("n_rows")).first()[0] or 0
 
 
@@ -139,7 +140,7 @@ def plan_balanced_ranges(
     if n > 1:
         shares = [i / n for i in range(1, n)]
         cuts = df.agg(
-            F.percentile_approx(F.col(key).cast("bigint"), shares, max(10_000, 100 * n))
+            F.percentile_approx(column(key).cast("bigint"), shares, max(10_000, 100 * n))
         ).first()[0]
     hot = {c for c, times in Counter([*cuts, profile.hi]).items() if times > 1}
     ends = sorted({*cuts, *(c - 1 for c in hot if c > profile.lo), profile.hi})
@@ -199,18 +200,18 @@ def plan_key_predicates(
     shares = {}
     lone = [r for r in ranges if r.lo == r.hi]
     if len(keys) > 1 and n > 1 and lone:
-        counted = df.groupBy(assign_range(F.col(keys[0]), ranges).alias("range_id")).agg(
+        counted = df.groupBy(assign_range(column(keys[0]), ranges).alias("range_id")).agg(
             F.count(F.lit(1)).alias("n_rows")
         )
         rows = {r["range_id"]: r["n_rows"] for r in counted.collect()}
         heavy = {r.lo: -(-rows.get(r.range_id, 0) * n // profile.rows) for r in lone}
         shares = {key: parts for key, parts in heavy.items() if parts > 2}
     ranges = cut_ranges(ranges, -(-n // base))
-    lead = quote + keys[0].replace(quote, quote * 2) + quote
+    lead = quoted(keys[0], quote)
     out = []
     for r, predicate in zip(ranges, range_predicates(lead, ranges, open_ended=True)):
         if r.lo == r.hi and r.lo in shares:
-            rest = df.where(F.col(keys[0]) == r.lo)
+            rest = df.where(column(keys[0]) == r.lo)
             inner = plan_key_predicates(rest, keys[1:], shares[r.lo], quote)
             out += [f"{predicate} AND {p}" for p in inner]
         else:

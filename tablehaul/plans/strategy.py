@@ -25,6 +25,8 @@ BATCH_FLOOR = 100_000
 MAX_PARTITIONS = 100_000
 MIN_PARTITION_ROWS = 10_000
 PARTITION_BYTES = 256 * 1024 * 1024
+# compressed columnar bytes, unpacked into rows
+GROWTH = 4
 
 
 def strategy_of(rows: int, key_columns: int, override: str | None = None) -> str:
@@ -82,16 +84,23 @@ def choose_strategy(profiles: DataFrame) -> DataFrame:
     )
 
 
+def partition_rows(rows: int, source_bytes: int | None) -> int:
+    """Rows of this table that suit one task: a row group at most, fewer if they are wide."""
+    if not source_bytes:
+        return BATCH_TOP
+    return min(BATCH_TOP, max(1, rows * PARTITION_BYTES // (source_bytes * GROWTH)))
+
+
 def partitions_for(rows: int, source_bytes: int | None, has_text_blob: bool, cores: int) -> int:
     """Shuffle partitions for a whole-table rewrite: sized by rows and by bytes.
 
     Both matter: a few million long texts fill an executor that the same number of
-    narrow rows would not. Compressed columnar bytes are taken to grow fourfold.
-    Smaller tables spread over the cores, but not into tiny files.
+    narrow rows would not. Partitions aim below the file size, so that a slightly
+    larger one does not spill into a second, tiny file. Smaller tables spread over the cores, but not into tiny files.
     """
     if rows == 0:
         return 1
-    by_rows = -(-rows // rows_per_file(rows, has_text_blob))
-    by_bytes = -(-(source_bytes or 0) * 4 // PARTITION_BYTES)
+    by_rows = -(-rows * 5 // (4 * rows_per_file(rows, has_text_blob)))
+    by_bytes = -(-(source_bytes or 0) * GROWTH // PARTITION_BYTES)
     by_cores = min(cores, -(-rows // MIN_PARTITION_ROWS))
     return max(1, min(max(by_rows, by_bytes, by_cores), MAX_PARTITIONS, rows))

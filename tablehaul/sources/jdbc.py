@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablehaul.names import quoted
 from tablehaul.plans.profile import KeyProfile
 from tablehaul.plans.ranges import KeyRange, plan_ranges, range_predicates
 
@@ -16,17 +17,19 @@ DEFAULT_CONNECTIONS = 8
 DEFAULT_FETCH_ROWS = 10_000
 
 
-def quoted(name: str, quote: str = '"') -> str:
-    return quote + name.replace(quote, quote * 2) + quote
+def table_name(table: str | Sequence[str], quote: str = '"') -> str:
+    """Quoted table name; give a schema as ``("schema", "table")``."""
+    parts = [table] if isinstance(table, str) else table
+    return ".".join(quoted(p, quote) for p in parts)
 
 
 def _settings(properties: Mapping[str, str] | None) -> dict[str, str]:
     return {"fetchsize": str(DEFAULT_FETCH_ROWS), **(properties or {})}
 
 
-def profile_query(table: str, key: str | None, quote: str = '"') -> str:
+def profile_query(table: str | Sequence[str], key: str | None, quote: str = '"') -> str:
     """Count and key bounds as one statement that the source itself evaluates."""
-    name = quoted(table, quote)
+    name = table_name(table, quote)
     if key is None:
         return f"SELECT COUNT(*) AS n FROM {name}"
     k = quoted(key, quote)
@@ -36,7 +39,7 @@ def profile_query(table: str, key: str | None, quote: str = '"') -> str:
 def profile_jdbc(
     spark: SparkSession,
     url: str,
-    table: str,
+    table: str | Sequence[str],
     key: str | None = None,
     properties: Mapping[str, str] | None = None,
     quote: str = '"',
@@ -55,7 +58,7 @@ def profile_jdbc(
 def read_jdbc_by_key_range(
     spark: SparkSession,
     url: str,
-    table: str,
+    table: str | Sequence[str],
     keys: Sequence[str],
     profile: KeyProfile,
     ranges: Sequence[KeyRange] | None = None,
@@ -85,13 +88,13 @@ def read_jdbc_by_key_range(
 def read_jdbc_all(
     spark: SparkSession,
     url: str,
-    table: str,
+    table: str | Sequence[str],
     properties: Mapping[str, str] | None = None,
     quote: str = '"',
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """Whole table in one scan, or one partition per caller-given disjoint predicate."""
-    name = quoted(table, quote)
+    name = table_name(table, quote)
     if predicates:
         return spark.read.jdbc(url, name, predicates=list(predicates), properties=_settings(properties))
     return spark.read.jdbc(url, name, properties=_settings(properties))

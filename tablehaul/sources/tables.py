@@ -6,14 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablehaul import names
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import heaviest_range, range_id
-from tablehaul.plans.strategy import partitions_for
+from tablehaul.plans.strategy import partition_rows, partitions_for
 from tablehaul.sources.files import source_bytes
 
-# A range of this many rows suits one task, so smaller tables are not checked for skew.
-EVEN_ENOUGH_ROWS = 1_000_000
-EVEN_ENOUGH_TEXTS = 100_000
 
 
 def read_all(
@@ -29,13 +27,19 @@ def read_all(
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in the table: {missing}")
-    return df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns])
+    return df.select(*names.columns(columns))
 
 
 def ranges_are_even(
-    df: DataFrame, key: str, n: int, profile: KeyProfile, floor: int = EVEN_ENOUGH_ROWS
+    df: DataFrame, key: str, n: int, profile: KeyProfile, floor: int | None = None
 ) -> bool:
-    """Whether no equal-width range holds more than twice its share of the rows."""
+    """Whether no equal-width range holds more than twice its share of the rows.
+
+    Ranges of up to ``floor`` rows, by default what suits one task, are never too
+    large, so small tables are not counted.
+    """
+    if floor is None:
+        floor = partition_rows(profile.rows, source_bytes(df))
     if profile.rows <= floor:
         return True
     allowed = max(2 * profile.rows // min(n, profile.span), floor)
@@ -49,8 +53,8 @@ def default_partitions(df: DataFrame, rows: int, has_text_blob: bool = False) ->
 
 def split_by_plan(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfile) -> DataFrame:
     """Partition *i* holds equal-width range *i* of the leading key, sorted by all keys."""
-    ids = range_id(F.col(keys[0]), profile.lo, profile.hi, n)
-    return df.repartitionById(min(n, profile.span), ids).sortWithinPartitions(*keys)
+    ids = range_id(names.column(keys[0]), profile.lo, profile.hi, n)
+    return df.repartitionById(min(n, profile.span), ids).sortWithinPartitions(*names.columns(keys))
 
 
 def split_by_sample(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
@@ -62,8 +66,8 @@ def split_by_sample(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
     split = "_input_partition"
     return (
         df.withColumn(split, F.spark_partition_id())
-        .repartitionByRange(n, *keys, split)
-        .sortWithinPartitions(*keys)
+        .repartitionByRange(n, *names.columns(keys), split)
+        .sortWithinPartitions(*names.columns(keys))
         .drop(split)
     )
 
@@ -73,7 +77,7 @@ def read_by_key_range(
     keys: Sequence[str],
     n: int | None = None,
     profile: KeyProfile | None = None,
-    even_floor: int = EVEN_ENOUGH_ROWS,
+    even_floor: int | None = None,
 ) -> DataFrame:
     """Rows in up to ``n`` disjoint key ranges, one partition each, sorted by all keys.
 

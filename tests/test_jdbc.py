@@ -46,6 +46,7 @@ def test_profile_statement_is_one_aggregate_with_quoted_names():
     assert jdbc.profile_query('OD"D', "K") == (
         'SELECT COUNT(*) AS n, MIN("K") AS lo, MAX("K") AS hi, COUNT("K") AS keyed FROM "OD""D"'
     )
+    assert jdbc.table_name(("S", "T")) == '"S"."T"'
     assert jdbc.profile_query("T", None) == 'SELECT COUNT(*) AS n FROM "T"'
 
 

@@ -151,3 +151,22 @@ def test_column_stats_with_odd_names_and_no_rows(spark):
     assert [r["column_name"] for r in column_stats(df).orderBy("position").collect()] == df.columns
     empty = column_stats(df.where("false")).collect()
     assert len(empty) == 2 and {(r["n"], r["null_ratio"]) for r in empty} == {(0, None)}
+
+
+def test_odd_key_names(spark):
+    df = spark.range(100).select(F.col("id").alias("a.b"), (F.col("id") % 3).alias("c`d"))
+    for floor in (0, None):
+        out = with_page_number(df, ["a.b", "c`d"], 10, 4, even_floor=floor)
+        assert out.columns == ["a.b", "c`d", "page_no"]
+        assert [r["count"] for r in out.groupBy("page_no").count().collect()] == [10] * 10
+    from tablehaul.operators.reconcile import reconcile
+
+    assert list(reconcile(df, df, ["a.b", "c`d"]).first()) == [100, 100, 0, 0, 0]
+
+
+def test_wide_rows_are_checked_for_skew_earlier():
+    from tablehaul.plans.strategy import partition_rows
+
+    assert partition_rows(10**9, None) == 1_000_000
+    assert partition_rows(600_000, 10**7) == 1_000_000
+    assert partition_rows(1_000_000, 10**12) < 100
