@@ -28,8 +28,17 @@ def work_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{work_dir(spark)}/tablehaul/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark)}/tablehaul/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application staged; frames that read it are of no use afterwards."""
+    remove_dir(spark, _own_dir(spark))
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

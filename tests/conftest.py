@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tablehaul.sources.files import clear_work  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 
 
@@ -23,6 +25,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_work(session)
     session.stop()
 
 

@@ -17,7 +17,7 @@ class FakeSession:
 def test_shared_folder_comes_from_the_session():
     session = FakeSession("spark://h:7077", **{"spark.checkpoint.dir": "hdfs://n/ck/"})
     assert files.work_dir(session) == "hdfs://n/ck"
-    assert files.fresh_path(session, "x").startswith("hdfs://n/ck/tablehaul/x-")
+    assert files.fresh_path(session, "x").startswith(f"hdfs://n/ck/tablehaul/{session.sparkContext.applicationId}/x-")
 
 
 def test_cluster_without_shared_folder_is_refused():
@@ -35,5 +35,16 @@ def test_staged_rows_come_back(spark, keyed):
     assert sorted(r["k"] for r in files.staged(df, "t").collect()) == list(range(10))
 
 
+def test_own_stage_can_be_cleared(spark, keyed, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        files.staged(keyed(range(10)), "t")
+        assert list(tmp_path.glob("tablehaul/*/t-*"))
+        files.clear_work(spark)
+        assert not list(tmp_path.glob("tablehaul/*"))
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+
+
 def test_size_estimate(spark, table):
     assert files.source_bytes(table("orders")) > 1000
