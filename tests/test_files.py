@@ -35,15 +35,12 @@ def test_staged_rows_come_back(spark, keyed):
     assert sorted(r["k"] for r in files.staged(df, "t").collect()) == list(range(10))
 
 
-def test_own_stage_can_be_cleared(spark, keyed, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        files.staged(keyed(range(10)), "t")
-        assert list(tmp_path.glob("tablehaul/*/t-*"))
-        files.clear_work(spark)
-        assert not list(tmp_path.glob("tablehaul/*"))
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_own_stage_can_be_cleared(spark, keyed, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "work_dir", lambda spark: str(tmp_path))
+    files.staged(keyed(range(10)), "t")
+    assert list(tmp_path.glob("tablehaul/*/t-*"))
+    files.clear_work(spark)
+    assert not list(tmp_path.glob("tablehaul/*"))
 
 
 def test_size_estimate(spark, table):
