@@ -167,6 +167,20 @@ def extract_uneven_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def extract_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and column types come from the catalog, not from the caller."""
+    tables = _tables(spark, sf_dir)
+    catalog = _catalog(spark, tables)
+    columns = th.resolve_columns(catalog)
+    return _extract(
+        spark,
+        tables["customer"],
+        "CUSTOMER",
+        th.keys_of(catalog, columns, "CUSTOMER"),
+        declared_schema=th.declared_schema_of(columns, "CUSTOMER"),
+    )
+
+
 def extract_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "all")
 
@@ -425,7 +439,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
-    extract_text_blobs, extract_nested, extract_uneven_key, extract_stats, source_view_sql, page_slice, page_numbers,
+    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_stats, source_view_sql, page_slice, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
@@ -548,6 +562,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT vec_id, CAST(i - 1 AS INTEGER) AS dim, embedding[i] AS x, CAST(label AS BIGINT) AS label
             FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
         "extract_uneven_key": "SELECT *, o_orderkey * o_orderkey AS sq_key FROM orders",
+        "extract_by_catalog": f"SELECT {_coerced('customer')} FROM customer",
         "extract_stats": f"""
             SELECT p.table_name, {_strategy('k.key_size')} AS strategy, p.n AS rows, p.n > 0 AS wrote
             FROM ({_profile_rows()}) p JOIN {key_sizes} AS k(table_name, key_size, blob) USING (table_name)""",

@@ -12,8 +12,11 @@ from tablehaul.operators.paging import page, read_in_key_order, with_page_number
 from tablehaul.operators.reconcile import key_balance, reconcile
 from tablehaul.plans.catalog import (
     Catalog,
+    declared_schema_of,
     describe_tables,
     detect_keys,
+    for_table,
+    keys_of,
     mark_text_blobs,
     resolve_columns,
     text_blob_tables,
@@ -32,7 +35,8 @@ from tablehaul.plans.ranges import (
     ranges_frame,
 )
 from tablehaul.plans.strategy import choose_strategy, rows_per_file, strategy_of
-from tablehaul.sources.jdbc import profile_jdbc, read_jdbc_all, read_jdbc_by_key_range
+from tablehaul.sources.files import clear_work
+from tablehaul.sources.jdbc import profile_jdbc, read_catalog, read_jdbc_all, read_jdbc_by_key_range
 from tablehaul.sources.parquet import compact, write_extract
 from tablehaul.sources.tables import read_all, read_by_key_range, register_source
 

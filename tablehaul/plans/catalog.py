@@ -133,6 +133,23 @@ def detect_keys(catalog: Catalog, columns: DataFrame) -> DataFrame:
     )
 
 
+def for_table(frame: DataFrame, table: str) -> DataFrame:
+    """Rows of one table; catalogs hold names in upper case, users type them as they like."""
+    return frame.where(F.upper("relation_name") == table.strip().upper())
+
+
+def keys_of(catalog: Catalog, columns: DataFrame, table: str) -> list[str]:
+    """Key columns of one table in key order, none if it has no usable key."""
+    found = for_table(detect_keys(catalog, columns), table).where("usable").first()
+    return list(found["key_columns"]) if found else []
+
+
+def declared_schema_of(columns: DataFrame, table: str) -> dict[str, str]:
+    """Portable types of one table's columns, as :func:`coerce_table` takes them."""
+    rows = for_table(columns, table).select("column_name", "target_type").collect()
+    return {r["column_name"]: r["target_type"] for r in rows}
+
+
 def mark_text_blobs(df: DataFrame, columns: Collection[str]) -> DataFrame:
     """Note in the schema which columns hold long text; extracts size their files by it."""
     return df.withColumns({c: F.col(c).alias(c, metadata={TEXT_BLOB_FLAG: True}) for c in columns})

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tablehaul.names import quoted
+from tablehaul.plans.catalog import Catalog
 from tablehaul.plans.profile import KeyProfile
 from tablehaul.plans.ranges import KeyRange, plan_ranges, range_predicates
 
@@ -55,6 +56,17 @@ def profile_jdbc(
     return KeyProfile(int(n), None if lo is None else int(lo), None if hi is None else int(hi), 0)
 
 
+def read_catalog(
+    spark: SparkSession, url: str, queries: Mapping[str, str], properties: Mapping[str, str] | None = None
+) -> Catalog:
+    """Catalog frames from one query each, named after the fields of :class:`Catalog`."""
+    missing = [name for name in Catalog._fields if name not in queries]
+    if missing:
+        raise ValueError(f"no query for catalog frames: {missing}")
+    reader = spark.read.format("jdbc").option("url", url).options(**_settings(properties))
+    return Catalog(*[reader.option("query", queries[name]).load() for name in Catalog._fields])
+
+
 def read_jdbc_by_key_range(
     spark: SparkSession,
     url: str,

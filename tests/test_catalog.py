@@ -3,9 +3,11 @@ import pytest
 from tablehaul.functions.coerce import coerce_table
 from tablehaul.plans.catalog import (
     Catalog,
+    declared_schema_of,
     describe_tables,
     detect_keys,
     has_text_blob,
+    keys_of,
     mark_text_blobs,
     resolve_columns,
     text_blob_tables,
@@ -77,6 +79,13 @@ def test_keys_in_segment_order(catalog):
     assert keys["CODES"]["key_columns"] == ["N", "CODE"] and not keys["CODES"]["usable"]
 
 
+def test_one_table_by_name_in_any_case(catalog):
+    columns = resolve_columns(catalog)
+    assert keys_of(catalog, columns, " lines") == ["ORDER_ID", "LINE_NO"]
+    assert keys_of(catalog, columns, "Codes") == keys_of(catalog, columns, "LOGS") == []
+    assert declared_schema_of(columns, "lines") == {"LINE_NO": "int64", "ORDER_ID": "int64", "RAW": "binary"}
+
+
 def test_described_files_resolve_like_a_catalog(spark, table):
     tables = {"orders": table("orders"), "documents": table("documents"), "embeddings": table("embeddings")}
     described = describe_tables(spark, tables, {"orders": ["o_orderkey"]}, {("documents", "text")})

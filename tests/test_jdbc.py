@@ -50,6 +50,11 @@ def test_profile_statement_is_one_aggregate_with_quoted_names():
     assert jdbc.profile_query("T", None) == 'SELECT COUNT(*) AS n FROM "T"'
 
 
+def test_catalog_needs_all_queries(spark):
+    with pytest.raises(ValueError, match="index_segments"):
+        jdbc.read_catalog(spark, "jdbc:x", {n: "SELECT 1" for n in ("relation_fields", "fields", "indices", "relation_constraints")})
+
+
 def test_one_predicate_per_connection(spark, table, source):
     source.df = table("orders")
     profile = jdbc.KeyProfile(1500, 0, 1499, 0)
