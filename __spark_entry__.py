@@ -207,6 +207,13 @@ def page_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return th.page(_table(spark, sf_dir, "orders"), KEYS["orders"], 101, 150)
 
 
+def page_slice_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last rows of the table: only the key ranges that hold them are read."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    rows = lineitem.count()
+    return th.page(lineitem, KEYS["lineitem"], rows - 49, rows)
+
+
 def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem").select(*KEYS["lineitem"])
     return th.with_page_number(lineitem, KEYS["lineitem"], PAGE)
@@ -432,6 +439,14 @@ def reconcile_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return th.reconcile(orders, faulty, KEYS["orders"])
 
 
+def reconcile_screened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few faults in a whole table: one customer's orders lost, another's doubled."""
+    orders = _table(spark, sf_dir, "orders")
+    customer = F.col("o_custkey")
+    faulty = orders.where(customer != 7).union(orders.where(customer == 11))
+    return th.reconcile(orders, faulty, KEYS["orders"], screen=True)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: orders in disjoint key ranges to Parquet and back."""
     return extract_single_key(spark, "/root/testdata/sf0.001")
@@ -439,11 +454,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
-    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_stats, source_view_sql, page_slice, page_numbers,
+    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_stats, source_view_sql, page_slice, page_slice_far, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
-    compact_files, reconcile_clean, reconcile_faulty,
+    compact_files, reconcile_clean, reconcile_faulty, reconcile_screened,
 )
 
 
@@ -571,6 +586,7 @@ def oracle_sql() -> dict[str, str]:
                    max(o_orderkey) AS last_key
             FROM orders GROUP BY o_orderstatus, o_orderpriority""",
         "page_slice": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100",
+        "page_slice_far": f"SELECT * FROM lineitem ORDER BY {', '.join(k + ' DESC' for k in KEYS['lineitem'])} LIMIT 50",
         "page_numbers": f"""
             SELECT {lineitem_keys},
                    CAST((row_number() OVER (ORDER BY {lineitem_keys}) - 1) // {PAGE} AS BIGINT) AS page_no
@@ -659,4 +675,10 @@ def oracle_sql() -> dict[str, str]:
                    count(*) FILTER (WHERE o_orderstatus = 'P') AS missing_rows,
                    count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS extra_rows
             FROM orders""",
+        "reconcile_screened": """
+            SELECT count(*) AS source_rows,
+                   count(*) FILTER (WHERE o_custkey <> 7) + count(*) FILTER (WHERE o_custkey = 11) AS extracted_rows,
+                   count(*) FILTER (WHERE o_custkey = 11) AS duplicate_rows,
+                   count(*) FILTER (WHERE o_custkey = 7) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows
+            FROM orders""",
     }

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tablehaul.names import columns
+from tablehaul.names import column, columns
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import range_counts
+from tablehaul.plans.strategy import MAX_PARTITIONS
 from tablehaul.sources.files import staged
 from tablehaul.sources.tables import (
     default_partitions,
@@ -93,11 +96,27 @@ def read_in_key_order(
 def page(df: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
     """Rows ``first .. last`` (1-based, inclusive) of the table in key order.
 
-    Near the start this is a top-k; further in, whose top-k would pull every
-    earlier row together, rows are numbered in place and filtered.
+    Near the start this is a top-k. Further in, rows are counted per key range
+    first, from the key column alone; then only the ranges that hold the slice are
+    read, through a key filter that reaches the scan.
     """
     if not 1 <= first <= last:
         raise ValueError(f"not a row interval: {first}..{last}")
+    by = columns(keys)
     if last <= TOP_ROWS:
-        return df.orderBy(*columns(keys)).offset(first - 1).limit(last - first + 1)
-    return with_row_number(df, keys).where(F.col("row_no").between(first, last)).drop("row_no")
+        return df.orderBy(*by).offset(first - 1).limit(last - first + 1)
+    profile = profile_key(df, keys)
+    if first > profile.rows:
+        return df.limit(0)
+    n = min(-(-profile.rows // TOP_ROWS), MAX_PARTITIONS)
+    # one row per range
+    counts = range_counts(df, keys[0], n, profile).orderBy("range_id").collect()
+    ends = list(accumulate(r["n_rows"] for r in counts))
+    start = bisect_left(ends, first)
+    stop = bisect_left(ends, min(last, profile.rows))
+    before = ends[start] - counts[start]["n_rows"]
+    part = df.where(column(keys[0]).between(counts[start]["lo"], counts[stop]["hi"]))
+    if last - before <= TOP_ROWS:
+        return part.orderBy(*by).offset(first - 1 - before).limit(last - first + 1)
+    numbered = with_row_number(part, keys)
+    return numbered.where(F.col("row_no").between(first - before, last - before)).drop("row_no")

@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tablehaul.names import columns
 
+SCREEN_BUCKETS = 65_536
+
+
+def _tagged(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    by = columns(keys)
+    return source.select(*by, F.lit(1).alias("s"), F.lit(0).alias("e")).union(
+        extracted.select(*by, F.lit(0).alias("s"), F.lit(1).alias("e"))
+    )
+
+
+def _balance(tagged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return tagged.groupBy(*columns(keys)).agg(F.sum("s").alias("in_source"), F.sum("e").alias("in_extract"))
+
 
 def key_balance(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: ``in_source`` and ``in_extract`` row counts, in one shuffle.
@@ -15,29 +28,64 @@ def key_balance(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) ->
     Both sides are tagged and grouped together instead of joined; counts combine
     before the shuffle, so a hot key moves as one row per task. NULL keys group too.
     """
-    by = columns(keys)
-    tagged = source.select(*by, F.lit(1).alias("s"), F.lit(0).alias("e")).union(
-        extracted.select(*by, F.lit(0).alias("s"), F.lit(1).alias("e"))
+    return _balance(_tagged(source, extracted, keys), keys)
+
+
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0).cast("bigint"))
+
+
+def _report(balance: DataFrame) -> DataFrame:
+    s, e, zero = F.col("in_source"), F.col("in_extract"), F.lit(0).cast("bigint")
+    return balance.agg(
+        _total(s).alias("source_rows"),
+        _total(e).alias("extracted_rows"),
+        _total(F.when(s > 0, F.greatest(e - s, zero)).otherwise(zero)).alias("duplicate_rows"),
+        _total(F.greatest(s - e, zero)).alias("missing_rows"),
+        _total(F.when(s == 0, e).otherwise(zero)).alias("extra_rows"),
     )
-    return tagged.groupBy(*by).agg(F.sum("s").alias("in_source"), F.sum("e").alias("in_extract"))
 
 
-def reconcile(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reconcile(
+    source: DataFrame, extracted: DataFrame, keys: Sequence[str], screen: bool = False
+) -> DataFrame:
     """One row: ``source_rows, extracted_rows, duplicate_rows, missing_rows, extra_rows``.
 
     Duplicates are surplus rows of a key the source has, extras are rows of a key
     it does not have.
+
+    ``screen`` is for tables whose keys are too many to shuffle: it first compares
+    row counts and sums of key hashes per hash bucket, which combine before the shuffle,
+    and then groups only the keys of buckets that differ. A clean extract costs two scans of
+    the key columns. Two buckets with different keys agree by chance in about one of 2^64 cases;
+    without ``screen`` every key is compared.
     """
-    s, e = F.col("in_source"), F.col("in_extract")
+    tagged = _tagged(source, extracted, keys)
+    if not screen:
+        return _report(_balance(tagged, keys))
+    hashed = tagged.withColumn("_hash", F.xxhash64(*columns(keys)))
+    bucketed = hashed.withColumn("_bucket", F.pmod("_hash", F.lit(SCREEN_BUCKETS)))
+    # the hash in three pieces, whose sums fit a bigint for 2^41 rows of one bucket
+    pieces = [F.shiftrightunsigned("_hash", shift).bitwiseAND(F.lit((1 << 22) - 1)) for shift in (0, 22, 44)]
+    sign = F.col("s") - F.col("e")
+    sums = bucketed.groupBy("_bucket").agg(
+        F.sum("s").alias("in_source"),
+        F.sum("e").alias("in_extract"),
+        *[F.sum(p * sign).alias(f"difference_{i}") for i, p in enumerate(pieces)],
+    )
+    differs = F.col("in_source") != F.col("in_extract")
+    for i in range(len(pieces)):
+        differs = differs | (F.col(f"difference_{i}") != 0)
+    # at most SCREEN_BUCKETS rows
+    suspects = F.broadcast(sums.where(differs).select("_bucket"))
+    found = _report(_balance(bucketed.join(suspects, "_bucket", "left_semi"), keys))
     zero = F.lit(0).cast("bigint")
-
-    def total(value):
-        return F.coalesce(F.sum(value), zero)
-
-    return key_balance(source, extracted, keys).agg(
-        total(s).alias("source_rows"),
-        total(e).alias("extracted_rows"),
-        total(F.when(s > 0, F.greatest(e - s, zero)).otherwise(zero)).alias("duplicate_rows"),
-        total(F.greatest(s - e, zero)).alias("missing_rows"),
-        total(F.when(s == 0, e).otherwise(zero)).alias("extra_rows"),
+    counted = sums.agg(
+        _total(F.col("in_source")).alias("source_rows"),
+        _total(F.col("in_extract")).alias("extracted_rows"),
+        *[zero.alias(c) for c in ("duplicate_rows", "missing_rows", "extra_rows")],
+    )
+    faults = found.select(
+        zero.alias("source_rows"), zero.alias("extracted_rows"), "duplicate_rows", "missing_rows", "extra_rows"
     )
+    return counted.union(faults).agg(*[F.sum(c).alias(c) for c in counted.columns])

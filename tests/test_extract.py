@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tablehaul.operators import extract as extract_module
 from tablehaul.operators.extract import extract_stats, run_extract, run_extracts
-from tablehaul.operators.reconcile import key_balance, reconcile
+from tablehaul.operators.reconcile import key_balance
+from tablehaul.operators.reconcile import reconcile as plain_reconcile
 from tablehaul.plans.catalog import mark_text_blobs
 from tablehaul.sources.parquet import compact, write_extract
 
@@ -144,7 +145,11 @@ def test_many_tables(spark, table, tmp_path):
     assert [(r["table_name"], r["rows"]) for r in rows] == [("region", 5), ("nation", 25), ("supplier", 10)]
 
 
-def test_reconcile_counts(spark):
+@pytest.mark.parametrize("screen", [False, True])
+def test_reconcile_counts(spark, screen):
+    def reconcile(*args):
+        return plain_reconcile(*args, screen=screen)
+
     source = spark.range(100).withColumnRenamed("id", "k")
     extract = source.where("k not in (5, 6)").union(source.where("k in (1, 2, 3)"))
     report = reconcile(source, extract, ["k"]).first().asDict()

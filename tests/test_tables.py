@@ -133,6 +133,21 @@ def test_page_slices_near_and_far(keyed):
         page(df, ["k"], 0, 5)
 
 
+@pytest.mark.parametrize("first,last", [(1, 12_000), (9_999, 10_002), (20_000, 20_049), (29_990, 40_000), (5, 30_000)])
+@pytest.mark.parametrize("shape", ["even", "cubes", "hot"])
+def test_slices_of_any_size_and_key(spark, first, last, shape):
+    i = F.col("id")
+    lead = {"even": i * 3, "cubes": i * i * i, "hot": F.when(i > 12_000, 12_000).otherwise(i)}[shape]
+    df = spark.range(30_000).select(lead.alias("a"), i.alias("b"))
+    got = sorted(r["b"] for r in page(df, ["a", "b"], first, last).collect())
+    assert got == list(range(first - 1, min(last, 30_000)))
+
+
+def test_far_slices_read_only_their_ranges(table):
+    plan = explained(page(table("lineitem").unionAll(table("lineitem")), ["l_orderkey"], 11_000, 11_001))
+    assert "GreaterThanOrEqual(l_orderkey" in plan
+
+
 def test_key_order_across_partitions(table):
     parts = parts_of(read_in_key_order(table("conversations"), ["conv_id", "turn"], 4), "conv_id")
     assert all(a["hi"] <= b["lo"] for a, b in zip(parts, parts[1:]))
