@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablehaul.names import columns
 
-SCREEN_BUCKETS = 65_536
+SCREEN_BUCKETS = 4096
 
 
 def _tagged(source: DataFrame, extracted: DataFrame, keys: Sequence[str]) -> DataFrame:
