@@ -11,6 +11,7 @@ from dataclasses import astuple, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablehaul.functions.coerce import coerce_table
+from tablehaul.names import columns
 from tablehaul.operators.reconcile import reconcile
 from tablehaul.plans.catalog import has_text_blob as marked_text_blob
 from tablehaul.plans.profile import profile_key
@@ -24,7 +25,7 @@ from tablehaul.sources.jdbc import (
     read_jdbc_by_key_range,
 )
 from tablehaul.sources.parquet import write_extract
-from tablehaul.sources.tables import default_partitions, read_by_key_range
+from tablehaul.sources.tables import default_partitions, partitions_are_ranges, read_by_key_range
 
 SINGLE_FILE_ROWS = 10_000_000
 
@@ -101,6 +102,7 @@ def run_extract(
     single_file: bool = False,
     overwrite: bool = False,
     check_keys: bool = False,
+    presorted: bool = False,
 ) -> ExtractStats:
     """Profile, choose a strategy, read, coerce, write and count one table.
 
@@ -108,7 +110,9 @@ def run_extract(
     only when complete: files go to a sibling folder first, their footers must
     hold as many rows as the source, and then the folder is moved. Any failure
     raises and leaves an earlier extract as it was. An empty table writes nothing.
-    ``strategy='unkeyed'`` skips the shuffle where key order is not wanted.
+    ``strategy='unkeyed'`` skips the shuffle where key order is not wanted, and
+    ``presorted`` where the source's files are in key order already: if its scan's
+    partitions turn out to be disjoint key ranges, they are kept as they are.
     ``check_keys`` also reconciles every key before the move. Without
     ``has_text_blob`` the mark in the source's schema decides.
     """
@@ -126,7 +130,9 @@ def run_extract(
         raise ValueError(f"strategy {chosen!r} needs a key")
 
     rows = source
-    if chosen != UNKEYED:
+    if chosen != UNKEYED and presorted and partitions_are_ranges(source, wanted, profile):
+        rows = source.sortWithinPartitions(*columns(wanted))
+    elif chosen != UNKEYED:
         parts = n or default_partitions(source, profile.rows, has_text_blob)
         rows = read_by_key_range(source, wanted, parts, profile)
     rows = coerce_table(rows, declared_schema, charset)

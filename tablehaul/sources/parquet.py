@@ -42,17 +42,17 @@ def compact(
 ) -> int:
     """Rewrite many small files as about ``rows / rows_per_file`` larger ones.
 
-    The row count comes from file footers. Without keys, neighbouring input
-    partitions are joined in place and no row is shuffled; with keys the output
-    is laid out again in key order. Returns the number of files aimed at.
+    The row count comes from file footers. Without keys no row is shuffled: input
+    partitions are joined in place, or cut into files where they hold more than
+    one. With keys the output is laid out again in key order. Returns the number
+    of files aimed at.
     """
     df = spark.read.parquet(path_in)
-    files = max(1, min(-(-df.count() // rows_per_file), MAX_PARTITIONS))
+    files = max(1, -(-df.count() // rows_per_file))
     if keys:
-        df = split_by_sample(df, keys, files)
+        write_extract(split_by_sample(df, keys, min(files, MAX_PARTITIONS)), path_out, compress, rows_per_file * 2)
     elif files <= df.rdd.getNumPartitions():
-        df = df.coalesce(files)
+        write_extract(df.coalesce(files), path_out, compress)
     else:
-        df = df.repartition(files)
-    write_extract(df, path_out, compress)
+        write_extract(df, path_out, compress, rows_per_file)
     return files

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
 from tablehaul import names
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
@@ -96,6 +97,27 @@ def read_by_key_range(
     return split_by_sample(df, keys, n)
 
 
+def partitions_are_ranges(df: DataFrame, keys: Sequence[str], profile: KeyProfile) -> bool:
+    """Whether each input partition already holds its own key interval, none too much of it.
+
+    Reads the key columns and compares one row per input partition. Partitions of a
+    file scan are the same in every pass; behind a shuffle they need not be, so such
+    a frame does not count.
+    """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return False
+    key = F.struct(*names.columns(keys))
+    bounds = df.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n_rows")
+    )
+    earlier = F.max("hi").over(Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))
+    facts = bounds.select("n_rows", (F.col("lo") <= earlier).alias("overlaps")).agg(
+        F.count(F.lit(1)).alias("parts"), F.max("n_rows").alias("heaviest"), F.bool_or("overlaps").alias("overlap")
+    )
+    parts, heaviest, overlap = facts.first()
+    return not overlap and heaviest <= max(2 * profile.rows // parts, partition_rows(profile.rows, source_bytes(df)))
+
+
 def register_source(spark: SparkSession, name: str, source: str | DataFrame) -> DataFrame:
     """Make a table readable as ``SELECT ... FROM name``; filters and columns reach its scan."""
     df = read_all(spark, source)

@@ -10,7 +10,9 @@ from tablehaul.operators.extract import extract_stats, run_extract, run_extracts
 from tablehaul.operators.reconcile import key_balance
 from tablehaul.operators.reconcile import reconcile as plain_reconcile
 from tablehaul.plans.catalog import mark_text_blobs
+from tablehaul.plans.profile import profile_key
 from tablehaul.sources.parquet import compact, write_extract
+from tablehaul.sources.tables import partitions_are_ranges, read_by_key_range
 
 
 def part_files(path):
@@ -159,3 +161,22 @@ def test_reconcile_counts(spark, screen):
     empty = source.where("false")
     assert list(reconcile(empty, empty, ["k"]).first()) == [0, 0, 0, 0, 0]
     assert key_balance(source, extract, ["k"]).where("in_source <> in_extract").count() == 5
+
+
+def test_presorted_sources_are_not_shuffled(spark, table, tmp_path):
+    orders, profile = table("orders"), profile_key(table("orders"), ["o_orderkey"])
+    write_extract(read_by_key_range(orders, ["o_orderkey"], 4), f"{tmp_path}/sorted")
+    write_extract(orders.repartition(4), f"{tmp_path}/mixed")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(2**27))  # one file per partition
+    try:
+        ranged, mixed = spark.read.parquet(f"{tmp_path}/sorted"), spark.read.parquet(f"{tmp_path}/mixed")
+        assert partitions_are_ranges(ranged, ["o_orderkey"], profile)
+        assert not partitions_are_ranges(mixed, ["o_orderkey"], profile)
+        assert not partitions_are_ranges(ranged.repartition(2), ["o_orderkey"], profile)
+        for name, df in (("a", ranged), ("b", mixed)):
+            stats = run_extract(df, name, str(tmp_path), ["o_orderkey"], 3, presorted=True, check_keys=True)
+            assert len(part_files(stats.path)) == (4 if name == "a" else 3)
+            assert same_rows(spark.read.parquet(stats.path), orders)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
