@@ -98,15 +98,15 @@ def read_by_key_range(
 
 
 def partitions_are_ranges(df: DataFrame, keys: Sequence[str], profile: KeyProfile) -> bool:
-    """Whether each input partition already holds its own key interval, none too much of it.
+    """Whether each input partition holds its own interval of the leading key, none too much of it.
 
-    Reads the key columns and compares one row per input partition. Partitions of a
+    Reads that column and compares one row per input partition. Partitions of a
     file scan are the same in every pass; behind a shuffle they need not be, so such
     a frame does not count.
     """
     if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return False
-    key = F.struct(*names.columns(keys))
+    key = names.column(keys[0])
     bounds = df.groupBy(F.spark_partition_id().alias("part")).agg(
         F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n_rows")
     )
