@@ -22,6 +22,14 @@ from tablehaul.functions.coerce import (  # noqa: E402
 )
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from tablehaul.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tablehaul.llm"):
+        raise
+    llm = None
+
 RANGES = 8
 PAGE = 100
 CHUNK = 500
@@ -462,10 +470,16 @@ _QUERIES = (
 )
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _QUERIES}
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return library_queries()
+    return library_queries() | llm.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
 # SQL counterparts
 
 
@@ -552,6 +566,13 @@ def _plain_digits(x: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return library_sql()
+    whole = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return library_sql() | llm.ORACLE_SQL | whole
+
+
+def library_sql() -> dict[str, str]:
     lineitem_keys = ", ".join(KEYS["lineitem"])
     key_sizes = _values((f"'{t}'", len(k), str(any(b[0] == t for b in TEXT_BLOBS)).lower()) for t, k in KEYS.items())
     key_lists = _values((f"'{t}'", f"'{','.join(k)}'") for t, k in KEYS.items() if k)

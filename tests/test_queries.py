@@ -26,15 +26,15 @@ def comparable(value):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.library_queries()) == set(driver.library_sql())
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", driver.library_queries())
 def test_query_matches_sql(spark, sql, name):
-    df = driver.queries()[name](spark, SF_DIR)
+    df = driver.library_queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
     got = sorted(tuple(map(comparable, r)) for r in df.select(*columns).collect())
-    answer = sql.sql(driver.oracle_sql()[name])
+    answer = sql.sql(driver.library_sql()[name])
     assert sorted(answer.columns) == columns
     order = [answer.columns.index(c) for c in columns]
     want = sorted(tuple(comparable(r[i]) for i in order) for r in answer.fetchall())
