@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -60,7 +61,8 @@ def test_keep_returns_whole_rows(spark):
 
 
 def test_bands_reject_both_ends(spark):
-    noise = "".join(chr(0x21 + (i * i * 7919 + i * 104729 + (i >> 3) * 31) % 93) + (" " if i % 9 == 8 else "") for i in range(4000))
+    pick = random.Random(7)
+    noise = "".join(chr(pick.randrange(0x21, 0x7F)) if i % 9 != 8 else " " for i in range(4000))
     rows = [(1, prose(1, 400)), (2, noise), (3, "ab " + "0123456789" * 400 + " " + prose(9, 12))]
     got = {r.doc_id: r for r in compression.measure(documents(spark, rows)).collect()}
     assert got[1].kept and not got[2].kept and got[3].band_failed and got[2].ratio > got[1].ratio
