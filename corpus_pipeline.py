@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tablehaul.llm import compression  # noqa: E402
+from tablehaul.llm import compression, simhash  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
 
@@ -18,8 +18,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return compression.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of close fingerprints."""
+    return simhash.keep_one(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", near_duplicates),
 ]
 
 # Compression, tokens and packing have no SQL counterpart; tests/llm/test_pipeline.py uses brute force.

@@ -6,18 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablehaul.llm import compression
+from tablehaul.llm import compression, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(found.fingerprint).alias("fingerprint"), "component_id")
+
+
 def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.measure(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
 }
 

@@ -146,3 +146,15 @@ def window_hashes(values: np.ndarray, k: int) -> np.ndarray:
 def batch_of(schema: Iterable[str], *columns) -> pa.RecordBatch:
     arrays = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
     return pa.RecordBatch.from_arrays(arrays, list(schema))
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
