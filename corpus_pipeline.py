@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tablehaul.llm import compression, simhash  # noqa: E402
+from tablehaul.llm import compression, simhash, suffixes  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
 
@@ -23,9 +23,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the byte strings that occur twice; ``n_chars`` follows the text."""
+    return suffixes.cut_repeats(docs, length="n_chars")
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_strings),
 ]
 
 # Compression, tokens and packing have no SQL counterpart; tests/llm/test_pipeline.py uses brute force.

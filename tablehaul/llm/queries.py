@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablehaul.llm import compression, simhash
+from tablehaul.llm import compression, simhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,14 @@ def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.measure(_table(spark, sf_dir, "documents"))
 
 
+def op9_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_report(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
+    "op9_two_stage_suffixes": op9_two_stage_suffixes,
 }
 
 ORACLE_SQL: dict[str, str] = {}
