@@ -9,7 +9,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tablehaul.llm import compression, simhash, suffixes  # noqa: E402
+from tablehaul.llm import compression, simhash, suffixes, winnow  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
 
@@ -28,10 +28,16 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return suffixes.cut_repeats(docs, length="n_chars")
 
 
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any run of ten words of the benchmark."""
+    return winnow.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_duplicates),
     ("suffix-array dedup", repeated_strings),
+    ("benchmark decontamination", decontaminated),
 ]
 
 # Compression, tokens and packing have no SQL counterpart; tests/llm/test_pipeline.py uses brute force.

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import compression, simhash, suffixes
+from tablehaul.llm import compression, simhash, suffixes, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,40 @@ def op9_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_report(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
     "op9_two_stage_suffixes": op9_two_stage_suffixes,
-}
+    "op10_winnowing": op10_winnowing,
+    }
 
-ORACLE_SQL: dict[str, str] = {}
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after A-Z are lower-cased
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_winnowing": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+             b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+             bw AS (SELECT item_id, least(len(w), 10) AS width, i, w FROM
+                    (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+             bs AS (SELECT DISTINCT item_id, width, array_to_string(w[i : i + width - 1], ' ') AS s FROM bw),
+             dw AS (SELECT doc_id, width, i, array_to_string(w[i : i + width - 1], ' ') AS s FROM
+                    (SELECT doc_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
+                     FROM d, (SELECT DISTINCT width FROM bs))),
+             hit AS (SELECT doc_id, i, width, item_id FROM dw JOIN bs USING (width, s)),
+             words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+                       (SELECT doc_id, unnest(range(i, i + width)) AS p FROM hit) GROUP BY doc_id),
+             items AS (SELECT doc_id, list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))) AS ids FROM hit GROUP BY doc_id)
+        SELECT doc_id, CAST(coalesce(len(d.w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+               sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}

@@ -44,45 +44,6 @@ MAX_RUN = 1024
 SLAB_BYTES = 2 << 20
 BUCKET_BYTES = 1 << 20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-
-
-class RollingHash:
-    """Hashes of all strings of one length in a slab, from one running sum."""
-
-    def __init__(self, size: int):
-        inverse = pow(_BASE, -1, 1 << 64)
-        self.up = self._powers(_BASE, size + 1)
-        self.down = self._powers(inverse, size + 1)
-
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        out = np.ones(n, np.uint64)
-        known = 1
-        with np.errstate(over="ignore"):
-            while known < n:
-                step = np.uint64(pow(base, known, 1 << 64))
-                out[known : 2 * known] = out[: min(known, n - known)] * step
-                known *= 2
-        return out
-
-    def of(self, data: np.ndarray, k: int) -> np.ndarray:
-        if len(data) < k:
-            return np.zeros(0, np.uint64)
-        with np.errstate(over="ignore"):
-            total = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.down[: len(data)], out=total[1:])
-            sums = total[k:] - total[:-k]
-            return texts.mix(sums * self.up[: len(sums)])
-
-
-def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
-    size = 1
-    while size * 2 <= width:
-        values = np.minimum(values[:-size], values[size:])
-        size *= 2
-    return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if width > size else values
-
 
 # pieces
 
@@ -103,7 +64,7 @@ def _occurrences(grams: np.ndarray, keys: np.ndarray, first: np.ndarray, last: n
     window that it decides holds one of the two.
     """
     half = (width + 1) // 2
-    least = sliding_minimum(grams, half)
+    least = texts.sliding_minimum(grams, half)
     near = np.ones(len(grams), bool)
     near[: len(least)] = grams[: len(least)] == least
     near[half - 1 :] |= grams[half - 1 :] == least
@@ -117,7 +78,7 @@ def _occurrences(grams: np.ndarray, keys: np.ndarray, first: np.ndarray, last: n
 
 
 def cut_pieces(
-    data: np.ndarray, offsets: np.ndarray, window: int, gram: int, rolling: RollingHash
+    data: np.ndarray, offsets: np.ndarray, window: int, gram: int, rolling: texts.RollingHash
 ) -> Iterator[tuple[np.ndarray, ...]]:
     """(row, start, n_windows, hash, occurrences of the hash, content) of all pieces of a batch, slab by slab."""
     body = memoryview(data)
@@ -125,7 +86,7 @@ def cut_pieces(
     for at in range(0, max(len(data) - window + 1, 0), SLAB_BYTES):
         slab = data[at : at + SLAB_BYTES + window - 1]
         grams = rolling.of(slab, gram)
-        least = sliding_minimum(grams, window - gram + 1)
+        least = texts.sliding_minimum(grams, window - gram + 1)
         rows = _rows_in(offsets, at, len(least))
         valid = np.arange(at, at + len(least)) + window <= offsets[rows + 1]
         change = np.ones(len(least), bool)
@@ -154,7 +115,7 @@ def pieces(rows: DataFrame, window: int, gram: int) -> DataFrame:
     """All pieces of (doc_id, tag, text) rows, without a shuffle."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = RollingHash(SLAB_BYTES + window)
+        rolling = texts.RollingHash(SLAB_BYTES + window)
         for batch in batches:
             for part in texts.bounded(batch, "text"):
                 data, offsets = texts.flat(part.column(2))
@@ -351,7 +312,7 @@ def _windows_of(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
     """Each window of the given places as a piece of its own, keyed by its hash."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rolling = RollingHash(MAX_RUN + window)
+        rolling = texts.RollingHash(MAX_RUN + window)
         for owner, content, times, doc_id, tag, start, n, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             data = np.frombuffer(body, np.uint8)
             keys = rolling.of(data, window).view(np.int64)

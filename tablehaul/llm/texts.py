@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 BATCH_BYTES = 4 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 def whole_text(name: str) -> Column:
@@ -158,3 +159,53 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+class RollingHash:
+    """Hashes of all strings of one length in a slab, from one running sum."""
+
+    def __init__(self, size: int):
+        inverse = pow(_BASE, -1, 1 << 64)
+        self.up = self.powers(_BASE, size + 1)
+        self.down = self.powers(inverse, size + 1)
+
+    @staticmethod
+    def powers(base: int, n: int) -> np.ndarray:
+        out = np.ones(n, np.uint64)
+        known = 1
+        with np.errstate(over="ignore"):
+            while known < n:
+                step = np.uint64(pow(base, known, 1 << 64))
+                out[known : 2 * known] = out[: min(known, n - known)] * step
+                known *= 2
+        return out
+
+    def of(self, data: np.ndarray, k: int) -> np.ndarray:
+        if len(data) < k:
+            return np.zeros(0, np.uint64)
+        with np.errstate(over="ignore"):
+            total = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.down[: len(data)], out=total[1:])
+            sums = total[k:] - total[:-k]
+            return mix(sums * self.up[: len(sums)])
+
+
+def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    size = 1
+    while size * 2 <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[: len(values) - (width - size)], values[width - size :]) if width > size else values
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span's bytes, whatever its place. Spans must ascend and not overlap."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    longest = int(lengths.max())
+    powers = RollingHash.powers(_BASE, longest + 1)
+    inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    with np.errstate(over="ignore"):
+        terms = (data[np.repeat(starts, lengths) + inside].astype(np.uint64) + np.uint64(1)) * powers[inside]
+        return mix(np.add.reduceat(terms, np.cumsum(lengths) - lengths) + lengths.astype(np.uint64) * _MIX)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import EDGE_ROWS, documents, prose, table
 
-from tablehaul.llm import queries, suffixes
+from tablehaul.llm import queries, suffixes, texts
 
 
 def expected(rows, window=200):
@@ -91,7 +91,7 @@ def test_batches_cut_alike(monkeypatch):
     cover = []
     for slab in (1 << 20, 1000):
         monkeypatch.setattr(suffixes, "SLAB_BYTES", slab)
-        rolling = suffixes.RollingHash(slab + 200)
+        rolling = texts.RollingHash(slab + 200)
         windows = {}
         for part in suffixes.cut_pieces(data, offsets, 200, 32, rolling):
             for row, start, n, h, _, _ in zip(*(c.tolist() for c in part), strict=True):
