@@ -7,9 +7,10 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tablehaul.llm import compression, simhash, suffixes, winnow  # noqa: E402
+from tablehaul.llm import compression, packing, simhash, suffixes, winnow  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 
 
@@ -33,11 +34,17 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return winnow.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents, placed in sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", near_duplicates),
     ("suffix-array dedup", repeated_strings),
     ("benchmark decontamination", decontaminated),
+    ("best-fit packing", packed),
 ]
 
 # Compression, tokens and packing have no SQL counterpart; tests/llm/test_pipeline.py uses brute force.

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import compression, simhash, suffixes, winnow
+from tablehaul.llm import compression, packing, simhash, suffixes, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.measure(_table(spark, sf_dir, "documents"))
 
 
+def op7_exact_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+
+
 def op9_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_report(_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -37,6 +43,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
+    "op7_exact_complements": op7_exact_complements,
     "op9_two_stage_suffixes": op9_two_stage_suffixes,
     "op10_winnowing": op10_winnowing,
     }
