@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import compression, packing, simhash, suffixes, winnow
+from tablehaul.llm import compression, packing, simhash, suffixes, tokenfile, winnow
+from tablehaul.sources.files import fresh_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,13 @@ def op4_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.measure(_table(spark, sf_dir, "documents"))
 
 
+def op6_perfect_hash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, folder = _table(spark, sf_dir, "documents"), fresh_path(spark, "tokens")
+    parts = tokenfile.write_tokens(documents, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    found = tokenfile.read_tokens(spark, folder, tokenfile.keys_of(documents), parts)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op7_exact_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
@@ -43,6 +51,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
+    "op6_perfect_hash_index": op6_perfect_hash_index,
     "op7_exact_complements": op7_exact_complements,
     "op9_two_stage_suffixes": op9_two_stage_suffixes,
     "op10_winnowing": op10_winnowing,
