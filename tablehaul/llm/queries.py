@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import chat, compression, packing, simhash, suffixes, tokenfile, winnow
+from tablehaul.llm import chat, compression, packing, simhash, suffixes, tokenfile, warc, winnow
 from tablehaul.sources.files import fresh_path, staged
 
 
@@ -48,6 +48,12 @@ def op7_exact_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op8_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_two_stage_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_report(_table(spark, sf_dir, "documents")).drop("kept")
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_assembly": op5_token_assembly,
     "op6_perfect_hash_index": op6_perfect_hash_index,
     "op7_exact_complements": op7_exact_complements,
+    "op8_splittable_warc": op8_splittable_warc,
     "op9_two_stage_suffixes": op9_two_stage_suffixes,
     "op10_winnowing": op10_winnowing,
     }
@@ -87,6 +94,14 @@ ORACLE_SQL: dict[str, str] = {
                CAST(sum({sum(map(len, chat.CONTROLS))} + length({_ESCAPED.format("role")})
                         + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op8_splittable_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             d AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+             f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= {warc.MIN_BYTES} AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= {warc.MIN_BYTES} AND page_id > first_id THEN first_id END AS refers_to
+        FROM f""",
     "op10_winnowing": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
              b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
