@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import chat, compression, packing, simhash, suffixes, tokenfile, warc, winnow
+from tablehaul.llm import chat, compression, licences, packing, simhash, suffixes, tokenfile, warc, winnow
 from tablehaul.sources.files import fresh_path, staged
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return licences.document_licences(documents, licences.train(documents))
+
+
 def op3_simhash_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(found.fingerprint).alias("fingerprint"), "component_id")
@@ -67,6 +72,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licence_classifier": op2_licence_classifier,
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
     "op5_token_assembly": op5_token_assembly,
