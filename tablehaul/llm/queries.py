@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablehaul.llm import chat, compression, licences, packing, simhash, suffixes, tokenfile, warc, winnow
+from tablehaul.llm import chaining, chat, compression, licences, packing, simhash, suffixes, tokenfile, warc, winnow
 from tablehaul.sources.files import fresh_path, staged
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(_table(spark, sf_dir, "documents"))
+
+
 def op2_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return licences.document_licences(documents, licences.train(documents))
@@ -72,6 +76,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_collinear_chains": op1_collinear_chains,
     "op2_licence_classifier": op2_licence_classifier,
     "op3_simhash_gray_index": op3_simhash_gray_index,
     "op4_compression_bands": op4_compression_bands,
