@@ -9,8 +9,9 @@ stretches they stand for are compared word by word, as text.
 Items shorter than a window are looked up by all word runs of their length; only lengths that occur
 in the benchmark are looked at, and there are at most ``window - 1`` of them.
 
-The benchmark side is broadcast only where its written size is under Spark's broadcast limit;
-else both sides are shuffled. NULL texts have no words and no windows. Rows of documents are told apart by
+Up to ``broadcast_prints`` different benchmark fingerprints are sent to every task, which then looks its own up and
+extends hits while it holds the text; nothing but hits is shuffled. Beyond that number both sides are joined
+by a shuffle and texts are joined to their hits. Both ways give the same rows. NULL texts have no words and no windows. Rows of documents are told apart by
 id and text, equal rows get equal answers, and a NULL id is kept. An item row without id marks words, but is
 in no list of items; items are counted by id. Other columns play no part.
 """
@@ -28,6 +29,8 @@ from tablehaul.sources.files import staged
 
 WINDOW = 10
 GRAM = 5
+# Benchmark fingerprints, of 8 bytes, that may be sent to every task.
+BROADCAST_PRINTS = 1_000_000
 
 
 class Words:
@@ -112,28 +115,52 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
     return texts.map_arrow(items, run, "item_id bigint, width int, words binary").distinct()
 
 
+EXTENDED = "doc_id bigint, tag int, start int, width int, words binary"
+
+
+def _extended_batch(batch: pa.RecordBatch, words: Words, hits: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    """All windows of (row, start, n, width) hits."""
+    out = [
+        (row, start, width, words.joined(int(words.bounds[row]) + start, width))
+        for row, first, n, width in hits
+        for start in range(first, first + n)
+    ]
+    row, start, width, body = zip(*out, strict=True) if out else ((), (), (), ())
+    take = pa.array(row, pa.int64())
+    return texts.batch_of(
+        ("doc_id", "tag", "start", "width", "words"), batch.column(0).take(take), batch.column(1).take(take),
+        pa.array(start, pa.int32()), pa.array(width, pa.int32()), pa.array(body, pa.binary()),
+    )
+
+
+def _looked_up(rows: DataFrame, known: dict[int, np.ndarray], window: int, gram: int) -> DataFrame:
+    """(doc_id, tag, start, width, words): windows whose representative is among the ``known`` hashes of their width."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, hits = Words(batch.column(2)), []
+        for width, hashes in known.items():
+            row, start, n, h = representatives(words, width, gram if width == window else width)
+            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[at] == h
+            hits += [(*r, width) for r in zip(row[hit].tolist(), start[hit].tolist(), n[hit].tolist(), strict=True)]
+        return _extended_batch(batch, words, hits)
+
+    return texts.map_arrow(rows, run, EXTENDED)
+
+
 def _extended(rows: DataFrame, hits: DataFrame) -> DataFrame:
     """(doc_id, tag, start, width, words): the windows that hit representatives stand for."""
     listed = hits.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "n", "width")).alias("hits"))
     same = rows.doc_id.eqNullSafe(listed.doc_id) & (rows.tag == listed.tag)
-    joined = rows.join(listed, same).select(rows.doc_id, rows.tag, rows.text, "hits")
+    joined = rows.join(listed.hint("merge"), same).select(rows.doc_id, rows.tag, rows.text, "hits")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(batch.column(2))
-        out = []
-        for row, hits in enumerate(batch.column(3).to_pylist()):
-            base = int(words.bounds[row])
-            for hit in hits:
-                for start in range(hit["start"], hit["start"] + hit["n"]):
-                    out.append((row, start, hit["width"], words.joined(base + start, hit["width"])))
-        row, start, width, body = zip(*out, strict=True) if out else ((), (), (), ())
-        take = pa.array(row, pa.int64())
-        return texts.batch_of(
-            ("doc_id", "tag", "start", "width", "words"), batch.column(0).take(take), batch.column(1).take(take),
-            pa.array(start, pa.int32()), pa.array(width, pa.int32()), pa.array(body, pa.binary()),
-        )
+        listed = [
+            (row, hit["start"], hit["n"], hit["width"]) for row, own in enumerate(batch.column(3).to_pylist()) for hit in own
+        ]
+        return _extended_batch(batch, Words(batch.column(2)), listed)
 
-    return texts.map_arrow(joined, run, "doc_id bigint, tag int, start int, width int, words binary").distinct()
+    return texts.map_arrow(joined, run, EXTENDED)
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -150,6 +177,7 @@ def find_windows(
     item_text: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
+    broadcast_prints: int = BROADCAST_PRINTS,
 ) -> tuple[DataFrame, DataFrame]:
     """(doc_id, tag, start, width, words) of every benchmark window in a document, and (item_id, width, words).
 
@@ -163,9 +191,15 @@ def find_windows(
     item_windows = staged(_item_windows(tests, window), "item-windows")
     as_rows = tests.select(F.col("item_id").alias("doc_id"), F.lit(0).alias("tag"), "text")
     item_prints = staged(_prints(as_rows, widths, window, gram).select("width", "hash").distinct(), "item-prints")
-    hits = staged(_prints(rows, widths, window, gram).join(item_prints, ["width", "hash"], "left_semi"), "hits")
+    if item_prints.count() <= broadcast_prints:
+        listed = item_prints.groupBy("width").agg(F.collect_list("hash").alias("hashes")).collect()
+        known = {r.width: np.sort(np.array(r.hashes, np.int64).view(np.uint64)) for r in listed}
+        candidates = _looked_up(rows, known, window, gram)
+    else:
+        hits = _prints(rows, widths, window, gram).join(item_prints, ["width", "hash"], "left_semi")
+        candidates = _extended(rows, staged(hits, "hits"))
     distinct = staged(item_windows.select("width", "words").distinct(), "distinct-windows")
-    found = _extended(rows, hits).join(distinct, ["width", "words"], "left_semi")
+    found = candidates.distinct().join(distinct, ["width", "words"], "left_semi")
     return staged(found, "found-windows"), item_windows
 
 

@@ -52,8 +52,8 @@ def test_query_matches_sql(spark):
     assert sorted(map(tuple, df.select(*sql.columns).collect())) == sorted(sql.fetchall())
 
 
-@pytest.mark.parametrize(("window", "gram"), [(10, 5), (10, 10), (4, 1)])
-def test_edge_rows(spark, window, gram):
+@pytest.mark.parametrize(("window", "gram", "prints"), [(10, 5, 1000), (10, 5, 0), (10, 10, 1000), (4, 1, 0)])
+def test_edge_rows(spark, window, gram, prints):
     pick = random.Random(4)
     base = prose(77, 60).split()
     rows = [*EDGE_ROWS, (30, " ".join(base[5:14])), (31, " ".join(base[5:15]).upper()), (32, "a b c " + "-".join(base[40:58]) + " d")]
@@ -61,7 +61,7 @@ def test_edge_rows(spark, window, gram):
     items = [(1, " ".join(base)), (1, " ".join(base)), (2, None), (3, ""), (4, "one"), (None, " ".join(base[30:50])), (5, "p q r p q"),
              (6, " ".join(pick.choice("pqr") for _ in range(30))), (7, "漢字 Ünïcode")]
     docs = documents(spark, rows, "tag string, hits int, width int")
-    found = winnow.contamination(docs, table_of_items(spark, items), window=window, gram=gram)
+    found = winnow.contamination(docs, table_of_items(spark, items), window=window, gram=gram, broadcast_prints=prints)
     same(found, expected(rows, items, window))
 
 
