@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from tablehaul.llm import texts
 from tablehaul.sources.files import staged
@@ -385,11 +386,19 @@ def find_repeats(
     spans = _back(shared, runs.where("first >= 0"), window)
     if not large.isEmpty():
         hit = runs.where("first < 0").select(F.col("owner").alias("key"), F.col("content").alias("inner")).distinct()
-        single = found.join(hit, ["key", "inner"]).select("owner", "content", "first", (F.col("first") + 1).alias("until"))
-        spans = spans.union(_back(shared, single, window))
+        single = found.join(hit, ["key", "inner"]).select("owner", "content", "first")
+        spans = spans.union(_back(shared, _consecutive(single), window))
     return rows, spans
 
 
+def _consecutive(windows: DataFrame) -> DataFrame:
+    """Single windows of a piece, at most ``MAX_RUN``, as runs."""
+    order = Window.partitionBy("owner", "content").orderBy("first")
+    island = windows.withColumn("island", F.col("first") - F.row_number().over(order))
+    runs = island.groupBy("owner", "content", "island").agg(F.min("first").alias("first"), (F.max("first") + 1).alias("until"))
+    return runs.drop("island")
+
+
 def _back(shared: DataFrame, runs: DataFrame, window: int) -> DataFrame:
     """Runs of windows of a piece as byte spans of every row that holds the piece."""
     return shared.join(runs.withColumnRenamed("owner", "key"), ["key", "content"]).select(
