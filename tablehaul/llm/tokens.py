@@ -1,9 +1,9 @@
 """Token ids of whole texts, with each distinct chunk of a batch encoded once.
 
-Public tokenizers split at white space before they merge, so a text's ids are those of its chunks one
-after the other, where a chunk is a run of white space and what follows it. ``Encoder`` cuts only
-before ASCII white space that follows a character known not to be white space; everything else
-(say, around other spaces) stays in one chunk and is left to the tokenizer.
+Public tokenizers split texts into words before they merge, so a text's ids are those of its chunks one
+after the other, if cuts are made only where a word begins in any case. ``chunk_starts`` makes
+such cuts between ASCII characters; everything else (say, around other spaces) stays in one chunk and is left to
+the tokenizer.
 """
 
 from __future__ import annotations
@@ -16,8 +16,12 @@ import pyarrow as pa
 
 from tablehaul.llm import texts
 
-# Chunks a Python worker remembers; the memory is emptied when full. Ids do not depend on it.
-MEMORY = 300_000
+# Chunks a Python worker remembers, half of them from its last batches. Ids do not depend on it.
+MEMORY = 800_000
+# Chunks that are encoded as one text, with a mark behind each.
+JOINED = 2_000
+# U+0001 behind a space is a token of its own in any of the tokenizers, and no other text has its last id.
+MARK = " \x01"
 
 
 class Encoder:
@@ -29,7 +33,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in one array, and the row bounds in it."""
@@ -42,35 +48,72 @@ class Encoder:
         ids, sizes = self._ids(distinct.to_pylist())
         begin = np.cumsum(sizes) - sizes
         each = sizes[code]
-        within = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
         total = np.concatenate(([0], np.cumsum(each)))
-        return ids[np.repeat(begin[code], each) + within], total[np.searchsorted(starts, offsets)]
+        place = np.repeat(begin[code] - total[:-1], each)
+        place += np.arange(len(place))
+        return ids[place], total[np.searchsorted(starts, offsets)]
 
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        known = self.known
-        new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > MEMORY:
-            known.clear()
-            new = chunks
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in new], add_special_tokens=False)
-        known.update((c, np.array(e.ids, np.uint32).tobytes()) for c, e in zip(new, found, strict=True))
-        each = [known[c] for c in chunks]
+        """Ids of all chunks one after the other, and how many each has."""
+        recent, older = self.recent, self.older
+        each = [recent.get(c) or older.get(c) for c in chunks]
+        new = [i for i, e in enumerate(each) if e is None]
+        for i, ids in zip(new, self._encoded([chunks[i] for i in new]), strict=True):
+            each[i] = ids
+        recent.update(zip(chunks, each, strict=True))
+        if len(recent) > MEMORY // 2:
+            self.recent, self.older = {}, recent
         return np.frombuffer(b"".join(each), np.uint32), np.array([len(e) for e in each], np.int64) // 4
 
+    def _encoded(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk as bytes. Chunks that can follow a mark, and a mark them, share a text."""
+        plain = [c[0] in _BEGIN and c[-1] in _SOLID and b"\x01" not in c for c in chunks]
+        apart = [c for c, p in zip(chunks, plain, strict=True) if not p]
+        together = [c for c, p in zip(chunks, plain, strict=True) if p]
+        mark = MARK.encode()
+        joined = [mark.join([*together[i : i + JOINED], b""]).decode() for i in range(0, len(together), JOINED)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        ends = np.flatnonzero(ids == self.mark[-1]) + 1
+        if len(ends) != len(together):
+            raise ValueError("the tokenizer does not keep marks apart")
+        body, width = ids.tobytes(), 4 * len(self.mark)
+        begins = np.concatenate(([0], 4 * ends[:-1])).tolist() if len(ends) else []
+        shared = iter([body[i : j - width] for i, j in zip(begins, (4 * ends).tolist(), strict=True)])
+        single = (e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in apart], add_special_tokens=False))
+        alone = iter([np.array(i, np.uint32).tobytes() for i in single])
+        return [next(shared) if p else next(alone) for p in plain]
+
+
+_BEGIN = bytes([0x20, *range(0x09, 0x0E), *range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+_SOLID = bytes(range(0x21, 0x7F))
+
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Row starts, and ASCII white space behind a character that is none."""
+    """Row starts, and the places where any of the tokenizers begins a new word whatever stands around.
+
+    Those are: ASCII white space behind a character that is none; what follows one ASCII white space, other than
+    the space itself, behind such a character; ASCII marks behind an ASCII letter or digit.
+    """
     cut = np.zeros(len(data) + 1, bool)
     if len(data):
         lead = np.zeros(256, np.int8)
         lead[0x21:0x7F] = 1
         lead[0xC3:0xE0] = 2
         lead[0xE4:0xEE] = 3
+        space = texts.white_space()
+        breaks = space.copy()
+        breaks[0x20] = False
+        alphanumeric = ~texts.no_alphanumerics()
+        alphanumeric[0x80:] = False
+        marks = (lead == 1) & ~alphanumeric
         kind = lead[data]
         solid = kind == 1
         solid[1:] |= kind[:-1] == 2
         solid[2:] |= kind[:-2] == 3
-        cut[1:-1] = texts.white_space()[data[1:]] & solid[:-1]
+        cut[1:-1] = space[data[1:]] & solid[:-1]
+        cut[2:-1] |= breaks[data[1:-1]] & (kind[2:] > 0) & solid[:-2]
+        cut[1:-1] |= alphanumeric[data[:-1]] & marks[data[1:]]
     cut[offsets] = True
     cut[-1] = False
     return np.flatnonzero(cut)

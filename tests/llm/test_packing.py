@@ -15,7 +15,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     "", " ", "\n\n", "a  b", "a   b  c", "x y 　z", "don't DON'T we'll", "tab\tnew\nline\r\n\r\n end ",
     "é́ é ́a", "漢字 かな カナ 한국어 text", "1234 ½ ² Ⅳ x2", "<|endoftext|> <|startoftext|>x", "\x1f\x1c a\x85b \x85c", "Σίσυφος ΣΑΣ Σ",
-    "emoji 😀 👩‍👩‍👧 end", "a​ b c   d", "ß ẞ İ ı", "\u0000 a\u0000b",
+    "emoji 😀 👩‍👩‍👧 end", "a​ b c   d", "ß ẞ İ ı", "\u0000 a\u0000b", "\x01 \x01", " \x01a", "a \x01\x01 b",
 ]
 
 
@@ -29,7 +29,7 @@ def reference(name):
 def test_chunks_give_the_ids_of_whole_texts(spark, name):
     whole = [r.text for r in table(spark, "documents").collect()] + ODD + [a + b + c for a in ODD for b in (" ", "\n ", "") for c in ODD]
     pick = random.Random(1)
-    alphabet = [" ", " ", "\n", "\t", "a", "B", "é", "1", "'s", ".", " ", "　", "漢", "😀", "́", " ", "\x85"]
+    alphabet = [" ", " ", "\n", "\t", "a", "B", "é", "1", "'s", ".", " ", "　", "漢", "😀", "́", " ", "\x85", "\x01"]
     whole += ["".join(pick.choice(alphabet) for _ in range(30)) for _ in range(500)]
     encoder, ids_of = tokens.Encoder(public_tokenizers.path(name)), reference(name)
     bodies = [t.encode() for t in whole]
@@ -41,6 +41,7 @@ def test_chunks_give_the_ids_of_whole_texts(spark, name):
 
 def test_memory_limit_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "MEMORY", 3)
+    monkeypatch.setattr(tokens, "JOINED", 2)
     encoder, ids_of = tokens.Encoder(PATH), reference("word_bpe_49k.json")
     for seed in range(3):
         body = prose(seed, 50).encode()
