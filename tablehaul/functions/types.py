@@ -52,6 +52,13 @@ def code_of_type(data_type: T.DataType, text_blob: bool = False) -> tuple[int, i
     return known.get(data_type.simpleString(), 0), 0
 
 
+def keeps_values(data_type: T.DataType, target: str, charset: str | None = None) -> bool:
+    """Whether a column of this type reaches a portable type with all its values; text may lose outer white space."""
+    if target == NATIVE or target == default_target(data_type):
+        return True
+    return target == UTF8 and isinstance(data_type, T.BinaryType) and charset is not None
+
+
 def default_target(data_type: T.DataType) -> str | None:
     """Portable type a Spark column widens to; None keeps the native type."""
     if isinstance(data_type, T.IntegralType):

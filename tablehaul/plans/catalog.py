@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablehaul.functions.coerce import trim_text
-from tablehaul.functions.types import INTEGER_CODES, code_of_type, is_text_blob, target_of_code
+from tablehaul.functions.types import INTEGER_CODES, NATIVE, code_of_type, is_text_blob, keeps_values, target_of_code
 
 
 TEXT_BLOB_FLAG = "is_text_blob"
@@ -138,16 +138,31 @@ def for_table(frame: DataFrame, table: str) -> DataFrame:
     return frame.where(F.upper("relation_name") == table.strip().upper())
 
 
+def _known(columns: DataFrame, table: str) -> DataFrame:
+    rows = for_table(columns, table)
+    if rows.isEmpty():
+        raise ValueError(f"the catalog has no table {table!r}")
+    return rows
+
+
 def keys_of(catalog: Catalog, columns: DataFrame, table: str) -> list[str]:
-    """Key columns of one table in key order, none if it has no usable key."""
+    """Key columns of one table in key order, none if it has no usable key; an error if the catalog does not know it."""
+    _known(columns, table)
     found = for_table(detect_keys(catalog, columns), table).where("usable").first()
     return list(found["key_columns"]) if found else []
 
 
-def declared_schema_of(columns: DataFrame, table: str) -> dict[str, str]:
-    """Portable types of one table's columns, as :func:`coerce_table` takes them."""
-    rows = for_table(columns, table).select("column_name", "target_type").collect()
-    return {r["column_name"]: r["target_type"] for r in rows}
+def declared_schema_of(columns: DataFrame, table: str, source: DataFrame, charset: str | None = None) -> dict[str, str]:
+    """Portable types of one table's columns, as :func:`coerce_table` takes them.
+
+    The catalog may only widen what ``source``, as its connector delivers it, holds. Where a type code would lose
+    values (a date under a blob code, a boolean under a float code, a scaled decimal under an integer code) the connector's type stays;
+    a lossy type needs the caller's own declaration.
+    """
+    types = {f.name: f.dataType for f in source.schema.fields}
+    rows = _known(columns, table).select("column_name", "target_type").collect()
+    targets = {r["column_name"]: r["target_type"] for r in rows if r["column_name"] in types}
+    return {c: t if keeps_values(types[c], t, charset) else NATIVE for c, t in targets.items()}
 
 
 def mark_text_blobs(df: DataFrame, columns: Collection[str]) -> DataFrame:

@@ -83,7 +83,18 @@ def test_one_table_by_name_in_any_case(catalog):
     columns = resolve_columns(catalog)
     assert keys_of(catalog, columns, " lines") == ["ORDER_ID", "LINE_NO"]
     assert keys_of(catalog, columns, "Codes") == keys_of(catalog, columns, "LOGS") == []
-    assert declared_schema_of(columns, "lines") == {"LINE_NO": "int64", "ORDER_ID": "int64", "RAW": "binary"}
+    lines = catalog.fields.sparkSession.createDataFrame([], "LINE_NO int, ORDER_ID bigint, RAW binary")
+    assert declared_schema_of(columns, "lines", lines) == {"LINE_NO": "int64", "ORDER_ID": "int64", "RAW": "binary"}
+    for unknown in (lambda: keys_of(catalog, columns, "LINEITEMS"), lambda: declared_schema_of(columns, "LINEITEMS", lines)):
+        with pytest.raises(ValueError, match="no table"):
+            unknown()
+
+
+def test_catalog_types_only_widen(catalog):
+    """A date, a boolean and a scaled decimal under codes that would lose them keep their own type."""
+    columns = resolve_columns(catalog)
+    delivered = catalog.fields.sparkSession.createDataFrame([], "LINE_NO decimal(9,2), ORDER_ID date, RAW boolean")
+    assert declared_schema_of(columns, "lines", delivered) == {"LINE_NO": "native", "ORDER_ID": "native", "RAW": "native"}
 
 
 def test_described_files_resolve_like_a_catalog(spark, table):
