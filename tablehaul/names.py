@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -17,3 +17,15 @@ def column(name: str) -> Column:
 
 def columns(names: Sequence[str]) -> list[Column]:
     return [column(n) for n in names]
+
+
+def unused(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names like the wanted ones that are not taken; Spark does not tell upper from lower case."""
+    known = {t.lower() for t in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in known:
+            name += "_"
+        known.add(name.lower())
+        out.append(name)
+    return out

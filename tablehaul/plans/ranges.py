@@ -7,17 +7,19 @@ side is arithmetic on the key, never a join against the plan.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablehaul.names import column, quoted
+from tablehaul.plans.balance import Leaf, plan_leaves
 from tablehaul.plans.profile import KeyProfile, profile_key
 
-MAX_CHUNKS = 1_000_000
-MAX_BALANCED = 1024
+# Ranges up to which a comparison tree beats a binary search in Arrow batches; the ids are the same.
+TREE_RANGES = 256
 
 
 class KeyRange(NamedTuple):
@@ -55,11 +57,6 @@ def plan_chunks(spark: SparkSession, ranges: Sequence[KeyRange], size: int) -> D
     """Each range cut into chunks of ``size`` key values: ``range_id, chunk_id, lo, hi``."""
     if size < 1:
         raise ValueError("chunk size must be positive")
-    total = sum(-(-(r.hi - r.lo + 1) // size) for r in ranges)
-    if total > MAX_CHUNKS:
-        raise ValueError(
-            f"{total} chunks of {size} keys: the key is too sparse for chunks, plan balanced ranges"
-        )
     cut = [(*r, -(-(r.hi - r.lo + 1) // size) - 1) for r in ranges]
     frame = spark.createDataFrame(cut, "range_id bigint, lo bigint, hi bigint, last bigint")
     start = F.col("lo") + F.col("chunk_id") * F.lit(size)
@@ -131,27 +128,21 @@ def plan_balanced_ranges(
     so fewer than ``n`` ranges may come back; any other range holds at most about
     two shares. Still disjoint and gap-free over [lo, hi].
     """
-    if not 1 <= n <= MAX_BALANCED:
-        raise ValueError(f"between 1 and {MAX_BALANCED} balanced ranges, not {n}")
+    if n < 1:
+        raise ValueError("at least one range is needed")
     profile = profile or profile_key(df, [key])
     if profile.rows == 0:
         return []
-    cuts: list[int] = []
-    if n > 1:
-        shares = [i / n for i in range(1, n)]
-        cuts = df.agg(
-            F.percentile_approx(column(key).cast("bigint"), shares, max(10_000, 100 * n))
-        ).first()[0]
-    hot = {c for c, times in Counter([*cuts, profile.hi]).items() if times > 1}
-    ends = sorted({*cuts, *(c - 1 for c in hot if c > profile.lo), profile.hi})
-    starts = [profile.lo] + [e + 1 for e in ends[:-1]]
-    return [KeyRange(i, lo, hi) for i, (lo, hi) in enumerate(zip(starts, ends))]
+    leaves = plan_leaves(df, [key], n, profile.lo, profile.hi, profile.rows)
+    return [KeyRange(i, leaf.lo, leaf.hi) for i, leaf in enumerate(leaves)]
 
 
 def assign_range(key: Column, ranges: Sequence[KeyRange]) -> Column:
-    """Range id for any plan, as a balanced tree of comparisons (log2 n per row)."""
-    if not 1 <= len(ranges) <= MAX_BALANCED:
-        raise ValueError(f"between 1 and {MAX_BALANCED} ranges, not {len(ranges)}")
+    """Range id for any plan: a balanced tree of comparisons (log2 n per row), or a binary search for plans of many ranges."""
+    if not ranges:
+        raise ValueError("at least one range is needed")
+    if len(ranges) > TREE_RANGES:
+        return _search_ranges(key, ranges)
     if len(ranges) == 1:
         return _constant_id(ranges[0].range_id)
     half = len(ranges) // 2
@@ -160,6 +151,17 @@ def assign_range(key: Column, ranges: Sequence[KeyRange]) -> Column:
     )
 
 
+def _search_ranges(key: Column, ranges: Sequence[KeyRange]) -> Column:
+    ends = np.array([r.hi for r in ranges[:-1]], np.int64)
+    ids = np.array([r.range_id for r in ranges], np.int32)
+
+    @F.pandas_udf("int")
+    def search(values: pd.Series) -> pd.Series:
+        return pd.Series(ids[np.searchsorted(ends, values.to_numpy(np.int64), "left")])
+
+    return search(key.cast("bigint"))
+
+
 def range_predicates(quoted_key: str, ranges: Sequence[KeyRange], open_ended: bool = False) -> list[str]:
     """One SQL predicate per range, for a reader that pushes them to the source.
 
@@ -174,12 +176,6 @@ def range_predicates(quoted_key: str, ranges: Sequence[KeyRange], open_ended: bo
     return out
 
 
-def cut_ranges(ranges: Sequence[KeyRange], pieces: int) -> list[KeyRange]:
-    """Each range cut into ``pieces`` of equal width, numbered anew."""
-    cut = [part for r in ranges for part in plan_ranges(r.lo, r.hi, pieces)]
-    return [KeyRange(i, r.lo, r.hi) for i, r in enumerate(cut)]
-
-
 def plan_key_predicates(
     df: DataFrame,
     keys: Sequence[str],
@@ -190,30 +186,35 @@ def plan_key_predicates(
     """Disjoint predicates of about equal rows over a composite key.
 
     Balanced ranges of the leading column, except that one value holding more than
-    two shares is split by the next key column, and so on. At most half of the
-    ranges can be that heavy, so the recursion stays small. Beyond ``MAX_BALANCED``
-    the balanced ranges are cut further by width.
+    two shares is split by the next key column, and so on. All heavy values of a
+    column are counted together.
     """
     profile = profile or profile_key(df, keys[:1])
-    base = min(n, MAX_BALANCED)
-    ranges = plan_balanced_ranges(df, keys[0], base, profile)
-    shares = {}
-    lone = [r for r in ranges if r.lo == r.hi]
-    if len(keys) > 1 and n > 1 and lone:
-        counted = df.groupBy(assign_range(column(keys[0]), ranges).alias("range_id")).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        rows = {r["range_id"]: r["n_rows"] for r in counted.collect()}
-        heavy = {r.lo: -(-rows.get(r.range_id, 0) * n // profile.rows) for r in lone}
-        shares = {key: parts for key, parts in heavy.items() if parts > 2}
-    ranges = cut_ranges(ranges, -(-n // base))
-    lead = quoted(keys[0], quote)
-    out = []
-    for r, predicate in zip(ranges, range_predicates(lead, ranges, open_ended=True)):
-        if r.lo == r.hi and r.lo in shares:
-            rest = df.where(column(keys[0]) == r.lo)
-            inner = plan_key_predicates(rest, keys[1:], shares[r.lo], quote)
-            out += [f"{predicate} AND {p}" for p in inner]
-        else:
-            out.append(predicate)
-    return out
+    if profile.rows == 0:
+        return ["1 = 1"]
+    return leaf_predicates(plan_leaves(df, keys, n, profile.lo, profile.hi, profile.rows), [quoted(k, quote) for k in keys])
+
+
+def leaf_predicates(leaves: Sequence[Leaf], quoted_keys: Sequence[str]) -> list[str]:
+    """One predicate per leaf. The outer bounds of each column are open, so rows that arrive meanwhile are read, once."""
+
+    def below(members: Sequence[Leaf], depth: int) -> list[str]:
+        # a leaf of this column, or the leaves under one of its values
+        parts: list[tuple[int, int, list[Leaf]]] = []
+        for leaf in members:
+            deeper = len(leaf.prefix) > depth
+            lo, hi = (leaf.prefix[depth],) * 2 if deeper else (leaf.lo, leaf.hi)
+            if deeper and parts and parts[-1][:2] == (lo, hi):
+                parts[-1][2].append(leaf)
+            else:
+                parts.append((lo, hi, [leaf]))
+        ranges = [KeyRange(i, lo, hi) for i, (lo, hi, _) in enumerate(parts)]
+        out = []
+        for (_, _, own), predicate in zip(parts, range_predicates(quoted_keys[depth], ranges, open_ended=True), strict=True):
+            if len(own[0].prefix) > depth:
+                out += [f"{predicate} AND {p}" for p in below(own, depth + 1)]
+            else:
+                out.append(predicate)
+        return out
+
+    return below(leaves, 0)

@@ -11,7 +11,8 @@ EMPTY, SINGLE_KEY, LEADING_KEY, KEY_ORDER, UNKEYED = (
     "key_order",
     "unkeyed",
 )
-STRATEGIES = (EMPTY, SINGLE_KEY, LEADING_KEY, KEY_ORDER, UNKEYED)
+# what a caller may ask for; only the row count says that a table is empty
+CHOICES = (SINGLE_KEY, LEADING_KEY, KEY_ORDER, UNKEYED)
 
 # Composite keys above this many rows are read by leading key.
 BIG_TABLE_ROWS = 10_000_000
@@ -22,7 +23,6 @@ BATCH_STEPS = ((200_000, 250_000), (10_000_000, 500_000), (50_000_000, 750_000))
 BATCH_TOP = 1_000_000
 BATCH_FLOOR = 100_000
 
-MAX_PARTITIONS = 100_000
 MIN_PARTITION_ROWS = 10_000
 PARTITION_BYTES = 256 * 1024 * 1024
 # compressed columnar bytes, unpacked into rows
@@ -31,8 +31,8 @@ GROWTH = 4
 
 def strategy_of(rows: int, key_columns: int, override: str | None = None) -> str:
     if override is not None:
-        if override not in STRATEGIES:
-            raise ValueError(f"unknown strategy {override!r}; use one of {STRATEGIES}")
+        if override not in CHOICES:
+            raise ValueError(f"unknown strategy {override!r}; use one of {CHOICES}")
         return EMPTY if rows == 0 else override
     if rows == 0:
         return EMPTY
@@ -53,8 +53,8 @@ def strategy_column(rows: Column, key_columns: Column) -> Column:
     )
 
 
-def batch_rows(rows: int, has_text_blob: bool = False) -> int:
-    """Rows per output file before the file-count bound of :func:`rows_per_file`."""
+def rows_per_file(rows: int, has_text_blob: bool = False) -> int:
+    """Rows of one output file, by the size of the table."""
     batch = next((size for bound, size in BATCH_STEPS if rows < bound), BATCH_TOP)
     if has_text_blob:
         batch = batch * 2 // 3
@@ -69,11 +69,6 @@ def batch_rows_column(rows: Column, has_text_blob: Column) -> Column:
     return F.greatest(reduced, F.lit(BATCH_FLOOR).cast("bigint")).cast("bigint")
 
 
-def rows_per_file(rows: int, has_text_blob: bool = False) -> int:
-    """The batch rule, raised where it would give more than ``MAX_PARTITIONS`` files."""
-    return max(batch_rows(rows, has_text_blob), -(-rows // MAX_PARTITIONS))
-
-
 def choose_strategy(profiles: DataFrame) -> DataFrame:
     """Adds ``strategy`` and ``batch_rows`` to one row per table.
 
@@ -103,4 +98,4 @@ def partitions_for(rows: int, source_bytes: int | None, has_text_blob: bool, cor
     by_rows = -(-rows * 5 // (4 * rows_per_file(rows, has_text_blob)))
     by_bytes = -(-(source_bytes or 0) * GROWTH // PARTITION_BYTES)
     by_cores = min(cores, -(-rows // MIN_PARTITION_ROWS))
-    return max(1, min(max(by_rows, by_bytes, by_cores), MAX_PARTITIONS, rows))
+    return max(1, min(max(by_rows, by_bytes, by_cores), rows))

@@ -55,9 +55,29 @@ def total_bytes(spark: SparkSession, path: str) -> int:
 
 
 def source_bytes(df: DataFrame) -> int | None:
-    """Planner's size estimate of the source, None where it has none (JDBC)."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size if size < 2**60 else None
+    """Bytes that the scans below a frame read, None where they are not known (JDBC).
+
+    Not the planner's estimate of the result, which multiplies both sides of a join.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if sizes and max(sizes) < 2**60 else None
+
+
+# Plan nodes under which a scan's partitions reach the caller as they are.
+_KEEPS_PARTITIONS = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "RelationV2", "DataSourceV2ScanRelation"}
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """Whether a frame is one scan with columns and rows taken away or computed, so that its partitions are the scan's."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while nodes:
+        node = nodes.pop()
+        children = node.children()
+        if node.nodeName().split(" ")[0] not in _KEEPS_PARTITIONS or children.size() > 1:
+            return False
+        nodes += [children.apply(i) for i in range(children.size())]
+    return True
 
 
 def _file_system(spark: SparkSession, path: str):

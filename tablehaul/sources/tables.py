@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tablehaul import names
+from tablehaul.plans.balance import Leaf, leaf_number, plan_leaves
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import heaviest_range, range_id
 from tablehaul.plans.strategy import partition_rows, partitions_for
-from tablehaul.sources.files import source_bytes
-
+from tablehaul.sources.files import is_plain_scan, source_bytes
 
 
 def read_all(
@@ -58,19 +58,37 @@ def split_by_plan(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfil
     return df.repartitionById(min(n, profile.span), ids).sortWithinPartitions(*names.columns(keys))
 
 
-def split_by_sample(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """Partitions of about equal rows in key order, cut by sampling all key columns.
+def split_by_leaves(df: DataFrame, keys: Sequence[str], leaves: Sequence[Leaf], n: int, rows: int) -> DataFrame:
+    """Partition *i* holds leaf *i* of a plan over all key columns, sorted by them.
 
-    Copies of one full key are split by input partition, which stays the same
-    when a lost task runs again.
+    The place of a row is a function of its key, so passes agree with each other. Only copies of one full key that hold
+    several shares are dealt over more partitions, by their place in the input, which is the same when a lost task runs again.
     """
-    split = "_input_partition"
-    return (
-        df.withColumn(split, F.spark_partition_id())
-        .repartitionByRange(n, *names.columns(keys), split)
-        .sortWithinPartitions(*names.columns(keys))
-        .drop(split)
-    )
+    place, parts = leaf_number(leaves, names.columns(keys)), len(leaves)
+    share = max(2 * rows // n, 1)
+    copied = [
+        (i, -(-leaf.rows // share))
+        for i, leaf in enumerate(leaves)
+        if leaf.lo == leaf.hi and len(leaf.prefix) + 1 == len(keys) and leaf.rows > share
+    ]
+    if copied:
+        (number,) = names.unused(df.columns, "leaf")
+        df = df.withColumn(number, place)
+        place, before = F.col(number), 0
+        shifted = F.lit(None).cast("int")
+        for i, extra in copied:
+            inside = F.pmod(F.monotonically_increasing_id(), F.lit(extra)).cast("int")
+            shifted = F.when(place == i, F.lit(i + before) + inside).otherwise(shifted)
+            before += extra - 1
+        earlier = sum((F.when(place > i, extra - 1).otherwise(0) for i, extra in copied), F.lit(0))
+        spread = df.withColumn(number, F.coalesce(shifted, place + earlier))
+        return spread.repartitionById(parts + before, F.col(number)).drop(number).sortWithinPartitions(*names.columns(keys))
+    return df.repartitionById(parts, place).sortWithinPartitions(*names.columns(keys))
+
+
+def plan_split(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfile) -> list[Leaf]:
+    """A plan of about ``n`` equal parts; reads the key columns only."""
+    return plan_leaves(df, keys, n, profile.lo, profile.hi, profile.rows)
 
 
 def read_by_key_range(
@@ -83,8 +101,9 @@ def read_by_key_range(
     """Rows in up to ``n`` disjoint key ranges, one partition each, sorted by all keys.
 
     Partitions follow key order, so part files do too. Equal-width ranges of the
-    leading key place rows by arithmetic, with no sampling pass; where they are
-    lopsided (gaps, outliers, a hot leading key) the split is taken from the data.
+    leading key place rows by arithmetic; where they are lopsided (gaps, outliers, a
+    hot leading key) the cuts are taken from counts over the key columns. Either way whole rows are
+    read once.
     Without ``n``, partitions are sized by the table's rows and bytes.
     """
     check_keys(df, keys)
@@ -94,17 +113,17 @@ def read_by_key_range(
     n = n or default_partitions(df, profile.rows)
     if ranges_are_even(df, keys[0], n, profile, even_floor):
         return split_by_plan(df, keys, n, profile)
-    return split_by_sample(df, keys, n)
+    return split_by_leaves(df, keys, plan_split(df, keys, n, profile), n, profile.rows)
 
 
 def partitions_are_ranges(df: DataFrame, keys: Sequence[str], profile: KeyProfile) -> bool:
     """Whether each input partition holds its own interval of the leading key, none too much of it.
 
     Reads that column and compares one row per input partition. Partitions of a
-    file scan are the same in every pass; behind a shuffle they need not be, so such
-    a frame does not count.
+    file scan are the same in every pass; behind a shuffle they need not be, so only
+    a plain scan counts.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if not is_plain_scan(df):
         return False
     key = names.column(keys[0])
     bounds = df.groupBy(F.spark_partition_id().alias("part")).agg(

@@ -4,10 +4,11 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tablehaul.plans.balance import leaf_number, plan_leaves
 from tablehaul.plans.profile import profile_frame, profile_key
 from tablehaul.plans.ranges import (
     assign_range,
-    cut_ranges,
+    leaf_predicates,
     plan_balanced_ranges,
     plan_chunks,
     plan_key_predicates,
@@ -88,10 +89,6 @@ def test_chunks_at_the_bigint_bound(spark):
     assert chunks[-1]["hi"] == HI and sum(c["hi"] - c["lo"] + 1 for c in chunks) == 10
 
 
-def test_too_many_chunks_are_refused(spark):
-    with pytest.raises(ValueError, match="sparse"):
-        plan_chunks(spark, plan_ranges(LO, HI, 8), 1000)
-
 
 def test_balanced_ranges_even_out_squares(keyed):
     df = keyed([i * i for i in range(4000)])
@@ -130,20 +127,51 @@ def test_a_hot_value_anywhere_stands_alone(keyed, hot):
     assert all(x.hi + 1 == y.lo for x, y in zip(ranges, ranges[1:]))
 
 
-def test_cut_ranges_stay_disjoint():
-    cut = cut_ranges(plan_ranges(0, 99, 3), 4)
-    assert [r.range_id for r in cut] == list(range(12))
-    assert cut[0].lo == 0 and cut[-1].hi == 99
-    assert all(x.hi + 1 == y.lo for x, y in zip(cut, cut[1:]))
-
-
-def test_more_predicates_than_balanced_ranges(keyed, monkeypatch):
-    monkeypatch.setattr("tablehaul.plans.ranges.MAX_BALANCED", 8)
-    df = keyed([i * i for i in range(2000)])
+def test_any_number_of_balanced_ranges(keyed):
+    """More ranges than a comparison tree holds; ids agree with the plan."""
+    df = keyed([i * i for i in range(4000)])
+    ranges = plan_balanced_ranges(df, "k", 1500)
+    assert 1300 <= len(ranges) <= 1500
+    ids = df.select(assign_range(F.col("k"), ranges).alias("r"), "k").collect()
+    assert all(ranges[x["r"]].lo <= x["k"] <= ranges[x["r"]].hi for x in ids)
     predicates = plan_key_predicates(df, ["k"], 20)
-    assert len(predicates) == 24
     hits = df.select(sum(F.expr(p).cast("int") for p in predicates).alias("hits")).distinct().collect()
-    assert [r["hits"] for r in hits] == [1]
+    assert [r["hits"] for r in hits] == [1] and 18 <= len(predicates) <= 20
+
+
+def test_extreme_keys_are_cut(keyed):
+    keys = [-(2**63), 2**63 - 1, *range(-50, 50), *[2**62 + i for i in range(100)]]
+    ranges = plan_balanced_ranges(keyed(keys), "k", 10)
+    assert ranges[0].lo == -(2**63) and ranges[-1].hi == 2**63 - 1 and len(ranges) >= 8
+    assert all(x.hi + 1 == y.lo for x, y in zip(ranges, ranges[1:]))
+    assert max(sum(r.lo <= k <= r.hi for k in keys) for r in ranges) <= 2 * len(keys) / 10
+
+
+def test_jobs_do_not_grow_with_heavy_values(spark, monkeypatch):
+    """All heavy values of a column are counted in the same jobs."""
+
+    def jobs(heavy):
+        df = spark.range(8000).select((F.col("id") % heavy).alias("a"), (F.col("id") * 7 % 8000).alias("b"))
+        collects = []
+        collect = type(df).collect
+        monkeypatch.setattr(type(df), "collect", lambda self: collects.append(1) or collect(self))
+        leaves = plan_leaves(df, ["a", "b"], 100, 0, heavy - 1, 8000)
+        monkeypatch.undo()
+        assert sum(leaf.rows for leaf in leaves) == 8000 and max(leaf.rows for leaf in leaves) <= 160
+        return len(collects)
+
+    assert jobs(2) == jobs(20)
+
+
+def test_leaves_place_rows_like_their_predicates(spark):
+    rows = [(7, i % 5, i) for i in range(300)] + [(i, 0, 0) for i in range(-20, 40)] + [(7, 2, 0)] * 50
+    df = spark.createDataFrame(rows, "a long, b int, c long")
+    leaves = plan_leaves(df, ["a", "b", "c"], 12, -20, 39, len(rows))
+    predicates = leaf_predicates(leaves, ["a", "b", "c"])
+    hits = [F.when(F.expr(p), i) for i, p in enumerate(predicates)]
+    wrong = df.select(leaf_number(leaves, [F.col("a"), F.col("b"), F.col("c")]).alias("n"), F.coalesce(*hits).alias("m")).where("n <> m OR m IS NULL")
+    assert wrong.count() == 0 and any(leaf.prefix for leaf in leaves)
+    assert [(*leaf.prefix, leaf.lo) for leaf in leaves] == sorted((*leaf.prefix, leaf.lo) for leaf in leaves)
 
 
 def test_composite_predicates_split_a_hot_leading_key(spark):

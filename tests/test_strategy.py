@@ -2,7 +2,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablehaul.plans.strategy import (
-    batch_rows,
     batch_rows_column,
     choose_strategy,
     partitions_for,
@@ -31,7 +30,7 @@ CHOICES = [
 
 @pytest.mark.parametrize("rows", SIZES)
 def test_batch_rule(rows):
-    assert (batch_rows(rows), batch_rows(rows, True)) == SIZES[rows]
+    assert (rows_per_file(rows), rows_per_file(rows, True)) == SIZES[rows]
 
 
 @pytest.mark.parametrize("rows,size,want", CHOICES)
@@ -44,7 +43,7 @@ def test_column_forms_agree(spark):
     got = choose_strategy(spark.createDataFrame(rows, "n bigint, key_size int, has_text_blob boolean")).collect()
     for r in got:
         assert r["strategy"] == strategy_of(r["n"], r["key_size"])
-        assert r["batch_rows"] == batch_rows(r["n"], r["has_text_blob"])
+        assert r["batch_rows"] == rows_per_file(r["n"], r["has_text_blob"])
 
 
 def test_missing_key_size_is_unkeyed(spark):
@@ -55,15 +54,17 @@ def test_missing_key_size_is_unkeyed(spark):
 def test_override():
     assert strategy_of(100, 2, "leading_key") == "leading_key"
     assert strategy_of(0, 2, "leading_key") == "empty"
-    with pytest.raises(ValueError):
-        strategy_of(1, 1, "fastest")
+    for other in ("fastest", "empty"):
+        with pytest.raises(ValueError):
+            strategy_of(1, 1, other)
 
 
-def test_file_and_partition_counts_stay_bounded():
+def test_partitions_follow_rows_and_bytes():
     huge = 10**12
-    assert -(-huge // rows_per_file(huge)) <= 100_000
-    assert partitions_for(huge, 100 * 2**40, False, 1000) <= 100_000
-    assert partitions_for(huge, 100 * 2**40, False, 1000) >= 50_000
+    assert rows_per_file(huge) == 1_000_000
+    # no partition grows with the table
+    assert huge / partitions_for(huge, 100 * 2**40, False, 1000) <= 1_000_000
+    assert 100 * 2**40 / partitions_for(huge, 100 * 2**40, False, 1000) <= 256 * 2**20
     # few rows, but long ones
     assert partitions_for(1_000_000, 2**40, True, 8) > 1000
     # small tables neither idle the cores nor fall into tiny files

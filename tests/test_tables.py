@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 
 from tablehaul.operators.paging import page, read_in_key_order, with_page_number, with_row_number
 from tablehaul.plans.profile import column_stats
-from tablehaul.sources.tables import read_all, read_by_key_range, register_source
+from tablehaul.sources.files import is_plain_scan, source_bytes
+from tablehaul.sources.tables import default_partitions, read_all, read_by_key_range, register_source
 
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -185,3 +186,36 @@ def test_wide_rows_are_checked_for_skew_earlier():
     assert partition_rows(10**9, None) == 1_000_000
     assert partition_rows(600_000, 10**7) == 1_000_000
     assert partition_rows(1_000_000, 10**12) < 100
+
+
+def test_page_checks_keys_at_every_position(spark, table):
+    rows = spark.createDataFrame([(i if i else None, str(i)) for i in range(20)], "k int, t string")
+    for first in (1, 15, 11_000):
+        with pytest.raises(ValueError, match="integers"):
+            page(rows, ["t"], first, first + 1)
+        with pytest.raises(ValueError, match="NULL"):
+            page(rows, ["k"], first, first + 1)
+
+
+def test_partitions_of_a_join_follow_what_its_scans_read(table):
+    lineitem, orders = table("lineitem"), table("orders")
+    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    assert source_bytes(joined) == source_bytes(lineitem) + source_bytes(orders)
+    assert default_partitions(joined, 6000) <= 8
+
+
+def test_plain_scans_are_told_by_their_plan(spark, table):
+    orders = table("orders")
+    assert is_plain_scan(orders) and is_plain_scan(orders.where("o_orderkey > 5").select(F.lit("Exchange").alias("Exchange")))
+    for other in (orders.repartition(3), orders.distinct(), orders.union(orders), orders.orderBy("o_orderkey")):
+        assert not is_plain_scan(other)
+
+
+def test_whole_rows_are_read_once(spark, table):
+    """A lopsided key: cuts come from the key columns alone, and no copy of the table is staged."""
+    orders = table("orders").withColumn("sq", F.col("o_orderkey") * F.col("o_orderkey"))
+    split = read_by_key_range(orders, ["sq"], 8, even_floor=0)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "rangepartitioning" not in plan
+    sizes = [r["n"] for r in split.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 1500 and max(sizes) <= 2 * 1500 / 8
