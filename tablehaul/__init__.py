@@ -4,6 +4,7 @@ from tablehaul.functions.coerce import coerce_column, coerce_table
 from tablehaul.operators.extract import (
     ExtractStats,
     extract_stats,
+    extract_table_jdbc,
     run_extract,
     run_extract_jdbc,
     run_extracts,
@@ -21,6 +22,7 @@ from tablehaul.plans.catalog import (
     resolve_columns,
     text_blob_tables,
 )
+from tablehaul.plans.balance import plan_leaves
 from tablehaul.plans.profile import KeyProfile, column_stats, profile_frame, profile_key
 from tablehaul.plans.ranges import (
     KeyRange,

@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from tablehaul.functions.coerce import coerce_table
 from tablehaul.names import columns
 from tablehaul.operators.reconcile import reconcile
-from tablehaul.plans.catalog import has_text_blob as marked_text_blob
-from tablehaul.plans.profile import profile_key
-from tablehaul.plans.ranges import plan_key_predicates
+from tablehaul.plans.catalog import Catalog, declared_schema_of, for_table, has_text_blob as marked_text_blob, keys_of, resolve_columns
+from tablehaul.plans.profile import KeyProfile, profile_key
+from tablehaul.plans.ranges import heaviest_range, plan_key_predicates
 from tablehaul.plans.strategy import EMPTY, UNKEYED, partitions_for, rows_per_file, strategy_of
 from tablehaul.sources.files import exists, remove_dir, replace_dir, total_bytes
 from tablehaul.sources.jdbc import (
     DEFAULT_CONNECTIONS,
+    check_jdbc_keys,
+    count_jdbc,
     profile_jdbc,
     read_jdbc_all,
     read_jdbc_by_key_range,
@@ -27,9 +29,6 @@ from tablehaul.sources.jdbc import (
 from tablehaul.sources.parquet import write_extract
 from tablehaul.sources.tables import default_partitions, partitions_are_ranges, read_by_key_range
 
-SINGLE_FILE_ROWS = 10_000_000
-
-
 @dataclass(frozen=True)
 class ExtractStats:
     table_name: str
@@ -113,8 +112,9 @@ def run_extract(
     ``strategy='unkeyed'`` skips the shuffle where key order is not wanted, and
     ``presorted`` where the source's files are in key order already: if its scan's
     partitions turn out to be disjoint key ranges, they are kept as they are.
-    ``check_keys`` also reconciles every key before the move. Without
-    ``has_text_blob`` the mark in the source's schema decides.
+    ``check_keys`` also reconciles every key before the move; it does not compare other columns (``reconcile`` can).
+    ``single_file`` reads and writes through one task, whatever the size: its cost is the caller's to judge.
+    Without ``has_text_blob`` the mark in the source's schema decides.
     """
     started = time.monotonic()
     final = _final_path(source.sparkSession, out_dir, table, overwrite)
@@ -137,8 +137,6 @@ def run_extract(
         rows = read_by_key_range(source, wanted, parts, profile)
     rows = coerce_table(rows, declared_schema, charset)
     if single_file:
-        if profile.rows > SINGLE_FILE_ROWS:
-            raise ValueError(f"{profile.rows} rows are too many for one task and one file")
         rows = rows.coalesce(1)
 
     def same_keys(back: DataFrame) -> None:
@@ -165,7 +163,7 @@ def run_extract_jdbc(
     out_dir: str,
     keys: Sequence[str] = (),
     n: int | None = None,
-    balanced: bool = False,
+    balanced: bool | None = None,
     strategy: str | None = None,
     declared_schema: Mapping[str, str] | None = None,
     charset: str | None = None,
@@ -174,44 +172,112 @@ def run_extract_jdbc(
     overwrite: bool = False,
     properties: Mapping[str, str] | None = None,
     quote: str = '"',
+    predicates: Sequence[str] | None = None,
+    connections: int = DEFAULT_CONNECTIONS,
+    quiet_source: bool = True,
 ) -> ExtractStats:
     """The same job from a relational source: one connection per range, no shuffle.
 
-    The source counts and bounds the key itself. Without ``n`` a range holds about
-    one file of rows, so a lost task repeats little; as many connections are open
-    at a time as the application has cores. ``balanced`` first reads the key
-    columns alone to cut ranges of equal rows. The source may change
-    meanwhile, so the row check compares what was read with what was stored.
+    The source counts and bounds the key itself; keys must be integers by the reader's schema. Without ``n`` a
+    range holds about one file of rows, so a lost task repeats little. At most ``connections`` ranges are read
+    at a time, whatever the cluster's size: ranges are grouped into that many tasks. ``balanced`` reads the
+    key columns alone first and cuts ranges of equal rows; left open, that is done where
+    counts over the key column show a range with over twice its share. For an unkeyed table the
+    caller may give disjoint ``predicates`` that cover it. Afterwards the source is counted again: if
+    ``quiet_source`` holds, rows before, after, read and stored must be equal; else what was read must be what was stored.
     """
     started = time.monotonic()
     label = table if isinstance(table, str) else table[-1]
     final = _final_path(spark, out_dir, label, overwrite)
     wanted = [] if strategy == UNKEYED else list(keys)
+    if wanted:
+        check_jdbc_keys(read_jdbc_all(spark, url, table, properties, quote), wanted)
     profile = profile_jdbc(spark, url, table, wanted[0] if wanted else None, properties, quote)
     chosen = strategy_of(profile.rows, len(wanted), strategy)
     if chosen == EMPTY:
         return _nothing(label, started)
-    n = n or partitions_for(profile.rows, None, has_text_blob, DEFAULT_CONNECTIONS)
+    n = n or partitions_for(profile.rows, None, has_text_blob, connections)
     if chosen == UNKEYED:
-        rows = read_jdbc_all(spark, url, table, properties, quote)
+        rows = read_jdbc_all(spark, url, table, properties, quote, predicates)
     elif not wanted:
         raise ValueError(f"strategy {chosen!r} needs a key")
     else:
-        predicates = None
-        if balanced:
-            key_rows = read_jdbc_by_key_range(
-                spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, ordered=False
-            ).select(*wanted)
-            predicates = plan_key_predicates(key_rows, wanted, n, quote, profile)
+        if predicates is None:
+            predicates = _jdbc_predicates(spark, url, table, wanted, profile, n, balanced, properties, quote, connections)
         rows = read_jdbc_by_key_range(
-            spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, predicates=predicates
+            spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, predicates=predicates, ordered=False
         )
+    rows = _limited(rows, connections)
+    if wanted:
+        rows = rows.sortWithinPartitions(*columns(wanted))
     rows = coerce_table(rows, declared_schema, charset)
-    written, megabytes = _store(rows, final, compress, rows_per_file(profile.rows, has_text_blob), None)
+
+    def unchanged(back: DataFrame) -> None:
+        after, stored = count_jdbc(spark, url, table, properties, quote), back.count()
+        if not profile.rows == after == stored:
+            raise RuntimeError(f"{label}: {profile.rows} rows before, {after} after, {stored} read and stored")
+
+    written, megabytes = _store(
+        rows, final, compress, rows_per_file(profile.rows, has_text_blob), None, unchanged if quiet_source else None
+    )
     seconds = time.monotonic() - started
     return ExtractStats(label, chosen, written, seconds, megabytes, written / seconds, final)
 
 
+def _limited(rows: DataFrame, connections: int) -> DataFrame:
+    """At most ``connections`` tasks, each reading its ranges one after the other over one connection at a time."""
+    return rows.coalesce(connections)
+
+
+def _jdbc_predicates(
+    spark: SparkSession,
+    url: str,
+    table: str | Sequence[str],
+    keys: Sequence[str],
+    profile: KeyProfile,
+    n: int,
+    balanced: bool | None,
+    properties: Mapping[str, str] | None,
+    quote: str,
+    connections: int,
+) -> list[str] | None:
+    """Balanced predicates where they are asked for or needed, else None for equal-width ranges."""
+    if balanced is False or n == 1:
+        return None
+    read = read_jdbc_by_key_range(spark, url, table, keys, profile, n=n, properties=properties, quote=quote, ordered=False)
+    key_rows = _limited(read.select(*columns(keys)), connections)
+    if balanced is None and heaviest_range(key_rows, keys[0], n, profile) <= 2 * -(-profile.rows // min(n, profile.span)):
+        return None
+    return plan_key_predicates(key_rows, keys, n, quote, profile)
+
+
+def extract_table_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    out_dir: str,
+    catalog: Catalog,
+    properties: Mapping[str, str] | None = None,
+    quote: str = '"',
+    charset: str | None = None,
+    **options,
+) -> ExtractStats:
+    """From a table's name to its extract: key, types and long text come from the source's catalog (``read_catalog``).
+
+    A name that the catalog does not have is an error. Its types only widen what the connector delivers.
+    """
+    found = resolve_columns(catalog)
+    keys = keys_of(catalog, found, table)
+    stored = for_table(found, table).select("relation_name", "is_text_blob").collect()
+    name = stored[0]["relation_name"]
+    delivered = read_jdbc_all(spark, url, name, properties, quote)
+    declared = declared_schema_of(found, table, delivered, charset)
+    return run_extract_jdbc(
+        spark, url, name, out_dir, keys, declared_schema=declared, charset=charset,
+        has_text_blob=any(r["is_text_blob"] for r in stored), properties=properties, quote=quote, **options,
+    )
+
+
 def run_extracts(jobs: Sequence[Callable[[], ExtractStats]], at_once: int = 4) -> list[ExtractStats]:
     """Several extracts with a few in flight, so small tables do not idle the cluster."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tablehaul.names import quoted
 from tablehaul.plans.catalog import Catalog
@@ -53,9 +53,33 @@ def profile_jdbc(
     n, lo, hi, keyed = row
     if keyed != n:
         raise ValueError(f"{n - keyed} rows of {table} have a NULL in key {key}")
+    if any(bound is not None and bound != int(bound) for bound in (lo, hi)):
+        raise ValueError(f"key {key} of {table} is not an integer: {lo} to {hi}")
     return KeyProfile(int(n), None if lo is None else int(lo), None if hi is None else int(hi), 0)
 
 
+def is_integer_key(data_type: T.DataType) -> bool:
+    """Integers, and decimals without a fraction, as some databases deliver their integers."""
+    return isinstance(data_type, T.IntegralType) or (isinstance(data_type, T.DecimalType) and data_type.scale == 0)
+
+
+def check_jdbc_keys(df: DataFrame, keys: Sequence[str]) -> None:
+    """Ranges of integers leave out what lies between them, so keys must be integers by the reader's own schema."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    missing = [k for k in keys if k not in types]
+    if missing:
+        raise ValueError(f"key columns not in the table: {missing}")
+    other = {k: types[k].simpleString() for k in keys if not is_integer_key(types[k])}
+    if other:
+        raise ValueError(f"key columns must be integers: {other}")
+
+
+def count_jdbc(
+    spark: SparkSession, url: str, table: str | Sequence[str], properties: Mapping[str, str] | None = None, quote: str = '"'
+) -> int:
+    return profile_jdbc(spark, url, table, None, properties, quote).rows
+
+
 def read_catalog(
     spark: SparkSession, url: str, queries: Mapping[str, str], properties: Mapping[str, str] | None = None
 ) -> Catalog:
@@ -91,9 +115,7 @@ def read_jdbc_by_key_range(
             ranges = [] if profile.lo is None else plan_ranges(profile.lo, profile.hi, n)
         predicates = range_predicates(quoted(keys[0], quote), ranges, open_ended=True)
     df = read_jdbc_all(spark, url, table, properties, quote, predicates)
-    missing = [k for k in keys if k not in df.columns]
-    if missing:
-        raise ValueError(f"key columns not in the table: {missing}")
+    check_jdbc_keys(df, keys)
     return df.sortWithinPartitions(*keys) if ordered else df
 
 

@@ -8,7 +8,8 @@ import re
 import pytest
 from pyspark.sql import DataFrameReader, functions as F
 
-from tablehaul.operators.extract import run_extract_jdbc
+from tablehaul.operators.extract import extract_table_jdbc, run_extract_jdbc
+from tablehaul.plans.catalog import describe_tables
 from tablehaul.plans.ranges import plan_ranges
 from tablehaul.sources import jdbc
 
@@ -39,6 +40,7 @@ def source(spark, monkeypatch):
 
     monkeypatch.setattr(DataFrameReader, "jdbc", fake_jdbc)
     monkeypatch.setattr("tablehaul.operators.extract.profile_jdbc", fake_profile)
+    monkeypatch.setattr("tablehaul.sources.jdbc.profile_jdbc", fake_profile)
     return calls
 
 
@@ -101,3 +103,51 @@ def test_jdbc_without_key_and_empty(spark, table, source, tmp_path):
     assert source[0]["predicates"] is None
     source.df = table("labels").where("false")
     assert run_extract_jdbc(spark, "jdbc:x", "NONE", str(tmp_path), ["doc_id"]).strategy == "empty"
+
+
+def test_fractional_key_is_refused(spark, source, tmp_path):
+    source.df = spark.range(4000).select((F.col("id") / 3).cast("decimal(12,3)").alias("K"), F.col("id"))
+    with pytest.raises(ValueError, match="integers"):
+        run_extract_jdbc(spark, "jdbc:x", "T", str(tmp_path), ["K"], 8)
+    whole = source.df.withColumn("K", F.col("id").cast("decimal(12,0)"))
+    source.df = whole
+    assert run_extract_jdbc(spark, "jdbc:x", "T", str(tmp_path), ["K"], 8).rows == 4000
+
+
+def test_source_that_changes_is_noticed(spark, table, source, tmp_path, monkeypatch):
+    source.df = table("orders")
+    monkeypatch.setattr("tablehaul.operators.extract.count_jdbc", lambda *a: 1501)
+    with pytest.raises(RuntimeError, match="1501 after"):
+        run_extract_jdbc(spark, "jdbc:x", "ORDERS", str(tmp_path), ["o_orderkey"], 4)
+    assert not list(tmp_path.glob("orders.parquet"))
+    assert run_extract_jdbc(spark, "jdbc:x", "ORDERS", str(tmp_path), ["o_orderkey"], 4, quiet_source=False).rows == 1500
+
+
+def test_open_connections_are_limited(spark, table, source, tmp_path):
+    source.df = table("orders").coalesce(1)
+    stats = run_extract_jdbc(spark, "jdbc:x", "ORDERS", str(tmp_path), ["o_orderkey"], 40, connections=3)
+    assert len(source[-1]["predicates"]) == 40
+    assert len(list((tmp_path / "orders.parquet").glob("part-*"))) <= 3 and stats.rows == 1500
+
+
+def test_lopsided_key_is_cut_by_rows_unasked(spark, table, source, tmp_path):
+    orders = table("orders")
+    source.df = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") == 7, 10**15).otherwise(F.col("o_orderkey")))
+    run_extract_jdbc(spark, "jdbc:x", "ORDERS", str(tmp_path), ["o_orderkey"], 10)
+    counts = [source.df.where(p.replace('"', "`")).count() for p in source[-1]["predicates"]]
+    assert sum(counts) == 1500 and max(counts) <= 300
+
+
+def test_predicates_of_an_unkeyed_table(spark, table, source, tmp_path):
+    source.df = table("labels")
+    stats = run_extract_jdbc(spark, "jdbc:x", "LABELS", str(tmp_path), predicates=['"doc_id" < 50', '"doc_id" >= 50'])
+    assert len(source[-1]["predicates"]) == 2 and stats.rows == source.df.count()
+
+
+def test_from_a_name_to_an_extract(spark, table, source, tmp_path):
+    source.df = table("conversations")
+    catalog = describe_tables(spark, {"CONVERSATIONS": source.df}, {"CONVERSATIONS": ["conv_id", "turn"]}, {("CONVERSATIONS", "text")})
+    stats = extract_table_jdbc(spark, "jdbc:x", "conversations", str(tmp_path), catalog)
+    assert (stats.strategy, stats.rows) == ("key_order", source.df.count()) and source[-1]["table"] == '"CONVERSATIONS"'
+    with pytest.raises(ValueError, match="no table"):
+        extract_table_jdbc(spark, "jdbc:x", "conversation", str(tmp_path), catalog)
