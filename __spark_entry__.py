@@ -10,6 +10,7 @@ from functools import reduce
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T  # noqa: E402
+from pyspark.sql.window import Window  # noqa: E402
 
 import tablehaul as th  # noqa: E402
 from tablehaul.functions.coerce import (  # noqa: E402
@@ -21,6 +22,7 @@ from tablehaul.functions.coerce import (  # noqa: E402
     trim_text,
 )
 from tablehaul.sources.files import fresh_path  # noqa: E402
+from tablehaul.sources.tables import default_partitions  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -33,7 +35,7 @@ except ModuleNotFoundError as missing:
 RANGES = 8
 PAGE = 100
 CHUNK = 500
-MAX_PLANNED = 100_000
+FILE_ROWS = 4_000
 
 KEYS: dict[str, list[str]] = {
     "region": ["r_regionkey"],
@@ -101,12 +103,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _cents():
+    """Makes the key of ``lineitem`` unique in the smallest tables as well."""
+    return F.round(F.col("l_extendedprice") * 100).cast("bigint")
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: _table(spark, sf_dir, name) for name in KEYS}
 
 
 def _catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> th.Catalog:
-    return th.describe_tables(spark, tables, {t: k for t, k in KEYS.items() if k}, TEXT_BLOBS)
+    """``labels`` declares no key, and region one that is of no use, as its second column is text."""
+    declared = {t: k for t, k in KEYS.items() if k and t in tables} | ({"region": ["r_regionkey", "r_name"]} if "region" in tables else {})
+    return th.describe_tables(spark, tables, declared, TEXT_BLOBS)
 
 
 def _union(frames) -> DataFrame:
@@ -185,17 +194,72 @@ def extract_by_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables["customer"],
         "CUSTOMER",
         th.keys_of(catalog, columns, "CUSTOMER"),
-        declared_schema=th.declared_schema_of(columns, "CUSTOMER"),
+        declared_schema=th.declared_schema_of(columns, "CUSTOMER", tables["customer"]),
+    )
+
+
+def extract_by_catalog_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog whose codes would lose dates, booleans and decimals: what the connector delivers stays."""
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.to_date("o_orderdate").alias("o_day"),
+        (F.col("o_custkey") % 2 == 0).alias("o_even"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("o_price"),
     )
+    described = _catalog(spark, {"orders": orders})
+    codes = [("orders.o_orderkey", 16, 0), ("orders.o_day", 12, 0), ("orders.o_even", 23, 0), ("orders.o_price", 8, 0)]
+    fields = spark.createDataFrame(codes, "field_name string, field_type int, field_sub_type int")
+    catalog = described._replace(fields=fields)
+    columns = th.resolve_columns(catalog)
+    keys = th.keys_of(catalog, columns, "ORDERS")
+    return _extract(spark, orders, "ORDERS", keys, declared_schema=th.declared_schema_of(columns, "ORDERS", orders), check_keys=True)
+
+
+def extract_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all files of an extract: rows, rows that do not follow the one before them in their file, and files that overlap."""
+    lineitem = _table(spark, sf_dir, "lineitem")
+    keys = KEYS["lineitem"]
+    rows = _extract(spark, lineitem, "LINEITEM", keys, n=RANGES, strategy="leading_key")
+    key = F.struct(*keys)
+    in_file = Window.partitionBy("file").orderBy("place")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"))
+    checked = placed.select("file", key.alias("key"), (F.lag(key).over(in_file) > key).alias("falls"))
+    files = checked.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_if("falls").alias("falls"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    # one row per file
+    earlier = F.max("hi").over(Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1))
+    return files.select("n", "falls", (F.col("lo") <= earlier).alias("overlaps")).agg(
+        F.sum("n").alias("n_rows"), F.sum("falls").alias("out_of_order"), F.count_if("overlaps").alias("overlapping_files"),
+        (F.count(F.lit(1)) > 1).alias("many_files"),
+    )
+
+
+def extract_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that have the library's own working names, under a hot key: all come back."""
+    orders = _table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
+    rows = orders.select(
+        F.when(status == "F", F.lit(-1)).otherwise(F.col("o_custkey")).alias("s"), F.col("o_orderkey").alias("e"),
+        status.alias("_part"), F.col("o_orderpriority").alias("_input_partition"), F.col("o_custkey").alias("leaf"),
+        F.col("o_totalprice").alias("hash"),
+    )
+    path = fresh_path(spark, "names")
+    th.write_extract(th.read_by_key_range(rows, ["s", "e"], RANGES, even_floor=0), path)
+    back = spark.read.parquet(path)
+    numbered = th.with_row_number(back, ["s", "e"], RANGES, even_floor=0)
+    report = th.reconcile(rows, back, ["s", "e"], screen=True, content=True)
+    return numbered.crossJoin(F.broadcast(report.select("missing_rows", "extra_rows", "duplicate_rows")))
 
 
 def extract_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables, and one without rows."""
     out = fresh_path(spark, "all")
 
-    def job(name: str, df: DataFrame):
-        return lambda: th.run_extract(df, name, out, KEYS[name])
+    def job(name: str, df: DataFrame, keys: list[str]):
+        return lambda: th.run_extract(df, name, out, keys)
 
-    stats = th.run_extracts([job(name, df) for name, df in _tables(spark, sf_dir).items()])
+    tables = _tables(spark, sf_dir)
+    jobs = [job(name, df, KEYS[name]) for name, df in tables.items()]
+    stats = th.run_extracts([*jobs, job("no_orders", tables["orders"].where("o_orderkey < 0"), KEYS["orders"])])
     return th.extract_stats(spark, stats).select("table_name", "strategy", "rows", (F.col("megabytes") > 0).alias("wrote"))
 
 
@@ -223,18 +287,19 @@ def page_slice_far(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _table(spark, sf_dir, "lineitem").select(*KEYS["lineitem"])
-    return th.with_page_number(lineitem, KEYS["lineitem"], PAGE)
+    """Whole rows, one of whose columns has the name of the row number."""
+    lineitem = _table(spark, sf_dir, "lineitem").withColumns({"row_no": F.col("l_suppkey"), "cents": _cents()})
+    return th.with_page_number(lineitem, [*KEYS["lineitem"], "cents"], PAGE)
 
 
 def _hot_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot = F.when(F.col("l_returnflag") == "A", F.lit(-1)).otherwise(F.col("l_orderkey"))
-    return _table(spark, sf_dir, "lineitem").select(hot.alias("hot_key"), *KEYS["lineitem"])
+    return _table(spark, sf_dir, "lineitem").withColumns({"hot_key": hot, "cents": _cents()})
 
 
 def row_numbers_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third of the rows share the leading key; later key columns split them."""
-    return th.with_row_number(_hot_lineitem(spark, sf_dir), ["hot_key", *KEYS["lineitem"]], even_floor=0)
+    return th.with_row_number(_hot_lineitem(spark, sf_dir), ["hot_key", *KEYS["lineitem"], "cents"], even_floor=0)
 
 
 # profiles and plans
@@ -251,8 +316,7 @@ def plan_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     profile = th.profile_key(_table(spark, sf_dir, "orders"), KEYS["orders"])
-    size = max(CHUNK, profile.span // MAX_PLANNED + 1)
-    return th.plan_chunks(spark, th.plan_ranges(profile.lo, profile.hi, RANGES), size)
+    return th.plan_chunks(spark, th.plan_ranges(profile.lo, profile.hi, RANGES), CHUNK)
 
 
 def range_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,14 +482,18 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in many small files, then in files of the usual size (at least two)."""
+    """Orders in many small files, then in even ones of at most ``FILE_ROWS`` rows: content of each, and what the files hold."""
     small, usual = fresh_path(spark, "small"), fresh_path(spark, "usual")
-    orders = _table(spark, sf_dir, "orders")
-    rows = orders.count()
-    target = min(th.rows_per_file(rows), rows // 2 + 1)
-    th.write_extract(orders, small, rows_per_file=target // 8 + 1)
-    th.compact(spark, small, usual, target)
-    return spark.read.parquet(usual)
+    th.write_extract(_table(spark, sf_dir, "orders"), small, rows_per_file=FILE_ROWS // 8 + 1)
+    th.compact(spark, small, usual, FILE_ROWS)
+    rows = spark.read.parquet(usual)
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")
+    )
+    return per_file.agg(
+        F.count(F.lit(1)).alias("n_files"), F.min("n").alias("smallest"), F.max("n").alias("largest"),
+        F.sum("n").alias("n_rows"), F.sum("keys").alias("keys"), F.sum("cents").alias("cents"),
+    )
 
 
 def reconcile_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,6 +523,21 @@ def reconcile_screened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return th.reconcile(orders, faulty, KEYS["orders"], screen=True)
 
 
+def reconcile_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key is there once, but some values are lost or changed."""
+    orders = _table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_totalprice"))
+    return th.reconcile(orders, orders.withColumn("o_totalprice", price), KEYS["orders"], content=True)
+
+
+def partition_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions for a joined view follow the rows it has, not the planner's guess."""
+    joined = _table(spark, sf_dir, "lineitem").join(_table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = joined.count()
+    parts = default_partitions(joined, rows)
+    return joined.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("few", F.lit(parts) <= 8 + F.col("n_rows") / 10_000)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: orders in disjoint key ranges to Parquet and back."""
     return extract_single_key(spark, "/root/testdata/sf0.001")
@@ -462,11 +545,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
-    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_stats, source_view_sql, page_slice, page_slice_far, page_numbers,
+    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_by_catalog_types, extract_file_order, extract_own_names, extract_stats, source_view_sql, page_slice, page_slice_far, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
-    compact_files, reconcile_clean, reconcile_faulty, reconcile_screened,
+    compact_files, reconcile_clean, reconcile_faulty, reconcile_screened, reconcile_content, partition_sizes,
 )
 
 
@@ -599,9 +682,27 @@ def library_sql() -> dict[str, str]:
             FROM (SELECT *, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
         "extract_uneven_key": "SELECT *, o_orderkey * o_orderkey AS sq_key FROM orders",
         "extract_by_catalog": f"SELECT {_coerced('customer')} FROM customer",
+        "extract_by_catalog_types": """
+            SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_day, o_custkey % 2 = 0 AS o_even,
+                   CAST(o_totalprice AS DECIMAL(18,2)) AS o_price FROM orders""",
+        "extract_file_order": """
+            SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS overlapping_files,
+                   true AS many_files FROM lineitem""",
+        "extract_own_names": """
+            SELECT *, row_number() OVER (ORDER BY s, e) AS row_no, CAST(0 AS BIGINT) AS missing_rows,
+                   CAST(0 AS BIGINT) AS extra_rows, CAST(0 AS BIGINT) AS duplicate_rows
+            FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN CAST(-1 AS BIGINT) ELSE o_custkey END AS s, o_orderkey AS e,
+                         o_orderstatus AS _part, o_orderpriority AS _input_partition, o_custkey AS leaf,
+                         o_totalprice AS hash FROM orders)""",
         "extract_stats": f"""
             SELECT p.table_name, {_strategy('k.key_size')} AS strategy, p.n AS rows, p.n > 0 AS wrote
-            FROM ({_profile_rows()}) p JOIN {key_sizes} AS k(table_name, key_size, blob) USING (table_name)""",
+            FROM ({_profile_rows()}) p JOIN {key_sizes} AS k(table_name, key_size, blob) USING (table_name)
+            UNION ALL SELECT 'no_orders', 'empty', count(*), count(*) > 0 FROM orders WHERE o_orderkey < 0""",
+        "reconcile_content": """
+            SELECT count(*) AS source_rows, count(*) AS extracted_rows, CAST(0 AS BIGINT) AS duplicate_rows,
+                   count(*) FILTER (WHERE o_orderstatus = 'P') AS missing_rows,
+                   count(*) FILTER (WHERE o_orderstatus = 'P') AS extra_rows FROM orders""",
+        "partition_sizes": "SELECT count(*) AS n_rows, true AS few FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
         "source_view_sql": """
             SELECT o_orderstatus, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key,
                    max(o_orderkey) AS last_key
@@ -609,21 +710,18 @@ def library_sql() -> dict[str, str]:
         "page_slice": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100",
         "page_slice_far": f"SELECT * FROM lineitem ORDER BY {', '.join(k + ' DESC' for k in KEYS['lineitem'])} LIMIT 50",
         "page_numbers": f"""
-            SELECT {lineitem_keys},
-                   CAST((row_number() OVER (ORDER BY {lineitem_keys}) - 1) // {PAGE} AS BIGINT) AS page_no
+            SELECT *, l_suppkey AS row_no, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+                   CAST((row_number() OVER (ORDER BY {lineitem_keys}, l_extendedprice) - 1) // {PAGE} AS BIGINT) AS page_no
             FROM lineitem""",
         "row_numbers_hot_key": f"""
-            SELECT hot_key, {lineitem_keys}, row_number() OVER (ORDER BY hot_key, {lineitem_keys}) AS row_no
-            FROM (SELECT *, CASE WHEN l_returnflag = 'A' THEN CAST(-1 AS BIGINT) ELSE l_orderkey END AS hot_key
+            SELECT *, row_number() OVER (ORDER BY hot_key, {lineitem_keys}, cents) AS row_no
+            FROM (SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CASE WHEN l_returnflag = 'A' THEN CAST(-1 AS BIGINT) ELSE l_orderkey END AS hot_key
                   FROM lineitem)""",
         "profile_keys": _profile_rows(),
         "plan_ranges": _planned("orders", "o_orderkey"),
         "plan_chunks": f"""
-            SELECT range_id, c AS chunk_id, lo + c * size AS lo, least(lo + (c + 1) * size - 1, hi) AS hi
-            FROM (SELECT *, unnest(range((hi - lo) // size + 1)) AS c
-                  FROM ({_planned('orders', 'o_orderkey')}),
-                       (SELECT greatest({CHUNK}, span // {MAX_PLANNED} + 1) AS size
-                        FROM {_bounds('orders', 'o_orderkey')}))""",
+            SELECT range_id, c AS chunk_id, lo + c * {CHUNK} AS lo, least(lo + (c + 1) * {CHUNK} - 1, hi) AS hi
+            FROM (SELECT *, unnest(range((hi - lo) // {CHUNK} + 1)) AS c FROM ({_planned('orders', 'o_orderkey')}))""",
         "range_counts": f"""
             SELECT p.range_id, p.lo, p.hi, count(l.doc_id) AS n_rows
             FROM ({_planned('labels', 'doc_id')}) p LEFT JOIN labels l ON l.doc_id BETWEEN p.lo AND p.hi
@@ -642,10 +740,12 @@ def library_sql() -> dict[str, str]:
             FROM {column_rows} AS c(relation_name, position, column_name, type_code, target_type, is_text_blob)
             JOIN ({_column_rows(False)}) m ON m.table_name = c.relation_name AND m.column_name = c.column_name""",
         "detect_keys": f"""
-            SELECT table_name, key_columns, true AS usable, n, lo, hi
+            SELECT table_name, CASE WHEN table_name = 'region' THEN 'r_regionkey,r_name' ELSE key_columns END AS key_columns,
+                   table_name <> 'region' AS usable, n, lo, hi
             FROM ({_profile_rows()}) p JOIN {key_lists} AS k(table_name, key_columns) USING (table_name)""",
         "choose_strategy": f"""
-            SELECT table_name AS relation_name, n, has_text_blob, {_strategy('key_size')} AS strategy,
+            SELECT table_name AS relation_name, n, has_text_blob,
+                   {_strategy("(CASE WHEN table_name = 'region' THEN 0 ELSE key_size END)")} AS strategy,
                    CAST(CASE WHEN has_text_blob THEN batch * 2 // 3 ELSE batch END AS BIGINT) AS batch_rows
             FROM (SELECT *, CASE WHEN n < 200000 THEN 250000 WHEN n < 10000000 THEN 500000
                                  WHEN n < 50000000 THEN 750000 ELSE 1000000 END AS batch
@@ -683,7 +783,12 @@ def library_sql() -> dict[str, str]:
                    {_truncated('value')} AS value, hex(encode(props)) AS props
             FROM events""",
         "column_stats": _column_rows(True),
-        "compact_files": "SELECT * FROM orders",
+        "compact_files": f"""
+            SELECT files AS n_files, n - (files - 1) * size AS smallest, size AS largest, n AS n_rows, keys, cents
+            FROM (SELECT *, (n + files - 1) // files AS size
+                  FROM (SELECT count(*) AS n, (count(*) + {FILE_ROWS} - 1) // {FILE_ROWS} AS files,
+                               CAST(sum(o_orderkey) AS BIGINT) AS keys,
+                               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders))""",
         "reconcile_clean": """
             SELECT count(*) AS source_rows, count(*) AS extracted_rows, CAST(0 AS BIGINT) AS duplicate_rows,
                    CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows FROM lineitem""",
