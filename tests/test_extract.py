@@ -180,3 +180,30 @@ def test_presorted_sources_are_not_shuffled(spark, table, tmp_path):
             assert same_rows(spark.read.parquet(stats.path), orders)
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_compaction_leaves_no_small_files(spark, tmp_path):
+    """Eight files of 1,001 rows at 1,000 a file: nine even ones."""
+    spark.range(8008).repartitionByRange(8, "id").write.parquet(f"{tmp_path}/in")
+    assert compact(spark, f"{tmp_path}/in", f"{tmp_path}/out", 1000) == 9
+    back = spark.read.parquet(f"{tmp_path}/out")
+    files = back.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()
+    assert sorted(r.n for r in files) == [888] + [890] * 8 and back.distinct().count() == 8008
+    spark.range(0).write.parquet(f"{tmp_path}/none")
+    compact(spark, f"{tmp_path}/none", f"{tmp_path}/empty", 10)
+    assert spark.read.schema("id bigint").parquet(f"{tmp_path}/empty").count() == 0
+
+
+def test_empty_is_not_a_choice(spark, table, tmp_path):
+    with pytest.raises(ValueError, match="unknown strategy"):
+        run_extract(table("orders"), "ORDERS", str(tmp_path), ["o_orderkey"], strategy="empty")
+
+
+@pytest.mark.parametrize("screen", [False, True])
+def test_reconcile_sees_contents_if_asked(spark, table, screen):
+    orders = table("orders").withColumnsRenamed({"o_orderkey": "s", "o_custkey": "e", "o_orderstatus": "bucket"})
+    lost = orders.withColumn("o_totalprice", F.when(F.col("s") % 10 > 0, F.col("o_totalprice")))
+    assert list(plain_reconcile(orders, lost, ["s", "e"], screen=screen).first()) == [1500, 1500, 0, 0, 0]
+    assert list(plain_reconcile(orders, lost, ["s", "e"], screen=screen, content=True).first()) == [1500, 1500, 0, 150, 150]
+    with pytest.raises(ValueError, match="same columns"):
+        plain_reconcile(orders, orders.drop("o_totalprice"), ["s"], content=True)

@@ -3,6 +3,8 @@
 import glob
 import math
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -43,3 +45,13 @@ def test_query_matches_sql(spark, sql, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() == 1500
+
+
+def test_entry_without_the_training_data_operators():
+    """The other queries are there when that subpackage and its pipeline are not."""
+    code = (
+        "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; "
+        "assert set(e.queries()) == set(e.oracle_sql()) == set(e.library_queries())"
+    )
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
