@@ -13,6 +13,7 @@ from tablehaul.names import column, columns, unused
 from tablehaul.plans.balance import leaf_number
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import range_counts
+from tablehaul.sources.parquet import PLACE_BITS
 from tablehaul.sources.tables import (
     default_partitions,
     plan_split,
@@ -24,9 +25,6 @@ from tablehaul.sources.tables import (
 # Up to this many leading rows a top-k is cheaper than numbering the table.
 TOP_ROWS = 10_000
 
-# monotonically_increasing_id keeps a row's place in its partition below this bit.
-PLACE_BITS = 33
-
 # Key ranges counted to find a slice; with more rows each range only gets larger.
 MAX_COUNTED = 100_000
 

@@ -16,6 +16,9 @@ from tablehaul.sources.tables import plan_split, split_by_leaves
 # Fixed value: rows per row group.
 ROW_GROUP_ROWS = 1_000_000
 
+# monotonically_increasing_id keeps a row's place in its partition below this bit.
+PLACE_BITS = 33
+
 
 def write_extract(
     df: DataFrame,
@@ -77,11 +80,14 @@ def compact(
 def _dealt_evenly(df: DataFrame, rows: int, files: int) -> DataFrame:
     """Rows numbered in scan order and dealt to ``files`` partitions of equal size."""
     part, place, before, of, target = unused(df.columns, "part", "place", "before", "of_part", "target")
-    bits = (1 << 33) - 1
+    bits = (1 << PLACE_BITS) - 1
     counts = df.groupBy(F.spark_partition_id().alias(of)).agg(F.count(F.lit(1)).alias("n"))
     # one row per input partition
     earlier = F.sum("n").over(Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(of, F.coalesce(earlier, F.lit(0).cast("bigint")).alias(before))
+    fits = F.when(F.col("n") < F.lit(1 << PLACE_BITS), F.coalesce(earlier, F.lit(0).cast("bigint"))).otherwise(
+        F.raise_error(F.lit("too many rows in one partition"))
+    )
+    offsets = counts.select(of, fits.alias(before))
     placed = df.withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id().bitwiseAND(F.lit(bits))})
     number = F.col(before) + F.col(place)
     dealt = F.call_function("div", number, F.lit(max(1, -(-rows // files))).cast("bigint")).cast("int")
