@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -230,29 +230,28 @@ def _numbered(pieces: DataFrame, largest: int) -> DataFrame:
 
 
 def _placed(numbered: DataFrame, plan: Plan) -> DataFrame:
-    """Sequence and offset of each numbered piece. The plan's size depends on the capacity, not on the rows."""
+    """Sequence and offset of each numbered piece. The plan's size depends on the capacity, not on the rows.
+
+    Only lengths and numbers go to Python; ids stay where they are.
+    """
     order = np.lexsort((plan.number, plan.length))
     length, number, sequence, offset, per = (
         np.array(c, np.int64)[order] for c in (plan.length, plan.number, plan.sequence, plan.offset, plan.per)
     )
     stride = np.int64(1) << np.int64(48)
     begins = length * stride + number
-    at_length, at_number = numbered.columns.index("length"), numbered.columns.index("number")
-    kept = [c for c in numbered.columns if c != "number"]
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, which = batch.column(at_length).to_numpy(), batch.column(at_number).to_numpy()
-            run = np.searchsorted(begins, size * stride + which, "right") - 1
-            within = which - number[run]
-            out = [batch.column(numbered_at) for numbered_at in positions]
-            yield texts.batch_of(
-                (*kept, "sequence_id", "offset"), *out, sequence[run] + within // per[run], offset[run] + within % per[run] * size
-            )
-
-    positions = [numbered.columns.index(c) for c in kept]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name != "number")
-    return numbered.mapInArrow(task, schema + ", sequence_id bigint, offset bigint")
+
+    @F.pandas_udf("sequence_id bigint, offset bigint")
+    def place(lengths: pd.Series, numbers: pd.Series) -> pd.DataFrame:
+        size, which = lengths.to_numpy(np.int64), numbers.to_numpy(np.int64)
+        run = np.searchsorted(begins, size * stride + which, "right") - 1
+        within = which - number[run]
+        return pd.DataFrame(
+            {"sequence_id": sequence[run] + within // per[run], "offset": offset[run] + within % per[run] * size}
+        )
+
+    found = numbered.withColumn("place", place("length", "number"))
+    return found.select(*[c for c in numbered.columns if c != "number"], "place.sequence_id", "place.offset")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

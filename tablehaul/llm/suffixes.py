@@ -42,7 +42,7 @@ GRAM = 32
 # Windows of one piece at most; only repetitive text has longer runs.
 MAX_RUN = 1024
 # Bytes looked at together when pieces are cut, and bytes sorted together.
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 20
 BUCKET_BYTES = 1 << 20
 
 

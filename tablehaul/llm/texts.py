@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Text bytes handled at once; a longer text is a batch of its own.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -17,7 +17,7 @@ import pyarrow as pa
 from tablehaul.llm import texts
 
 # Chunks a Python worker remembers, half of them from its last batches. Ids do not depend on it.
-MEMORY = 800_000
+MEMORY = 400_000
 # Chunks that are encoded as one text, with a mark behind each.
 JOINED = 2_000
 # U+0001 behind a space is a token of its own in any of the tokenizers, and no other text has its last id.
