@@ -94,6 +94,7 @@ def _encode(tokenizer: str, loss_role: str):
                     np.full(len(batch), part, np.int32), pa.array(places, pa.int64()),
                     pa.ListArray.from_arrays(offsets, pa.array(ids)), pa.ListArray.from_arrays(offsets, pa.array(mask)),
                 )
+        encoder.forget()
 
     return task
 

@@ -21,8 +21,11 @@ def whole_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text") -> DataFrame:
-    """``mapInArrow`` with batches of bounded text size. ``run`` gets and returns a ``RecordBatch`` or yields some."""
+def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text", done: Callable | None = None) -> DataFrame:
+    """``mapInArrow`` with batches of bounded text size. ``run`` gets and returns a ``RecordBatch`` or yields some.
+
+    ``done`` is called at the end of a task, whose worker may go on with other work: what it freed goes back to the system.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -32,6 +35,9 @@ def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text") ->
                     yield out
                 else:
                     yield from out
+        if done:
+            done()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(task, schema)
 

@@ -53,6 +53,10 @@ class Encoder:
         place += np.arange(len(place))
         return ids[place], total[np.searchsorted(starts, offsets)]
 
+    def forget(self) -> None:
+        """Drop the remembered chunks, at the end of a task."""
+        self.recent, self.older = {}, {}
+
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks one after the other, and how many each has."""
         recent, older = self.recent, self.older
