@@ -29,7 +29,7 @@ from tablehaul.llm.texts import whole_text
 
 SEGMENT_WORDS = 48
 OVERLAP_WORDS = 24
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 SAMPLE_DOCUMENTS = 400
 HELD_OUT = 4  # one row of so many is held out
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8)
@@ -184,7 +184,8 @@ def train(
     families = [NONE, *sorted(NAMES)]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
     rows = rows.withColumns({"label": label, "held": F.pmod(F.xxhash64("family", "words"), F.lit(HELD_OUT)) == 0})
-    featured = with_features(rows, n_features).select("label", "held", "features").persist()
+    # few rows: so few partitions that gradients, which are as long as the model, are added up without a shuffle
+    featured = with_features(rows, n_features).select("label", "held", "features").coalesce(4).persist()
     counts = {r["label"]: r["n"] for r in featured.where("NOT held").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     weight = reduce(lambda w, item: w.when(F.col("label") == item[0], F.lit(total / len(counts) / item[1])), counts.items(), F.when(F.lit(False), 1.0))
