@@ -109,7 +109,7 @@ def cut_pieces(
         yield rows[first], begin - offsets[rows[first]], sizes, least[first], times, np.array(content, np.uint64)
 
 
-PIECES = "doc_id bigint, tag int, start int, n int, key bigint, weight int, content bigint"
+PIECES = "doc_id bigint, tag bigint, start int, n int, key bigint, weight int, content bigint"
 
 
 def pieces(rows: DataFrame, window: int, gram: int) -> DataFrame:
@@ -318,7 +318,7 @@ def _windows_of(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
             data = np.frombuffer(body, np.uint8)
             keys = rolling.of(data, window).view(np.int64)
             inner = [xxhash.xxh3_64_intdigest(body[i : i + window]) for i in range(n)]
-            same = [pa.array([v] * n, k) for v, k in ((owner, pa.int64()), (content, pa.int64()), (times, pa.int32()), (doc_id, pa.int64()), (tag, pa.int32()))]
+            same = [pa.array([v] * n, k) for v, k in ((owner, pa.int64()), (content, pa.int64()), (times, pa.int32()), (doc_id, pa.int64()), (tag, pa.int64()))]
             yield texts.batch_of(
                 ("owner", "content", "times", "doc_id", "tag", "start", "first", "key", "inner"),
                 *same, np.arange(start, start + n, dtype=np.int32), np.arange(n, dtype=np.int32),
@@ -327,7 +327,7 @@ def _windows_of(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
 
     bodies = _cut_bodies(rows, places.withColumn("id", F.col("doc_id")).withColumn("mark", F.col("tag")), window)
     bodies = bodies.select("owner", "content", "times", F.col("id").alias("doc_id"), F.col("mark").alias("tag"), "start", "n", "body")
-    schema = "owner bigint, content bigint, times int, doc_id bigint, tag int, start int, first int, key bigint, inner bigint"
+    schema = "owner bigint, content bigint, times int, doc_id bigint, tag bigint, start int, first int, key bigint, inner bigint"
     return texts.map_arrow(bodies, run, schema, "body")
 
 
@@ -347,7 +347,7 @@ def find_repeats(
         raise ValueError("a gram lies inside a window")
     whole = texts.whole_text(text)
     rows = docs.select(
-        F.col(doc_id).cast("bigint").alias("doc_id"), F.hash(whole).alias("tag"), whole.alias("text")
+        F.col(doc_id).cast("bigint").alias("doc_id"), texts.tag_of(text).alias("tag"), whole.alias("text")
     )
     long = rows.where(F.octet_length("text") >= window)
     shared = shared_pieces(pieces(long, window, gram))
@@ -433,7 +433,7 @@ def cut_repeats(
     """
     _, spans = find_repeats(docs, doc_id, text, **options)
     names = texts.free_names(docs, "row_id", "row_tag", "spans")
-    keyed = docs.withColumns({names[0]: F.col(doc_id).cast("bigint"), names[1]: F.hash(texts.whole_text(text))})
+    keyed = docs.withColumns({names[0]: F.col(doc_id).cast("bigint"), names[1]: texts.tag_of(text)})
     listed = spans.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("first", "until")).alias(names[2]))
     listed = listed.select(F.col("doc_id").alias("span_of_id"), F.col("tag").alias("span_of_tag"), names[2])
     same = keyed[names[0]].eqNullSafe(listed.span_of_id) & (keyed[names[1]] == listed.span_of_tag)

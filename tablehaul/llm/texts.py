@@ -21,6 +21,12 @@ def whole_text(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def tag_of(name: str) -> Column:
+    """64 bits by which different texts under one id are told apart: hash of the text and of its length."""
+    whole = whole_text(name)
+    return F.xxhash64(whole, F.octet_length(whole))
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text", done: Callable | None = None) -> DataFrame:
     """``mapInArrow`` with batches of bounded text size. ``run`` gets and returns a ``RecordBatch`` or yields some.
 

@@ -93,7 +93,7 @@ def _prints(rows: DataFrame, widths: list[int], window: int, gram: int) -> DataF
                 start.astype(np.int32), n.astype(np.int32), h.view(np.int64),
             )
 
-    return texts.map_arrow(rows, run, "doc_id bigint, tag int, width int, start int, n int, hash bigint")
+    return texts.map_arrow(rows, run, "doc_id bigint, tag bigint, width int, start int, n int, hash bigint")
 
 
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -115,7 +115,7 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
     return texts.map_arrow(items, run, "item_id bigint, width int, words binary").distinct()
 
 
-EXTENDED = "doc_id bigint, tag int, start int, width int, words binary"
+EXTENDED = "doc_id bigint, tag bigint, start int, width int, words binary"
 
 
 def _extended_batch(batch: pa.RecordBatch, words: Words, hits: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
@@ -164,8 +164,7 @@ def _extended(rows: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    whole = texts.whole_text(text)
-    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.hash(whole).alias("tag"), whole.alias("text"))
+    return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), texts.tag_of(text).alias("tag"), texts.whole_text(text).alias("text"))
 
 
 def find_windows(
@@ -189,7 +188,7 @@ def find_windows(
     tests = items.select(F.col(item_id).cast("bigint").alias("item_id"), texts.whole_text(item_text).alias("text"))
     widths = _widths(tests, window)
     item_windows = staged(_item_windows(tests, window), "item-windows")
-    as_rows = tests.select(F.col("item_id").alias("doc_id"), F.lit(0).alias("tag"), "text")
+    as_rows = tests.select(F.col("item_id").alias("doc_id"), F.lit(0).cast("bigint").alias("tag"), "text")
     item_prints = staged(_prints(as_rows, widths, window, gram).select("width", "hash").distinct(), "item-prints")
     if item_prints.count() <= broadcast_prints:
         listed = item_prints.groupBy("width").agg(F.collect_list("hash").alias("hashes")).collect()
@@ -220,14 +219,14 @@ def _covered(found: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from map(run, batches)
 
-    return listed.mapInArrow(task, "doc_id bigint, tag int, n_hit bigint")
+    return listed.mapInArrow(task, "doc_id bigint, tag bigint, n_hit bigint")
 
 
 def _word_counts(rows: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return texts.batch_of(("doc_id", "tag", "n_words"), batch.column(0), batch.column(1), np.diff(Words(batch.column(2)).bounds))
 
-    return texts.map_arrow(rows, run, "doc_id bigint, tag int, n_words bigint")
+    return texts.map_arrow(rows, run, "doc_id bigint, tag bigint, n_words bigint")
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -256,6 +255,6 @@ def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     found, _ = find_windows(docs, items, doc_id, text, **options)
     hit = found.select(F.col("doc_id").alias("hit_id"), F.col("tag").alias("hit_tag")).distinct()
     names = texts.free_names(docs, "row_id", "row_tag")
-    keyed = docs.withColumns({names[0]: F.col(doc_id).cast("bigint"), names[1]: F.hash(texts.whole_text(text))})
+    keyed = docs.withColumns({names[0]: F.col(doc_id).cast("bigint"), names[1]: texts.tag_of(text)})
     same = keyed[names[0]].eqNullSafe(hit.hit_id) & (keyed[names[1]] == hit.hit_tag)
     return keyed.join(hit, same, "left_anti").select(*docs.columns)
