@@ -37,7 +37,7 @@ WHOLE_BANDS = (
     (32768, 0.18, 0.66),
 )
 CHUNK_BAND = (0.22, 0.75)
-# A text fails if over this share of its whole chunks lies outside the chunk band.
+# A text fails if over this share of its chunks lies outside the chunk band.
 MAX_BAD_CHUNKS = 0.3
 
 SCHEMA = (
@@ -80,8 +80,11 @@ def duplicate_lines(data: np.ndarray, offsets: np.ndarray, word_starts: np.ndarr
 
 
 def chunk_ratios(compress: zstandard.ZstdCompressor, body: memoryview, size: int) -> list[float]:
-    """Ratios of the whole chunks of a text; a short rest belongs to the whole-text ratio alone."""
-    return [len(compress.compress(body[i : i + size])) / size for i in range(0, len(body) - size + 1, size)]
+    """Ratios of the whole chunks of a text; a rest is judged by one more chunk that ends with the text."""
+    starts = list(range(0, len(body) - size + 1, size))
+    if starts and len(body) % size:
+        starts.append(len(body) - size)
+    return [len(compress.compress(body[i : i + size])) / size for i in starts]
 
 
 def _measures(batch: pa.RecordBatch, text: str, options: dict) -> dict[str, np.ndarray]:

@@ -71,3 +71,12 @@ def test_bands_reject_both_ends(spark):
 def test_bands_must_ascend(spark):
     with pytest.raises(ValueError):
         compression.measure(documents(spark, EDGE_ROWS), whole_bands=((5, 0, 1),))
+
+
+def test_junk_at_the_end_is_judged(spark):
+    """Junk behind the last whole chunk fails like junk in front of it."""
+    pick = random.Random(8)
+    noise = "".join(chr(pick.randrange(0x21, 0x7F)) if i % 9 != 8 else " " for i in range(1950))
+    good = prose(12, 400)[:2049] + " "
+    got = {r.doc_id: r for r in compression.measure(documents(spark, [(1, good + noise), (2, noise + " " + good), (3, prose(12, 600)[:4000])])).collect()}
+    assert got[1].band_failed and got[2].band_failed and got[3].kept
