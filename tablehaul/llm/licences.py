@@ -164,6 +164,17 @@ def _scored(rows: DataFrame, classifier: Classifier) -> DataFrame:
     return found.withColumns({"family": named, "confidence": sure})
 
 
+def ordinary_segments(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """(family, words) of class ``none``: segments of so many different texts, those with the smallest hashes, that hold no licence word and no template."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), F.xxhash64(whole_text(text)).alias("sample_hash"))
+    chosen = rows.select("sample_hash").distinct().orderBy("sample_hash").limit(sample_documents)
+    sample = rows.join(F.broadcast(chosen), "sample_hash").groupBy("sample_hash").agg(F.min(F.struct("doc_id", "text")).alias("row")).select("row.*")
+    like_licence = F.exists("words", lambda w: w.rlike("^(licen[cs]|copyright|spdx|permission|gpl|warrant)"))
+    paired = NGram(n=2, inputCol="words", outputCol="pairs").transform(segments(sample).where(~like_licence))
+    templates = F.broadcast(_templates(docs.sparkSession).select("template"))
+    return paired.join(templates, _containment() >= MIN_CONTAINMENT, "left_anti").select(F.lit(NONE).alias("family"), "words")
+
+
 def train(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -177,9 +188,7 @@ def train(
     at most ``max_false_share`` of held-out ``none`` segments reach in any family.
     """
     spark = docs.sparkSession
-    sample = docs.select(doc_id, text).orderBy(F.xxhash64(whole_text(text)), doc_id).limit(sample_documents)
-    like_licence = F.exists("words", lambda w: w.rlike("^(licen[cs]|copyright|spdx|permission|gpl|warrant)"))
-    ordinary = segments(sample, doc_id, text).where(~like_licence).select(F.lit(NONE).alias("family"), "words")
+    ordinary = ordinary_segments(docs, doc_id, text, sample_documents)
     rows = labelled_rows(spark).union(ordinary)
     families = [NONE, *sorted(NAMES)]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")).cast("double") - 1
@@ -217,13 +226,18 @@ def _templates(spark: SparkSession) -> DataFrame:
     return paired.select("family", F.array_distinct(grams).alias("template"))
 
 
+def _containment() -> Column:
+    """Share of a template's word pairs, or of its one word, that a segment holds."""
+    return F.size(F.array_intersect("template", F.concat("pairs", "words"))) / F.size("template")
+
+
 def scan(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text: str = "text", min_containment: float = MIN_CONTAINMENT) -> DataFrame:
     """(doc_id, text_hash, paragraph, family, confidence, containment, confirmed): licence-like segments, the best of each family and paragraph."""
     spark = docs.sparkSession
     scored = _scored(segments(docs, doc_id, text), classifier).where(F.col("family") != NONE)
     compared = scored.join(F.broadcast(_templates(spark)), "family").select(
         "doc_id", "text_hash", "paragraph", "family", "confidence",
-        (F.size(F.array_intersect("template", F.concat("pairs", "words"))) / F.size("template")).alias("containment"),
+        _containment().alias("containment"),
     )
     best = compared.groupBy("doc_id", "text_hash", "paragraph", "family").agg(F.max("confidence").alias("confidence"), F.max("containment").alias("containment"))
     confirmed = (F.col("confidence") >= classifier.threshold) & (F.col("containment") >= min_containment)

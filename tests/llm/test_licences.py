@@ -79,3 +79,11 @@ def test_training_on_an_empty_table(spark):
 def test_plan_is_native(spark, classifier):
     plan = licences.document_licences(table(spark, "documents"), classifier)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_sample_holds_different_texts_and_no_templates(spark):
+    """Many copies of one text take one place, and licence lines without a licence word are not class none."""
+    footers = ["Published under CC0 1.0 Universal", "Available under CC BY 4.0"]
+    rows = [(i, "the same words again") for i in range(50)] + [(100 + i, f"{prose(i, 30)}\n{footers[i % 2]}") for i in range(9)]
+    got = [" ".join(r.words) for r in licences.ordinary_segments(documents(spark, rows), sample_documents=10).collect()]
+    assert sorted(got) == sorted(["the same words again", *(prose(i, 30).lower() for i in range(9))])
