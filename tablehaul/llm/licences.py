@@ -29,7 +29,7 @@ from tablehaul.llm.texts import whole_text
 
 SEGMENT_WORDS = 48
 OVERLAP_WORDS = 24
-FEATURES = 1 << 13
+FEATURES = 1 << 15
 SAMPLE_DOCUMENTS = 400
 HELD_OUT = 4  # one row of so many is held out
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8)

@@ -87,3 +87,8 @@ def test_sample_holds_different_texts_and_no_templates(spark):
     rows = [(i, "the same words again") for i in range(50)] + [(100 + i, f"{prose(i, 30)}\n{footers[i % 2]}") for i in range(9)]
     got = [" ".join(r.words) for r in licences.ordinary_segments(documents(spark, rows), sample_documents=10).collect()]
     assert sorted(got) == sorted(["the same words again", *(prose(i, 30).lower() for i in range(9))])
+
+
+def test_features_are_not_cut(classifier):
+    """The number of features was once cut for memory only."""
+    assert classifier.n_features == licences.FEATURES == 32_768 == classifier.model.numFeatures
