@@ -37,8 +37,8 @@ EPOCHS = 20
 SEED = 42
 # Share of a held-out row's sample neighbours that lie in the partitions it would visit.
 COVERAGE = 0.97
-# Rows, and queries, of a block.
-BLOCK = 4096
+# Components of the rows, and of the queries, of a tile.
+BLOCK_VALUES = 1 << 20
 
 _ENTRY = "entry bigint, ids array<bigint>, is_query boolean, vector array<float>"
 
@@ -245,40 +245,54 @@ def _exact(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return score
 
 
-def _search(answers: int):
-    """Best ``answers + 1`` ids of a block of rows for each query of a block."""
+def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, keep: int) -> list[np.ndarray]:
+    """The ``keep`` best rows of each query, ties to the smaller id."""
+    by = np.lexsort((vec, -score, query))
+    query, vec, score = query[by], vec[by], score[by]
+    best = np.arange(len(query)) - np.searchsorted(query, query) < keep
+    return [query[best], vec[best], score[best]]
+
+
+def _compare(asked: np.ndarray, base: np.ndarray, ids: pa.ListArray, keep: int) -> list[np.ndarray]:
+    """Numbers of the queries, ids and scores of the ``keep`` best rows of a partition for each query."""
+    sizes = np.diff(ids.offsets.to_numpy())
+    flat, begin = ids.values.to_numpy(), ids.offsets.to_numpy()[:-1]
+    out = []
+    for lo in range(0, len(asked), 256):
+        some = asked[lo : lo + 256]
+        score = some @ base.T
+        few = min(keep, len(base))
+        # rounding differs between ways to add up: all that may belong to the best are kept, then added up again
+        least = -np.partition(-score, few - 1, axis=1)[:, few - 1]
+        q, r = np.nonzero(score >= (least - 1e-9 * (np.abs(some) @ np.abs(base).max(axis=0)))[:, None])
+        exact, each = _exact(some[q], base[r]), sizes[r]
+        at = np.repeat(begin[r] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        out.append(_best(lo + np.repeat(q, each), flat[at], np.repeat(exact, each), keep))
+    return [np.concatenate(c) for c in zip(*out, strict=True)]
+
+
+def _search(keep: int):
+    """Best ``keep`` ids of a tile for each query: the partitions of the tile that it visits are compared one by one."""
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not rows.num_rows or not queries.num_rows:
-            return empty
-        ids = rows.column("ids").combine_chunks()
-        firsts = ids.flatten().to_numpy()[ids.offsets.to_numpy()[:-1] - ids.offsets.to_numpy()[0]]
-        order = np.argsort(firsts, kind="stable")
-        base = _matrix(rows.column("vector").combine_chunks())[order].astype(np.float64)
-        lists = ids.take(pa.array(order))
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat, begin = lists.values.to_numpy(), lists.offsets.to_numpy()[:-1]
-        asked = _matrix(queries.column("asked").combine_chunks()).astype(np.float64)
+        found = [[np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]]
         names = queries.column("query").to_numpy()
-        keep = min(answers + 1, len(base))
-        out = []
-        for lo in range(0, len(asked), 256):
-            score = asked[lo : lo + 256] @ base.T
-            # rounding differs between ways to add up: all that may belong to the best are kept, then added up again
-            least = -np.partition(-score, keep - 1, axis=1)[:, keep - 1]
-            slack = 1e-9 * (np.abs(asked[lo : lo + 256]) @ np.abs(base).max(axis=0))
-            q, r = np.nonzero(score >= (least - slack)[:, None])
-            exact = _exact(asked[lo + q], base[r])
-            each = sizes[r]
-            at = np.repeat(begin[r] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-            q, exact, vec = np.repeat(q, each), np.repeat(exact, each), flat[at]
-            by = np.lexsort((vec, -exact, q))
-            q, exact, vec = q[by], exact[by], vec[by]
-            best = np.arange(len(q)) - np.searchsorted(q, q) <= answers
-            out.append((names[lo + q[best]], vec[best], exact[best]))
-        query, vec, exact = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.table({"query": query, "vec_id": vec, "score": exact})
+        if rows.num_rows and queries.num_rows:
+            rows = rows.sort_by([("part", "ascending"), ("entry", "ascending")]).combine_chunks()
+            part = rows.column("part").to_numpy()
+            visits = queries.column("visits").combine_chunks()
+            visited, asking = visits.flatten().to_numpy(), np.repeat(np.arange(len(names)), np.diff(visits.offsets.to_numpy()))
+            asked = _matrix(queries.column("asked").combine_chunks()).astype(np.float64)
+            for p in np.unique(part).tolist():
+                mine = asking[visited == p]
+                if len(mine):
+                    of = rows.slice(int(np.searchsorted(part, p)), int(np.count_nonzero(part == p)))
+                    base = _matrix(of.column("vector").combine_chunks()).astype(np.float64)
+                    lists = of.column("ids").combine_chunks().take(pa.array(np.arange(len(base))))
+                    q, vec, score = _compare(asked[mine], base, lists, keep)
+                    found.append([mine[q], vec, score])
+        query, vec, score = _best(*(np.concatenate(c) for c in zip(*found, strict=True)), keep)
+        return pa.table({"query": names[query] if len(query) else query, "vec_id": vec, "score": score})
 
     return run
 
@@ -311,29 +325,75 @@ def nearest(
     return _answers(rows, is_query, staged(_routed(entries, router), "routed"), answers, len(router.bias))
 
 
+def _layout(entries: dict[int, int], visits: dict[int, int], parts: int, queries: int, width: int) -> dict[int, tuple[int, int, int]]:
+    """Tile group of each partition, with the blocks of rows and of queries that it is cut into.
+
+    Partitions with neighbouring numbers, which are near in the tree of halves, share a tile as far as it goes, so that a
+    query's candidates are compared among themselves before they leave it. A larger partition is cut.
+    """
+    block = max(1, BLOCK_VALUES // width)
+    groups, rows = [[]], 0
+    for p in range(parts):
+        if groups[-1] and rows + entries.get(p, 0) > block:
+            groups.append([])
+            rows = 0
+        groups[-1].append(p)
+        rows += entries.get(p, 0)
+    out = {}
+    for g, members in enumerate(groups):
+        held, asked = sum(entries.get(p, 0) for p in members), min(queries, sum(visits.get(p, 0) for p in members))
+        for p in members:
+            out[p] = g, max(1, math.ceil(held / block)), max(1, math.ceil(asked / block))
+    return out
+
+
+def _tiled_queries(routed: DataFrame, layout: dict[int, tuple[int, int, int]]) -> DataFrame:
+    """(q_group, q_row_block, q_block, query, visits, asked): each query once for each block of rows of the groups it visits."""
+    of = np.array([layout[p] for p in sorted(layout)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, 256):
+                part = batch.slice(row, 256)
+                visits = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+                visits = np.sort(visits, axis=1)
+                group = of[visits, 0]
+                new = np.ones(group.shape, bool)
+                new[:, 1:] = group[:, 1:] != group[:, :-1]
+                first = np.flatnonzero(new.ravel())
+                query = first // visits.shape[1]
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, visits.size), pa.int32()), pa.array(visits.ravel()))
+                blocks = of[visits.ravel()[first], 1]
+                each = np.repeat(np.arange(len(first)), blocks)
+                block = np.arange(len(each)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                place = part.column(2).to_numpy()[query[each]] % of[visits.ravel()[first], 2][each]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(group.ravel()[first][each]), pa.array(block), pa.array(place), part.column(0).take(pa.array(query[each])),
+                        lists.take(pa.array(each)), part.column(3).take(pa.array(query[each])),
+                    ],
+                    ["q_group", "q_row_block", "q_block", "query", "visits", "asked"],
+                )
+
+    asked = routed.filter("is_query").select("entry", "visits", F.pmod(F.xxhash64("entry"), F.lit(1 << 40)).alias("place"), "vector")
+    return asked.mapInArrow(run, "q_group bigint, q_row_block bigint, q_block bigint, query bigint, visits array<int>, asked array<float>")
+
+
 def _answers(rows: DataFrame, is_query: Column, routed: DataFrame, answers: int, parts: int) -> DataFrame:
-    held = routed.select(F.element_at("visits", 1).alias("part"), F.size("ids").alias("held"), F.col("is_query"))
-    counts = {r.part: r for r in held.groupBy("part").agg(F.count(F.lit(1)).alias("entries"), F.sum("held").alias("held")).collect()}
-    asked = routed.filter("is_query").select("entry", "vector", F.posexplode("visits").alias("turn", "part"))
-    asked_counts = dict(map(tuple, asked.groupBy("part").count().collect()))
-    # one row per partition: how many blocks its rows and its queries fill
-    blocks = [(p, math.ceil(counts[p].entries / BLOCK) if p in counts else 0, math.ceil(asked_counts.get(p, 0) / BLOCK)) for p in range(parts)]
-    layout = F.broadcast(rows.sparkSession.createDataFrame(blocks, "part int, row_blocks int, query_blocks int"))
+    entries = dict(map(tuple, routed.groupBy(F.element_at("visits", 1)).count().collect()))
+    visits = dict(map(tuple, routed.filter("is_query").select(F.explode("visits").alias("part")).groupBy("part").count().collect()))
+    first = routed.agg(F.count_if("is_query").alias("queries"), F.max(F.size("vector")).alias("width")).first()
+    layout = _layout(entries, visits, parts, first.queries, first.width)
+    # one row per partition
+    table = F.broadcast(rows.sparkSession.createDataFrame([(p, *x) for p, x in layout.items()], "part int, group bigint, row_blocks bigint, query_blocks bigint"))
     indexed = (
-        routed.select("entry", "ids", "vector", F.element_at("visits", 1).alias("part")).join(layout, "part").filter("query_blocks > 0")
+        routed.select("entry", "ids", "vector", F.element_at("visits", 1).alias("part")).join(table, "part")
         .withColumn("row_block", F.pmod(F.xxhash64("entry"), F.col("row_blocks")))
-        .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
-        .select("part", "row_block", F.col("query_block").cast("bigint").alias("query_block"), "ids", "vector")
-    )
-    queries = (
-        asked.join(layout, "part").filter("row_blocks > 0")
-        .withColumn("query_block", F.pmod(F.xxhash64("entry"), F.col("query_blocks")))
-        .withColumn("row_block", F.explode(F.sequence(F.lit(0), F.col("row_blocks") - 1)))
-        .select(F.col("part").alias("q_part"), F.col("row_block").cast("bigint").alias("q_row_block"), F.col("query_block").alias("q_block"),
-                F.col("entry").alias("query"), F.col("vector").alias("asked"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+        .select("group", "row_block", "block", "part", "entry", "ids", "vector")
     )
-    tiles = indexed.groupBy("part", "row_block", "query_block").cogroup(queries.groupBy("q_part", "q_row_block", "q_block"))
-    found = tiles.applyInArrow(_search(answers), "query bigint, vec_id bigint, score double")
+    tiles = indexed.groupBy("group", "row_block", "block").cogroup(_tiled_queries(routed, layout).groupBy("q_group", "q_row_block", "q_block"))
+    found = tiles.applyInArrow(_search(answers + 1), "query bigint, vec_id bigint, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= answers + 1)
     lists = found.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))

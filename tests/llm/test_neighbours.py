@@ -53,7 +53,7 @@ def test_query_matches_brute_force(spark):
 
 
 def test_recall_over_learned_partitions(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "BLOCK", 200)
+    monkeypatch.setattr(neighbours, "BLOCK_VALUES", 16 * 600)
     rows = clustered(9000)
     seen = []
     fit = neighbours.fit
@@ -106,3 +106,9 @@ def test_partitions_are_balanced_and_follow_the_graph(spark, parts):
     assert sizes.max() - sizes.min() <= 1
     inside = (place[near] == place[:, None]).mean()
     assert inside > 0.8
+
+
+def test_tiles_hold_near_partitions_or_cut_large_ones(monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_VALUES", 1000)
+    layout = neighbours._layout({0: 30, 1: 40, 2: 900, 3: 5}, {0: 10, 1: 250, 2: 1, 3: 0}, 4, 255, 10)
+    assert layout == {0: (0, 1, 3), 1: (0, 1, 3), 2: (1, 9, 1), 3: (2, 1, 1)}
