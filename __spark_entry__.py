@@ -21,21 +21,21 @@ from tablehaul.functions.coerce import (  # noqa: E402
     text_to_bytes,
     trim_text,
 )
+from tablehaul.plans.balance import with_leaf_number  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 from tablehaul.sources.tables import default_partitions  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
     from tablehaul.llm import queries as llm  # noqa: E402
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "tablehaul.llm"):
-        raise
+except ImportError:  # that part, or something that only it needs, is not there
     llm = None
 
 RANGES = 8
 PAGE = 100
 CHUNK = 500
 FILE_ROWS = 4_000
+MANY_PARTS = 10_000
 
 KEYS: dict[str, list[str]] = {
     "region": ["r_regionkey"],
@@ -365,6 +365,22 @@ def predicates_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("n", "hits", (F.col("heaviest") * RANGES < F.col("n") * 2).alias("even"))
 
 
+def many_balanced_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hot key cut into ten thousand parts of rows: rows in parts, parts that reach into the next, and the largest one."""
+    rows = _hot_lineitem(spark, sf_dir)
+    keys = ["hot_key", *KEYS["lineitem"], "cents"]
+    profile = th.profile_key(rows, keys)
+    leaves = th.plan_leaves(rows, keys, MANY_PARTS, profile.lo, profile.hi, profile.rows)
+    key = F.struct(*keys)
+    parts = with_leaf_number(rows, leaves, keys, "part").groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    # one row per part
+    earlier = F.max("hi").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    return parts.select("n", (F.col("lo") <= earlier).alias("overlaps")).agg(
+        F.sum("n").alias("n_rows"), F.count_if("overlaps").alias("overlapping_parts"),
+        (F.max("n") <= F.greatest(F.lit(2), F.ceil(1.05 * F.sum("n") / MANY_PARTS) + 1)).alias("even"),
+    )
+
+
 # catalogs and strategies
 
 
@@ -547,7 +563,7 @@ _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
     extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_by_catalog_types, extract_file_order, extract_own_names, extract_stats, source_view_sql, page_slice, page_slice_far, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
-    balanced_range_counts, predicates_hot_key, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
+    balanced_range_counts, predicates_hot_key, many_balanced_parts, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
     compact_files, reconcile_clean, reconcile_faulty, reconcile_screened, reconcile_content, partition_sizes,
 )
@@ -733,6 +749,7 @@ def library_sql() -> dict[str, str]:
             SELECT CAST({RANGES} AS BIGINT) AS n_ranges, CAST(count(*) AS BIGINT) AS rows_covered,
                    min(o_orderkey * o_orderkey) AS first_key, max(o_orderkey * o_orderkey) AS last_key, true AS even
             FROM orders""",
+        "many_balanced_parts": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS overlapping_parts, true AS even FROM lineitem",
         "predicates_hot_key": "SELECT count(*) AS n, count(*) AS hits, true AS even FROM lineitem",
         "resolve_columns": f"""
             SELECT c.relation_name, c.position, c.column_name, c.type_code, c.target_type, c.is_text_blob,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tablehaul.names import column, columns, unused
-from tablehaul.plans.balance import leaf_number
+from tablehaul.plans.balance import with_leaf_number
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import range_counts
 from tablehaul.sources.parquet import PLACE_BITS
@@ -40,8 +40,8 @@ def with_row_number(
 
     A row's number is its place in its sorted partition plus the rows of all
     earlier partitions. The partition is a function of the key, of its
-    equal-width range or of a plan over all key columns, so counting (key columns only) and numbering agree
-    without anything being materialised.
+    equal-width range or of a plan over all key columns whose parts are counted as it is made, so counting (key columns only)
+    and numbering agree without anything being materialised.
     """
     check_keys(df, keys)
     if "row_no" in {c.lower() for c in df.columns}:
@@ -55,9 +55,10 @@ def with_row_number(
         counts = range_counts(df, keys[0], n, profile).select("range_id", "n_rows")
     else:
         leaves = plan_split(df, keys, n, profile)
-        number = leaf_number(leaves, columns(keys))
-        split = df.repartitionById(len(leaves), number).sortWithinPartitions(*columns(keys))
-        counts = df.select(number.cast("bigint").alias("range_id")).groupBy("range_id").agg(F.count(F.lit(1)).alias("n_rows"))
+        (number,) = unused(df.columns, "leaf")
+        placed = with_leaf_number(df, leaves, keys, number)
+        split = placed.repartitionById(len(leaves), F.col(number)).drop(number).sortWithinPartitions(*columns(keys))
+        counts = df.sparkSession.createDataFrame([(i, leaf.rows) for i, leaf in enumerate(leaves)], "range_id bigint, n_rows bigint")
     part, place, before, of = unused(df.columns, "part", "place", "before", "of_part")
     placed = split.withColumns({
         part: F.spark_partition_id().cast("bigint"),

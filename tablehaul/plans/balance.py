@@ -1,200 +1,138 @@
-"""Cuts of about equal rows over composite keys, from counts of fine key buckets.
+"""Parts of about equal rows over composite keys, and the part that a row falls in.
 
-Only key columns are read. Each job counts the buckets of all intervals in question at once, so the
-number of jobs depends on the key's width and columns, not on how many values are heavy. What reaches the driver
-grows with the plan, not with the rows.
+A plan reads the key columns twice, whatever the skew: once into a quantile summary that gives the cuts, and once to count
+the rows of each part. Only the plan reaches the driver. Rows find their part in the JVM.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tablehaul.names import column
+from tablehaul.names import column, unused
+from tablehaul.plans.summary import LOWEST, plan_cuts
 
-LOWEST = -(2**63)
-# A bucket is fine if it holds at most this part of a share; less for plans of very many ranges.
-FINE = 64
-COARSE = 8
-PLANNED_BUCKETS = 1 << 18
-# Pieces that a heavy bucket is cut into.
-REFINE = 64
-
-WIDE = T.DecimalType(20, 0)
+# Bounds that a tree of comparisons holds; more are searched in arrays, one for each branch of a tree.
+TREE_BOUNDS = 64
+# A plan's bounds are broadcast up to this size; beyond, Spark joins them as it sees fit.
+BROADCAST_BYTES = 64 << 20
 
 
 class Leaf(NamedTuple):
-    """Rows whose first key columns equal ``prefix`` and whose next one lies in [lo, hi]."""
+    """Rows whose first key columns equal ``prefix`` and whose next one lies in [lo, hi]; ``one_key``: they share one full key."""
 
     prefix: tuple[int, ...]
     lo: int
     hi: int
     rows: int
+    one_key: bool = False
 
 
-class Interval(NamedTuple):
-    lo: int
-    hi: int
-    rows: int
-    parts: int
-
-
-def _bucket_bounds(lo: int, hi: int, pieces: int, i: int) -> tuple[int, int]:
-    span = hi - lo + 1
-    return lo + span * i // pieces, lo + span * (i + 1) // pieces - 1
-
-
-def _bucket(key: Column) -> Column:
-    """Which of ``pieces`` equal parts of [lo, hi] a key is in; exact for any bigint."""
-    offset = key.cast(WIDE) - F.col("lo").cast(WIDE) + F.lit(1).cast(WIDE)
-    place = offset.cast(WIDE) * F.col("pieces").cast(T.DecimalType(10, 0)) - F.lit(1).cast(WIDE)
-    return F.call_function("div", place, F.col("span").cast(WIDE))
-
-
-def _frame(rows: DataFrame, intervals: Sequence[tuple], names: str) -> DataFrame:
-    """The intervals with their width, as rows to join; as many as the plan asks for."""
-    fields = [(*i, str(i[-2] - i[-3] + 1)) for i in intervals]
-    return F.broadcast(rows.sparkSession.createDataFrame(fields, f"{names}, lo bigint, hi bigint, pieces int, span string"))
+def plan_leaves(
+    df: DataFrame, keys: Sequence[str], n: int, lo: int, hi: int, total: int, count: bool = True
+) -> list[Leaf]:
+    """Disjoint leaves in key order that cover all rows: ranges of the leading column, where one value that holds over two
+    shares is split by the next column, and so on. A value that fills a share stands alone. The outer bounds below a value are open.
 
+    Without ``count`` the second pass is left out: ``rows`` are 0 and leaves without rows may be among them.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    narrow = df.select(*[column(k).cast("bigint").alias(name) for k, name in zip(keys, names, strict=True)])
+    leaves = [Leaf(prefix, low, high, 0) for prefix, low, high in plan_cuts(narrow, n, lo, hi, total)]
+    if not count:
+        return leaves
+    spread = [F.max(k) == F.min(k) for k in names]
+    same = spread[0]
+    for s in spread[1:]:
+        same = same & s
+    counted = with_leaf_number(narrow, leaves, names, "leaf").groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), same.alias("one_key"))
+    facts = {r.leaf: (r.n, r.one_key) for r in counted.collect()}
+    return _without_empty([leaf._replace(rows=facts[i][0], one_key=facts[i][1]) if i in facts else leaf for i, leaf in enumerate(leaves)])
+
+
+def _without_empty(leaves: Sequence[Leaf]) -> list[Leaf]:
+    """Leaves without rows are taken over by a neighbour under the same prefix, by one that is no single key if there is a choice."""
+    out: list[Leaf] = []
+    low = None
+    for i, leaf in enumerate(leaves):
+        after = leaves[i + 1] if i + 1 < len(leaves) and leaves[i + 1].prefix == leaf.prefix else None
+        before = out[-1] if out and out[-1].prefix == leaf.prefix and low is None else None
+        if leaf.rows:
+            out.append(leaf if low is None else leaf._replace(lo=low))
+            low = None
+        elif before is not None and not (before.lo == before.hi and after is not None):
+            out[-1] = before._replace(hi=leaf.hi)
+        elif after is not None:
+            low = leaf.lo if low is None else low
+        else:
+            out.append(leaf if low is None else leaf._replace(lo=low))
+            low = None
+    return out
 
-def fine_buckets(rows: DataFrame, intervals: dict[int, Interval]) -> dict[int, list[tuple[int, int, int]]]:
-    """Of each interval the non-empty (lo, hi, rows) buckets in order, each one value or at most a small part of a share.
 
-    ``rows`` has ``group``, the interval's number, and ``key``.
-    """
-    out: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    planned = sum(i.parts for i in intervals.values())
-    fine = max(COARSE, min(FINE, PLANNED_BUCKETS // max(planned, 1)))
-    limits = {g: max(1, i.rows // (i.parts * fine)) for g, i in intervals.items()}
-    open_ones = {}
-    for group, i in intervals.items():
-        pieces = min(i.hi - i.lo + 1, i.parts * fine)
-        open_ones[len(open_ones)] = (group, i.lo, i.hi, pieces)
-    starts = [(group, number, lo, hi, pieces) for number, (group, lo, hi, pieces) in open_ones.items()]
-    placed = rows.join(_frame(rows, starts, "group bigint, path bigint"), "group").select(
-        "key", "path", _bucket(F.col("key")).alias("bucket")
-    )
-    while open_ones:
-        counted = placed.groupBy("path", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()
-        heavy, paths = [], {}
-        for path, bucket, n in counted:
-            group, lo, hi, pieces = open_ones[path]
-            lo, hi = _bucket_bounds(lo, hi, pieces, bucket)
-            if n > limits[group] and hi > lo:
-                number = len(paths)
-                paths[number] = (group, lo, hi, min(hi - lo + 1, REFINE))
-                heavy.append((path, bucket, number, lo, hi, paths[number][3]))
-            else:
-                out[group].append((lo, hi, n))
-        open_ones = paths
-        if heavy:
-            into = _frame(rows, heavy, "path bigint, bucket bigint, number bigint")
-            placed = placed.join(into, ["path", "bucket"]).select(
-                "key", F.col("number").alias("path"), _bucket(F.col("key")).alias("bucket")
-            )
-    for buckets in out.values():
-        buckets.sort()
+def lower_bounds(leaves: Sequence[Leaf], width: int) -> list[tuple[int, ...]]:
+    """Least key tuple of each leaf; the first leaf under a value takes all of that value's lower rows."""
+    lower = [(*leaf.prefix, leaf.lo) for leaf in leaves]
+    out = []
+    for i, bound in enumerate(lower):
+        shared = next((d for d, (a, b) in enumerate(zip(bound, lower[i - 1], strict=False)) if a != b), 0) if i else 0
+        out.append(bound[: shared + 1] + (LOWEST,) * (width - shared - 1))
     return out
 
 
-def cut(buckets: Sequence[tuple[int, int, int]], lo: int, hi: int, parts: int) -> list[tuple[int, int, int]]:
-    """(lo, hi, rows) of at most about ``parts`` gap-free ranges over [lo, hi], heavy single values apart."""
-    total = sum(n for _, _, n in buckets)
-    ends, sizes, held, done = [], [], 0, 0
-    for start, end, n in buckets:
-        alone = start == end and n * parts > total
-        if alone and held:
-            ends.append(start - 1)
-            sizes.append(held)
-            held = 0
-        held += n
-        done += n
-        # close where the rows so far reach the next whole share
-        if alone or (done * parts) // total > ((done - n) * parts) // total:
-            ends.append(end)
-            sizes.append(held)
-            held = 0
-    if held or not ends:
-        ends.append(hi)
-        sizes.append(held)
-    ends[-1] = hi
-    return [(a, b, n) for a, b, n in zip([lo, *[e + 1 for e in ends[:-1]]], ends, sizes, strict=True)]
-
-
-def plan_leaves(df: DataFrame, keys: Sequence[str], n: int, lo: int, hi: int, total: int) -> list[Leaf]:
-    """Disjoint leaves in key order that cover all rows: ranges of the leading column, where one value that holds over two
-    shares is split by the next column, and so on.
-    """
-    share = total / n
-    narrow = df.select(*[column(k).cast("bigint").alias(f"k{i}") for i, k in enumerate(keys)])
-    found: dict[tuple[int, ...], list[tuple[int, int, int]]] = {}
-    groups: dict[tuple[int, ...], Interval] = {(): Interval(lo, hi, total, n)}
-    for depth in range(len(keys)):
-        order = {prefix: number for number, prefix in enumerate(groups)}
-        if depth == 0:
-            rows = narrow.select(F.lit(0).cast("bigint").alias("group"), F.col("k0").alias("key"))
-        else:
-            rows = _below(narrow, order, depth)
-        buckets = fine_buckets(rows, {order[p]: i for p, i in groups.items()})
-        heavy: dict[tuple[int, ...], int] = {}
-        for prefix, interval in groups.items():
-            found[prefix] = cut(buckets[order[prefix]], interval.lo, interval.hi, interval.parts)
-            for start, end, count in found[prefix]:
-                if start == end and count > 2 * share and depth + 1 < len(keys):
-                    heavy[(*prefix, start)] = count
-        if not heavy:
-            break
-        order = {prefix: number for number, prefix in enumerate(heavy)}
-        bounds = _below(narrow, order, depth + 1).groupBy("group").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
-        at = {r["group"]: (r["lo"], r["hi"]) for r in bounds.collect()}
-        groups = {p: Interval(*at[order[p]], count, -int(-count // share)) for p, count in heavy.items()}
-
-    def leaves(prefix: tuple[int, ...]) -> list[Leaf]:
-        out = []
-        for start, end, count in found[prefix]:
-            inner = (*prefix, start)
-            out += leaves(inner) if start == end and inner in found else [Leaf(prefix, start, end, count)]
-        return out
-
-    return leaves(())
-
-
-def _below(narrow: DataFrame, order: dict[tuple[int, ...], int], depth: int) -> DataFrame:
-    """(group, key) of the rows under each heavy prefix; there are fewer of those than ranges."""
-    names = [f"k{i}" for i in range(depth)]
-    frame = narrow.sparkSession.createDataFrame(
-        [(*prefix, number) for prefix, number in order.items()], ", ".join(f"{n} bigint" for n in names) + ", group bigint"
+def _sorts_before(keys: Sequence[Column], bound: Sequence[int]) -> Column:
+    out = None
+    for key, value in reversed(list(zip(keys, bound, strict=True))):
+        if out is None and value == LOWEST:
+            continue
+        less = key < F.lit(value)
+        out = less if out is None else less | ((key == F.lit(value)) & out)
+    return F.lit(False) if out is None else out
+
+
+def _place(keys: Sequence[Column], bounds: Sequence[tuple[int, ...]], first: int) -> Column:
+    """Number of the last bound that a key does not sort before, counted from ``first``; below all of them, the first."""
+    if len(bounds) == 1:
+        # not a bare integer literal, which grouping would take for a column position
+        return F.lit(str(first)).cast("int")
+    half = len(bounds) // 2
+    return F.when(_sorts_before(keys, bounds[half]), _place(keys, bounds[:half], first)).otherwise(
+        _place(keys, bounds[half:], first + half)
     )
-    return narrow.join(F.broadcast(frame), names).select("group", F.col(f"k{depth}").alias("key"))
 
 
-# places
+def place_in_array(key: Column, bounds: Column, most: int) -> Column:
+    """Number, from 0, of the last of at most ``most`` sorted values that is not above ``key``; 0 if all are."""
+    steps = [1 << i for i in reversed(range(max(most - 1, 1).bit_length()))]
 
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, at + step) <= key, at + step).otherwise(at)
 
-def _sortable(values: Sequence[np.ndarray]) -> np.ndarray:
-    """Key tuples as byte strings that sort alike."""
-    shifted = np.stack([v.astype(np.int64).astype(np.uint64) ^ np.uint64(1 << 63) for v in values], axis=1)
-    return np.ascontiguousarray(shifted.astype(">u8")).view(f"S{8 * len(values)}").ravel()
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), further)
 
 
-def leaf_number(leaves: Sequence[Leaf], keys: Sequence[Column]) -> Column:
-    """Number of the leaf a row falls in, whatever their number; only the key columns go to Python, in Arrow batches."""
-    lower = [(*leaf.prefix, leaf.lo) for leaf in leaves]
-    full = []
-    for i, bound in enumerate(lower):
-        # the first leaf under a value takes all of that value's lower rows
-        shared = next((d for d, (a, b) in enumerate(zip(bound, lower[i - 1], strict=False)) if a != b), 0) if i else 0
-        full.append(bound[: shared + 1] + (LOWEST,) * (len(keys) - shared - 1))
-    bounds = _sortable([np.array([b[i] for b in full], np.int64) for i in range(len(keys))])
+def with_leaf_number(df: DataFrame, leaves: Sequence[Leaf], keys: Sequence[str], name: str) -> DataFrame:
+    """``df`` plus the number of the leaf that each row falls in, whatever their number.
 
-    @F.pandas_udf("int")
-    def number(*values: pd.Series) -> pd.Series:
-        place = np.searchsorted(bounds, _sortable([v.to_numpy(np.int64) for v in values]), "right") - 1
-        return pd.Series(np.maximum(place, 0).astype(np.int32))
-
-    return number(*[k.cast("bigint") for k in keys])
+    A tree of comparisons finds the place among ``TREE_BOUNDS`` bounds. With more leaves it finds a bucket of them, whose bounds are
+    joined to the row as one array, searched by halves. The join is by bucket and keeps partitions and their order.
+    """
+    by = [column(k).cast("bigint") for k in keys]
+    bounds = lower_bounds(leaves, len(keys))
+    if len(bounds) <= TREE_BOUNDS:
+        return df.withColumn(name, _place(by, bounds, 0))
+    size = -(-len(bounds) // TREE_BOUNDS)
+    first = list(range(0, len(bounds), size))
+    bucket, of, begin, inside = unused([*df.columns, name], "bucket", "of_bucket", "begin", "inside")
+    fields = ", ".join(f"b{i}: bigint" for i in range(len(keys)))
+    frame = df.sparkSession.createDataFrame(
+        [(i, start, bounds[start : start + size]) for i, start in enumerate(first)],
+        f"{of} int, {begin} int, {inside} array<struct<{fields}>>",
+    )
+    if 8 * len(keys) * len(bounds) <= BROADCAST_BYTES:
+        frame = F.broadcast(frame)
+    key = F.struct(*[k.alias(f"b{i}") for i, k in enumerate(by)])
+    placed = df.withColumn(bucket, _place(by, [bounds[start] for start in first], 0)).join(frame, F.col(bucket) == F.col(of))
+    return placed.withColumn(name, F.col(begin) + place_in_array(key, F.col(inside), size)).drop(bucket, of, begin, inside)

@@ -10,15 +10,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablehaul.names import column, quoted
-from tablehaul.plans.balance import Leaf, plan_leaves
+from tablehaul.plans.balance import Leaf, place_in_array, plan_leaves
 from tablehaul.plans.profile import KeyProfile, profile_key
 
-# Ranges up to which a comparison tree beats a binary search in Arrow batches; the ids are the same.
+# Ranges up to which a comparison tree beats a search in an array; the ids are the same.
 TREE_RANGES = 256
 
 
@@ -122,7 +120,7 @@ def heaviest_range(df: DataFrame, key: str, n: int, profile: KeyProfile) -> int:
 def plan_balanced_ranges(
     df: DataFrame, key: str, n: int, profile: KeyProfile | None = None
 ) -> list[KeyRange]:
-    """About equal rows per range, cut at approximate quantiles of the key.
+    """About equal rows per range, cut at quantiles of the key from a summary (``plans/summary.py``).
 
     A key value that fills several shares is cut off on both sides and stands alone,
     so fewer than ``n`` ranges may come back; any other range holds at most about
@@ -133,12 +131,12 @@ def plan_balanced_ranges(
     profile = profile or profile_key(df, [key])
     if profile.rows == 0:
         return []
-    leaves = plan_leaves(df, [key], n, profile.lo, profile.hi, profile.rows)
+    leaves = plan_leaves(df, [key], n, profile.lo, profile.hi, profile.rows, count=False)
     return [KeyRange(i, leaf.lo, leaf.hi) for i, leaf in enumerate(leaves)]
 
 
 def assign_range(key: Column, ranges: Sequence[KeyRange]) -> Column:
-    """Range id for any plan: a balanced tree of comparisons (log2 n per row), or a binary search for plans of many ranges."""
+    """Range id for any plan: a balanced tree of comparisons (log2 n per row), or a search by halves for plans of many ranges."""
     if not ranges:
         raise ValueError("at least one range is needed")
     if len(ranges) > TREE_RANGES:
@@ -152,14 +150,12 @@ def assign_range(key: Column, ranges: Sequence[KeyRange]) -> Column:
 
 
 def _search_ranges(key: Column, ranges: Sequence[KeyRange]) -> Column:
-    ends = np.array([r.hi for r in ranges[:-1]], np.int64)
-    ids = np.array([r.range_id for r in ranges], np.int32)
-
-    @F.pandas_udf("int")
-    def search(values: pd.Series) -> pd.Series:
-        return pd.Series(ids[np.searchsorted(ends, values.to_numpy(np.int64), "left")])
-
-    return search(key.cast("bigint"))
+    # text that the optimizer turns into one array, as a list of that many literals would be slow to plan
+    lows = F.split(F.lit(",".join(str(r.lo) for r in ranges)), ",").cast("array<bigint>")
+    place = place_in_array(key.cast("bigint"), lows, len(ranges))
+    if [r.range_id for r in ranges] == list(range(len(ranges))):
+        return place
+    return F.get(F.split(F.lit(",".join(str(r.range_id) for r in ranges)), ",").cast("array<int>"), place)
 
 
 def range_predicates(quoted_key: str, ranges: Sequence[KeyRange], open_ended: bool = False) -> list[str]:
@@ -186,13 +182,13 @@ def plan_key_predicates(
     """Disjoint predicates of about equal rows over a composite key.
 
     Balanced ranges of the leading column, except that one value holding more than
-    two shares is split by the next key column, and so on. All heavy values of a
-    column are counted together.
+    two shares is split by the next key column, and so on. One pass over the key columns.
     """
     profile = profile or profile_key(df, keys[:1])
     if profile.rows == 0:
         return ["1 = 1"]
-    return leaf_predicates(plan_leaves(df, keys, n, profile.lo, profile.hi, profile.rows), [quoted(k, quote) for k in keys])
+    leaves = plan_leaves(df, keys, n, profile.lo, profile.hi, profile.rows, count=False)
+    return leaf_predicates(leaves, [quoted(k, quote) for k in keys])
 
 
 def leaf_predicates(leaves: Sequence[Leaf], quoted_keys: Sequence[str]) -> list[str]:

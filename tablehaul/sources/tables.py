@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tablehaul import names
-from tablehaul.plans.balance import Leaf, leaf_number, plan_leaves
+from tablehaul.plans.balance import Leaf, plan_leaves, with_leaf_number
 from tablehaul.plans.profile import KeyProfile, check_keys, profile_key
 from tablehaul.plans.ranges import heaviest_range, range_id
 from tablehaul.plans.strategy import partition_rows, partitions_for
@@ -64,30 +64,26 @@ def split_by_leaves(df: DataFrame, keys: Sequence[str], leaves: Sequence[Leaf],
     The place of a row is a function of its key, so passes agree with each other. Only copies of one full key that hold
     several shares are dealt over more partitions, by their place in the input, which is the same when a lost task runs again.
     """
-    place, parts = leaf_number(leaves, names.columns(keys)), len(leaves)
+    by, parts = names.columns(keys), len(leaves)
+    (number,) = names.unused(df.columns, "leaf")
+    df = with_leaf_number(df, leaves, keys, number)
+    place = F.col(number)
     share = max(2 * rows // n, 1)
-    copied = [
-        (i, -(-leaf.rows // share))
-        for i, leaf in enumerate(leaves)
-        if leaf.lo == leaf.hi and len(leaf.prefix) + 1 == len(keys) and leaf.rows > share
-    ]
+    copied = [(i, -(-leaf.rows // share)) for i, leaf in enumerate(leaves) if leaf.one_key and leaf.rows > share]
     if copied:
-        (number,) = names.unused(df.columns, "leaf")
-        df = df.withColumn(number, place)
-        place, before = F.col(number), 0
+        before = 0
         shifted = F.lit(None).cast("int")
         for i, extra in copied:
             inside = F.pmod(F.monotonically_increasing_id(), F.lit(extra)).cast("int")
             shifted = F.when(place == i, F.lit(i + before) + inside).otherwise(shifted)
             before += extra - 1
         earlier = sum((F.when(place > i, extra - 1).otherwise(0) for i, extra in copied), F.lit(0))
-        spread = df.withColumn(number, F.coalesce(shifted, place + earlier))
-        return spread.repartitionById(parts + before, F.col(number)).drop(number).sortWithinPartitions(*names.columns(keys))
-    return df.repartitionById(parts, place).sortWithinPartitions(*names.columns(keys))
+        df, parts = df.withColumn(number, F.coalesce(shifted, place + earlier)), parts + before
+    return df.repartitionById(parts, F.col(number)).drop(number).sortWithinPartitions(*by)
 
 
 def plan_split(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfile) -> list[Leaf]:
-    """A plan of about ``n`` equal parts; reads the key columns only."""
+    """A plan of about ``n`` equal parts; reads the key columns only, twice."""
     return plan_leaves(df, keys, n, profile.lo, profile.hi, profile.rows)
 
 
@@ -102,7 +98,7 @@ def read_by_key_range(
 
     Partitions follow key order, so part files do too. Equal-width ranges of the
     leading key place rows by arithmetic; where they are lopsided (gaps, outliers, a
-    hot leading key) the cuts are taken from counts over the key columns. Either way whole rows are
+    hot leading key) the cuts are taken from a summary of the key columns. Either way whole rows are
     read once.
     Without ``n``, partitions are sized by the table's rows and bytes.
     """

@@ -47,10 +47,11 @@ def test_entry(spark):
     assert driver.entry(spark).count() == 1500
 
 
-def test_entry_without_the_training_data_operators():
-    """The other queries are there when that subpackage and its pipeline are not."""
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "tablehaul.llm", "zstandard"])
+def test_entry_without_the_training_data_operators(missing):
+    """The other queries are there when that subpackage, its pipeline, or a package that only it needs is not."""
     code = (
-        "import sys; sys.modules['corpus_pipeline'] = None; import __spark_entry__ as e; "
+        f"import sys; sys.modules['{missing}'] = None; import __spark_entry__ as e; "
         "assert set(e.queries()) == set(e.oracle_sql()) == set(e.library_queries())"
     )
     root = os.path.dirname(os.path.abspath(driver.__file__))

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tablehaul.plans.balance import leaf_number, plan_leaves
+from tablehaul.plans.balance import plan_leaves, with_leaf_number
 from tablehaul.plans.profile import profile_frame, profile_key
 from tablehaul.plans.ranges import (
     assign_range,
@@ -169,7 +169,8 @@ def test_leaves_place_rows_like_their_predicates(spark):
     leaves = plan_leaves(df, ["a", "b", "c"], 12, -20, 39, len(rows))
     predicates = leaf_predicates(leaves, ["a", "b", "c"])
     hits = [F.when(F.expr(p), i) for i, p in enumerate(predicates)]
-    wrong = df.select(leaf_number(leaves, [F.col("a"), F.col("b"), F.col("c")]).alias("n"), F.coalesce(*hits).alias("m")).where("n <> m OR m IS NULL")
+    placed = with_leaf_number(df, leaves, ["a", "b", "c"], "n")
+    wrong = placed.select("n", F.coalesce(*hits).alias("m")).where("n <> m OR m IS NULL")
     assert wrong.count() == 0 and any(leaf.prefix for leaf in leaves)
     assert [(*leaf.prefix, leaf.lo) for leaf in leaves] == sorted((*leaf.prefix, leaf.lo) for leaf in leaves)
 
