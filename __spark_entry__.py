@@ -272,6 +272,55 @@ def source_view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract that dies in one of its ranges, and the call that goes on with it."""
+    orders = _table(spark, sf_dir, "orders")
+    out, lost = fresh_path(spark, "resumed"), orders.agg(F.floor(F.avg("o_orderkey"))).first()[0]
+    dies = F.when(F.col("o_orderkey") >= lost, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("o_custkey"))
+    try:
+        th.run_extract_resumable(orders.withColumn("o_custkey", dies), "ORDERS", out, KEYS["orders"], RANGES, waves=4)
+    except Exception as error:  # the run that dies is meant to
+        if "lost" not in str(error):
+            raise
+    stats = th.run_extract_resumable(orders, "ORDERS", out, KEYS["orders"], RANGES)
+    return th.read_version(spark, stats.path)
+
+
+def extract_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract of an older state of a table, brought up to date: rows changed, deleted, filled in and added at the end."""
+    lineitem = _table(spark, sf_dir, "lineitem").withColumn("cents", _cents())
+    keys = [*KEYS["lineitem"], "cents"]
+    top = lineitem.agg(F.max("l_orderkey")).first()[0]
+    key = F.col("l_orderkey")
+    older = lineitem.filter((key < top * 9 // 10) & ~key.between(top // 2, top // 2 + 9))
+    older = older.withColumn("l_quantity", F.when(key.between(top // 4, top // 4 + 9), F.lit(0.0)).otherwise(F.col("l_quantity")))
+    older = older.union(older.filter(key.between(top // 3, top // 3 + 9)).withColumn("cents", -F.col("cents")))
+    stats = th.run_extract_resumable(older, "LINEITEM", fresh_path(spark, "delta"), keys, 4 * RANGES)
+    before = {f for r in th.ledger(spark, stats.path).collect() for f in r.files}
+    report = th.extract_delta(lineitem, stats.path, keys)
+    after = {f for r in th.ledger(spark, stats.path).collect() for f in r.files}
+    few = report["replaced"] <= 8 and report["kept"] >= 2 * RANGES and len(before & after) >= report["kept"]
+    return th.read_version(spark, stats.path).withColumn("few_files_written", F.lit(few))
+
+
+def source_datasource_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An extract as a SQL data source: some of its key ranges, and the whole of it with and without a condition."""
+    keys = KEYS["lineitem"]
+    stats = th.run_extract(_table(spark, sf_dir, "lineitem"), "LINEITEM", fresh_path(spark, "extract"), keys, RANGES, strategy="leading_key")
+    th.register_key_ranges(spark)
+    for name, bounds in (("lineitem_ranges", ""), ("lineitem_some", ", lower '200', upper '900'")):
+        spark.sql(
+            f"""CREATE OR REPLACE TEMPORARY VIEW {name} USING key_ranges
+                OPTIONS (path '{stats.path}', key '{keys[0]}', ranges '{RANGES}'{bounds})"""
+        )
+    measures = "l_returnflag, count(*) AS n, sum(l_linenumber) AS line_numbers, min(l_shipdate) AS first_day"
+    return spark.sql(
+        f"""SELECT 'some' AS part, {measures} FROM lineitem_some GROUP BY l_returnflag
+            UNION ALL SELECT 'few', {measures} FROM lineitem_ranges WHERE l_orderkey < 200 AND l_linestatus = 'F' GROUP BY l_returnflag
+            UNION ALL SELECT 'all', {measures} FROM lineitem_ranges GROUP BY l_returnflag"""
+    )
+
+
 # order and pages
 
 
@@ -561,7 +610,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 _QUERIES = (
     extract_single_key, extract_leading_key, extract_key_order, extract_unkeyed, extract_unordered,
-    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_by_catalog_types, extract_file_order, extract_own_names, extract_stats, source_view_sql, page_slice, page_slice_far, page_numbers,
+    extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_by_catalog_types, extract_file_order, extract_own_names, extract_stats, extract_resumed, extract_delta, source_view_sql, source_datasource_sql, page_slice, page_slice_far, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, many_balanced_parts, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
@@ -710,6 +759,9 @@ def library_sql() -> dict[str, str]:
             FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN CAST(-1 AS BIGINT) ELSE o_custkey END AS s, o_orderkey AS e,
                          o_orderstatus AS _part, o_orderpriority AS _input_partition, o_custkey AS leaf,
                          o_totalprice AS hash FROM orders)""",
+        "extract_resumed": f"SELECT {_coerced('orders')} FROM orders",
+        "extract_delta": f"""
+            SELECT {_coerced('lineitem')}, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, true AS few_files_written FROM lineitem""",
         "extract_stats": f"""
             SELECT p.table_name, {_strategy('k.key_size')} AS strategy, p.n AS rows, p.n > 0 AS wrote
             FROM ({_profile_rows()}) p JOIN {key_sizes} AS k(table_name, key_size, blob) USING (table_name)
@@ -723,6 +775,11 @@ def library_sql() -> dict[str, str]:
             SELECT o_orderstatus, o_orderpriority, count(*) AS n, min(o_orderkey) AS first_key,
                    max(o_orderkey) AS last_key
             FROM orders GROUP BY o_orderstatus, o_orderpriority""",
+        "source_datasource_sql": " UNION ALL ".join(
+            f"""SELECT '{part}' AS part, l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS line_numbers, min(l_shipdate) AS first_day
+                FROM lineitem WHERE {condition} GROUP BY l_returnflag"""
+            for part, condition in (("some", "l_orderkey BETWEEN 200 AND 900"), ("few", "l_orderkey < 200 AND l_linestatus = 'F'"), ("all", "true"))
+        ),
         "page_slice": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100",
         "page_slice_far": f"SELECT * FROM lineitem ORDER BY {', '.join(k + ' DESC' for k in KEYS['lineitem'])} LIMIT 50",
         "page_numbers": f"""

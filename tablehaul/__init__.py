@@ -11,6 +11,7 @@ from tablehaul.operators.extract import (
 )
 from tablehaul.operators.paging import page, read_in_key_order, with_page_number, with_row_number
 from tablehaul.operators.reconcile import key_balance, reconcile
+from tablehaul.operators.versions import extract_delta, ledger, read_version, run_extract_resumable, vacuum, versions
 from tablehaul.plans.catalog import (
     Catalog,
     declared_schema_of,
@@ -37,6 +38,7 @@ from tablehaul.plans.ranges import (
     ranges_frame,
 )
 from tablehaul.plans.strategy import choose_strategy, rows_per_file, strategy_of
+from tablehaul.sources.datasource import register_key_ranges
 from tablehaul.sources.files import clear_work
 from tablehaul.sources.jdbc import profile_jdbc, read_catalog, read_jdbc_all, read_jdbc_by_key_range
 from tablehaul.sources.parquet import compact, write_extract

@@ -90,6 +90,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder."""
+    fs, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)

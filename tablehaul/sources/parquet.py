@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
@@ -26,6 +26,7 @@ def write_extract(
     compress: bool = False,
     rows_per_file: int | None = None,
     mode: str = "errorifexists",
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Dictionary-encoded Parquet, uncompressed or Snappy, bounded row groups."""
     writer = (
@@ -34,6 +35,8 @@ def write_extract(
         .option("parquet.enable.dictionary", "true")
         .option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS))
     )
+    for name, value in (options or {}).items():
+        writer = writer.option(name, value)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", str(rows_per_file))
     writer.parquet(path)
