@@ -561,6 +561,49 @@ def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compact_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that fit among small and oversized ones: content of each stays, and those that fit are not written again."""
+    orders, path = _table(spark, sf_dir, "orders"), fresh_path(spark, "mixed")
+    rows = orders.count()
+    size = rows // 10
+    parts = ((0, 4 * size, size), (4 * size, 5 * size, size // 20 + 1), (5 * size, rows, rows))
+    for lo, hi, per_file in parts:
+        part = orders.filter(F.col("o_orderkey").between(lo, hi - 1)) if hi < rows else orders.filter(F.col("o_orderkey") >= lo)
+        th.write_extract(part.coalesce(1), path, rows_per_file=per_file, mode="append")
+    before = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).count()
+    fitting = {r.file for r in before.filter(F.col("count").between(size // 2, size)).collect()}
+    done = th.compact_in_place(spark, path, size)
+    back = spark.read.parquet(path)
+    per_file = back.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")
+    )
+    kept = F.count_if(F.col("file").isin(*fitting)) if fitting else F.lit(0)
+    return per_file.agg(
+        F.sum("n").alias("n_rows"), F.sum("keys").alias("keys"), F.sum("cents").alias("cents"), (F.max("n") <= size).alias("none_too_large"),
+        ((kept == len(fitting)) & F.lit(done.files_kept == len(fitting) and done.rows_rewritten <= 7 * rows // 10)).alias("fitting_files_kept"),
+    )
+
+
+def page_from_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page in the middle of an extract, from its directory."""
+    lineitem = _table(spark, sf_dir, "lineitem").withColumn("cents", _cents())
+    keys = [*KEYS["lineitem"], "cents"]
+    stats = th.run_extract(lineitem, "LINEITEM", fresh_path(spark, "paged"), keys, RANGES)
+    rows = th.write_directory(spark, stats.path, keys, every=PAGE)
+    return th.page_from_directory(spark, stats.path, keys, rows // 2 + 1, rows // 2 + 250)
+
+
+def reconcile_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row of a whole extract is wrong: the tree leads to its leaf, and no other key is read."""
+    orders = _table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    stats = th.run_extract(orders, "ORDERS", fresh_path(spark, "tree"), KEYS["orders"], RANGES)
+    leaves = th.write_digests(spark, stats.path, KEYS["orders"], leaf_rows=50)
+    price = F.when(F.col("o_orderkey") == top // 2, -F.col("o_totalprice") - 1).otherwise(F.col("o_totalprice"))
+    found = th.reconcile_tree(orders.withColumn("o_totalprice", price), stats.path, KEYS["orders"])
+    return found.withColumn("few_keys_read", (F.col("leaves_read") == 1) & (F.col("keys_read") <= 2 * 55) & F.lit(leaves > 16)).drop("leaves_read", "keys_read")
+
+
 def reconcile_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return th.reconcile(
         _table(spark, sf_dir, "lineitem"), extract_leading_key(spark, sf_dir), KEYS["lineitem"]
@@ -614,7 +657,7 @@ _QUERIES = (
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, many_balanced_parts, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
     coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
-    compact_files, reconcile_clean, reconcile_faulty, reconcile_screened, reconcile_content, partition_sizes,
+    compact_files, compact_mixed, page_from_directory, reconcile_tree, reconcile_clean, reconcile_faulty, reconcile_screened, reconcile_content, partition_sizes,
 )
 
 
@@ -863,6 +906,16 @@ def library_sql() -> dict[str, str]:
                   FROM (SELECT count(*) AS n, (count(*) + {FILE_ROWS} - 1) // {FILE_ROWS} AS files,
                                CAST(sum(o_orderkey) AS BIGINT) AS keys,
                                CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders))""",
+        "compact_mixed": """
+            SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys,
+                   CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, true AS none_too_large, true AS fitting_files_kept
+            FROM orders""",
+        "page_from_directory": f"""
+            SELECT * FROM (SELECT {_coerced('lineitem')}, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+            ORDER BY {lineitem_keys}, cents LIMIT 250 OFFSET (SELECT count(*) // 2 FROM lineitem)""",
+        "reconcile_tree": """
+            SELECT count(*) AS source_rows, count(*) AS extracted_rows, CAST(0 AS BIGINT) AS duplicate_rows,
+                   CAST(1 AS BIGINT) AS missing_rows, CAST(1 AS BIGINT) AS extra_rows, true AS few_keys_read FROM orders""",
         "reconcile_clean": """
             SELECT count(*) AS source_rows, count(*) AS extracted_rows, CAST(0 AS BIGINT) AS duplicate_rows,
                    CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows FROM lineitem""",

@@ -1,6 +1,8 @@
 """Extract relational tables to Parquet in parallel, each row exactly once."""
 
 from tablehaul.functions.coerce import coerce_column, coerce_table
+from tablehaul.operators.digests import reconcile_tree, write_digests
+from tablehaul.operators.directory import page_from_directory, write_directory
 from tablehaul.operators.extract import (
     ExtractStats,
     extract_stats,
@@ -38,6 +40,7 @@ from tablehaul.plans.ranges import (
     ranges_frame,
 )
 from tablehaul.plans.strategy import choose_strategy, rows_per_file, strategy_of
+from tablehaul.sources.compaction import Compaction, compact_in_place
 from tablehaul.sources.datasource import register_key_ranges
 from tablehaul.sources.files import clear_work
 from tablehaul.sources.jdbc import profile_jdbc, read_catalog, read_jdbc_all, read_jdbc_by_key_range

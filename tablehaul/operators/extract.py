@@ -11,13 +11,13 @@ from dataclasses import astuple, dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablehaul.functions.coerce import coerce_table
-from tablehaul.names import columns
+from tablehaul.names import columns, quoted
 from tablehaul.operators.reconcile import reconcile
 from tablehaul.plans.catalog import Catalog, declared_schema_of, for_table, has_text_blob as marked_text_blob, keys_of, resolve_columns
 from tablehaul.plans.profile import KeyProfile, profile_key
-from tablehaul.plans.ranges import heaviest_range, plan_key_predicates
+from tablehaul.plans.ranges import heaviest_range, plan_key_predicates, plan_ranges, range_predicates
 from tablehaul.plans.strategy import EMPTY, UNKEYED, partitions_for, rows_per_file, strategy_of
-from tablehaul.sources.files import exists, remove_dir, replace_dir, total_bytes
+from tablehaul.sources.files import exists, move_parts, remove_dir, replace_dir, total_bytes
 from tablehaul.sources.jdbc import (
     DEFAULT_CONNECTIONS,
     check_jdbc_keys,
@@ -58,22 +58,27 @@ def _nothing(table: str, started: float) -> ExtractStats:
 
 
 def _store(
-    rows: DataFrame,
+    waves: Sequence[DataFrame],
     final: str,
     compress: bool,
     file_rows: int | None,
     expected: int | None,
     verify: Callable[[DataFrame], None] | None = None,
 ) -> tuple[int, float]:
-    """Write beside ``final``, check, then move; returns rows and megabytes."""
-    spark = rows.sparkSession
+    """Write beside ``final``, wave after wave, check, then move; returns rows and megabytes. Files are numbered through."""
+    spark = waves[0].sparkSession
     folder, _, name = final.rpartition("/")
     unfinished = f"{folder}/.{name}-{uuid.uuid4().hex}"
     try:
-        counted = Observation(f"extract-{uuid.uuid4().hex}")
-        write_extract(rows.observe(counted, F.count(F.lit(1)).alias("rows")), unfinished, compress, file_rows)
-        written = counted.get["rows"]
-        back = spark.read.schema(rows.schema).parquet(unfinished)
+        written = first = 0
+        for i, rows in enumerate(waves):
+            counted = Observation(f"extract-{uuid.uuid4().hex}")
+            target = unfinished if len(waves) == 1 else f"{unfinished}/.wave-{i}"
+            write_extract(rows.observe(counted, F.count(F.lit(1)).alias("rows")), target, compress, file_rows)
+            written += counted.get["rows"]
+            if len(waves) > 1:
+                first = move_parts(spark, target, unfinished, first)
+        back = spark.read.schema(waves[0].schema).parquet(unfinished)
         stored = back.count()
         if written != stored or expected not in (None, stored):
             raise RuntimeError(f"{final}: {expected} rows in source, {written} written, {stored} stored")
@@ -145,7 +150,7 @@ def run_extract(
             raise RuntimeError(f"{table}: extract differs from source: {report.asDict()}")
 
     written, megabytes = _store(
-        rows,
+        [rows],
         final,
         compress,
         None if single_file else rows_per_file(profile.rows, has_text_blob),
@@ -179,8 +184,9 @@ def run_extract_jdbc(
     """The same job from a relational source: one connection per range, no shuffle.
 
     The source counts and bounds the key itself; keys must be integers by the reader's schema. Without ``n`` a
-    range holds about one file of rows, so a lost task repeats little. At most ``connections`` ranges are read
-    at a time, whatever the cluster's size: ranges are grouped into that many tasks. ``balanced`` reads the
+    range holds about one file of rows. Each range is read, sorted and written by a task of its own, so a lost task repeats one
+    range. At most ``connections`` ranges are read at a time, whatever the cluster's size: ranges are written in waves
+    of that many, one job each. ``balanced`` reads the
     key columns alone first and cuts ranges of equal rows; left open, that is done where
     counts over the key column show a range with over twice its share. For an unkeyed table the
     caller may give disjoint ``predicates`` that cover it. Afterwards the source is counted again: if
@@ -197,20 +203,19 @@ def run_extract_jdbc(
     if chosen == EMPTY:
         return _nothing(label, started)
     n = n or partitions_for(profile.rows, None, has_text_blob, connections)
-    if chosen == UNKEYED:
-        rows = read_jdbc_all(spark, url, table, properties, quote, predicates)
-    elif not wanted:
-        raise ValueError(f"strategy {chosen!r} needs a key")
-    else:
+    if chosen != UNKEYED:
+        if not wanted:
+            raise ValueError(f"strategy {chosen!r} needs a key")
         if predicates is None:
             predicates = _jdbc_predicates(spark, url, table, wanted, profile, n, balanced, properties, quote, connections)
-        rows = read_jdbc_by_key_range(
-            spark, url, table, wanted, profile, n=n, properties=properties, quote=quote, predicates=predicates, ordered=False
-        )
-    rows = _limited(rows, connections)
-    if wanted:
-        rows = rows.sortWithinPartitions(*columns(wanted))
-    rows = coerce_table(rows, declared_schema, charset)
+        if predicates is None:
+            predicates = range_predicates(quoted(wanted[0], quote), plan_ranges(profile.lo, profile.hi, n), open_ended=True)
+
+    def wave(part: Sequence[str] | None) -> DataFrame:
+        rows = read_jdbc_all(spark, url, table, properties, quote, part)
+        return coerce_table(rows.sortWithinPartitions(*columns(wanted)) if wanted else rows, declared_schema, charset)
+
+    waves = [wave(predicates[i : i + connections]) for i in range(0, len(predicates), connections)] if predicates else [wave(None)]
 
     def unchanged(back: DataFrame) -> None:
         after, stored = count_jdbc(spark, url, table, properties, quote), back.count()
@@ -218,14 +223,14 @@ def run_extract_jdbc(
             raise RuntimeError(f"{label}: {profile.rows} rows before, {after} after, {stored} read and stored")
 
     written, megabytes = _store(
-        rows, final, compress, rows_per_file(profile.rows, has_text_blob), None, unchanged if quiet_source else None
+        waves, final, compress, rows_per_file(profile.rows, has_text_blob), None, unchanged if quiet_source else None
     )
     seconds = time.monotonic() - started
     return ExtractStats(label, chosen, written, seconds, megabytes, written / seconds, final)
 
 
 def _limited(rows: DataFrame, connections: int) -> DataFrame:
-    """At most ``connections`` tasks, each reading its ranges one after the other over one connection at a time."""
+    """At most ``connections`` tasks, each reading the keys of its ranges one after the other over one connection at a time."""
     return rows.coalesce(connections)
 
 

@@ -96,6 +96,26 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def move_parts(spark: SparkSession, source: str, target: str, first: int) -> int:
+    """Move a folder's part files into another, their part numbers raised by ``first``; returns the next free number."""
+    fs, folder = _file_system(spark, source)
+    path, after = spark._jvm.org.apache.hadoop.fs.Path, first
+    for name in sorted(children(spark, source)):
+        if name.startswith("part-"):
+            number, rest = int(name.split("-")[1]), name.split("-", 2)[2]
+            after = max(after, first + number + 1)
+            if not fs.rename(path(f"{source}/{name}"), path(f"{target}/part-{first + number:05d}-{rest}")):
+                raise OSError(f"could not move {name} to {target}")
+    fs.delete(folder, True)
+    return after
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    fs, path = _file_system(spark, source)
+    if not fs.rename(path, spark._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
