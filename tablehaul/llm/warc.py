@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -82,6 +83,9 @@ def parse_record(body: bytes) -> tuple[dict[str, str], bytes]:
     return fields, rest[: int(fields["Content-Length"])]
 
 
+# Left by ``write_warc`` beside the archives: what it wrote.
+LIST = "written.json"
+
 # writing
 
 
@@ -137,22 +141,44 @@ def write_warc(
     store, base = pafs.FileSystem.from_uri(folder)
     store.create_dir(base)
     typed = _with_types(pages, page_id, url, payload, min_bytes)
-    done = (
+    files = (
         typed.sortWithinPartitions("page", "digest", F.col("url").asc_nulls_last())
         .select("page_id", "url", "payload", "digest", "response_id", F.coalesce("shared", F.lit(False)).alias("shared"))
         .mapInArrow(_write(folder, date, level), "path string, records bigint")
     )
-    return done.agg(F.sum("records")).first()[0] or 0
+    done = files.collect()  # one row per file
+    sizes = {f.base_name: f.size for f in store.get_file_info([row.path for row in done])} if done else {}
+    with store.open_output_stream(f"{base}/{LIST}") as out:
+        out.write(json.dumps([{"file": row.path.rpartition("/")[2], "records": row.records, "bytes": sizes[row.path.rpartition("/")[2]]} for row in done]).encode())
+    return sum(row.records for row in done)
+
+
+def _listed(store: pafs.FileSystem, path: str) -> dict[str, int] | None:
+    """Files and sizes as ``write_warc`` left them."""
+    if store.get_file_info(path).type == pafs.FileType.NotFound:
+        return None
+    with store.open_input_file(path) as source:
+        return {f["file"]: f["bytes"] for f in json.loads(source.read())}
 
 
 # reading
 
 
+class Damaged(ValueError):
+    """An archive does not hold the records that were written."""
+
+
 class RangeReader:
-    """Records of one file that start in a byte range."""
+    """Records of one file that start in a byte range.
 
-    def __init__(self, source: pa.NativeFile, start: int, end: int):
-        self.source, self.at, self.end = source, start, end
+    With ``strict``, records lie one behind the other: where one ends the next begins, or the file ends. The reader of a record checks the
+    place behind it, in its range or beyond, and the reader of a file's first byte checks that place, so whatever is broken is
+    seen by one of them. Otherwise other bytes may lie between records.
+    """
+
+    def __init__(self, source: pa.NativeFile, start: int, end: int, file: str = "", strict: bool = False):
+        self.source, self.at, self.end, self.file, self.strict = source, start, end, file, strict
+        self.size = source.size()
 
     def _next_magic(self) -> int | None:
         """First place from here on, in the range, that looks like a gzip member."""
@@ -168,14 +194,19 @@ class RangeReader:
             at += len(block) - len(MAGIC) + 1
         return None
 
-    def _member(self, at: int) -> tuple[bytes, int] | None:
-        """Content and end of the member at a place, or None if none with a WARC head starts there."""
+    def _member(self, at: int, whole: bool = True) -> tuple[bytes, int] | None:
+        """Content and end of the member at a place, or None if none with a WARC head starts there; just its head if not ``whole``.
+
+        What breaks off or does not decode behind such a head is damage.
+        """
         self.source.seek(at)
         decoder, parts, begun, read = zlib.decompressobj(31), [], False, 0
         try:
             while not decoder.eof:
                 block = self.source.read(BLOCK_BYTES)
                 if not block:
+                    if begun:
+                        raise Damaged(f"{self.file} ends in the middle of the record at {at}")
                     return None
                 read += len(block)
                 parts.append(decoder.decompress(block))
@@ -184,18 +215,29 @@ class RangeReader:
                     if head != HEAD[: len(head)]:
                         return None
                     begun = len(head) == len(HEAD)
-        except zlib.error:
+                    if begun and not whole:
+                        return b"", at
+        except zlib.error as broken:
+            if begun:
+                raise Damaged(f"{self.file} is damaged in the record at {at}: {broken}") from broken
             return None
         return (b"".join(parts), at + read - len(decoder.unused_data)) if begun else None
 
+    def _must_begin(self, at: int) -> None:
+        if self.strict and at < self.size and self._member(at, whole=False) is None:
+            raise Damaged(f"{self.file} has no record at {at}, where one must begin")
+
     def records(self) -> Iterator[tuple[int, bytes]]:
         """(place, content) of each record."""
+        if self.at == 0:
+            self._must_begin(0)
         while (place := self._next_magic()) is not None:
             found = self._member(place)
             if found is None:
                 self.at = place + 1
             else:
                 body, self.at = found
+                self._must_begin(self.at)
                 yield place, body
 
 
@@ -215,17 +257,26 @@ def _row(body: bytes, file: str, place: int) -> tuple:
     if fields["WARC-Type"] == "response":
         payload = block.partition(b"\r\n\r\n")[2]
         if hashlib.sha256(payload).hexdigest() != digest or len(payload) != size:
-            raise ValueError(f"{file} is damaged at {place}")
+            raise Damaged(f"{file} is damaged in the record at {place}: its payload has another digest")
     return (
         number("X-Page-ID"), fields.get("WARC-Target-URI"), fields["WARC-Type"], size, digest,
         number("X-Refers-To-Page-ID"), payload, file, place,
     )
 
 
-def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """All records of a folder's archives, read by byte ranges. One row per range is made on the driver."""
+def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, strict: bool = True) -> DataFrame:
+    """All records of a folder's archives, read by byte ranges. One row per range is made on the driver.
+
+    Damage is an error: a record that breaks off or does not decode, a gap between records, a payload with another digest, and, where
+    ``write_warc`` left its list, a file that is missing, unknown or of another size. Not ``strict``, other bytes may lie between records.
+    """
     store, base = pafs.FileSystem.from_uri(folder)
     files = [f for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".warc.gz")]
+    written = _listed(store, f"{base}/{LIST}")
+    if written is not None and {f.base_name: f.size for f in files} != written:
+        found = {f.base_name: f.size for f in files}
+        wrong = sorted(n for n in found.keys() | written.keys() if found.get(n) != written.get(n))
+        raise Damaged(f"{folder}: files are missing, unknown or of another size: {wrong[:5]}")
     ranges = [(f.path, at, min(at + split_bytes, f.size)) for f in files for at in range(0, f.size, split_bytes)]
     names = [c.split()[0] for c in RECORDS.split(", ")]
     kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64())
@@ -240,7 +291,7 @@ def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES)
             for _, path, start, end in zip(*(c.to_pylist() for c in given.columns), strict=True):
                 with files.open_input_file(path) as source:
                     rows, held = [], 0
-                    for place, body in RangeReader(source, start, end).records():
+                    for place, body in RangeReader(source, start, end, path, strict).records():
                         rows.append(_row(body, path, place))
                         held += len(body)
                         if held > texts.BATCH_BYTES:

@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import io
 import random
+import zlib
 
 import pyarrow as pa
 import pytest
@@ -97,3 +98,72 @@ def test_false_magic_is_passed_over(seed):
         for at in range(0, len(data), size):
             got += warc.RangeReader(pa.BufferReader(data), at, min(at + size, len(data))).records()
         assert got == list(zip(places, bodies, strict=True))
+
+
+def damaged(spark, change, keep_list=False):
+    """A folder of one archive of 250 records with its bytes changed."""
+    folder = fresh_path(spark, "warc")
+    rows = [(i, f"http://a/{i}", prose(i, 40)) for i in range(250)]
+    assert warc.write_warc(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1), folder) == 250
+    store, base = pafs.FileSystem.from_uri(folder)
+    paths = [f.path for f in store.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".warc.gz")]
+    path = max(paths, key=lambda p: store.get_file_info(p).size)
+    with store.open_input_file(path) as source:
+        body = change(source.read())
+    if body is None:
+        store.delete_file(path)
+    else:
+        with store.open_output_stream(path, compression=None) as out:
+            out.write(body)
+    if not keep_list:
+        store.delete_file(f"{base}/{warc.LIST}")
+    return folder
+
+
+def member_starts(body):
+    starts, at = [], 0
+    while at < len(body):
+        starts.append(at)
+        decoder = zlib.decompressobj(31)
+        decoder.decompress(body[at:])
+        at = len(body) - len(decoder.unused_data)
+    return starts
+
+
+def flipped(at):
+    return lambda body: body[:at] + bytes([body[at] ^ 0x55]) + body[at + 1 :]
+
+
+@pytest.mark.parametrize("split", [700, 5000, 1 << 20])
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda b: b[:-200],
+        lambda b: b[: member_starts(b)[-1] + 5],
+        lambda b: flipped(len(b) // 2)(b),
+        lambda b: flipped(member_starts(b)[7])(b),
+        lambda b: flipped(member_starts(b)[0] + 2)(b),
+        lambda b: flipped(member_starts(b)[9] + 14)(b),
+        lambda b: b[: member_starts(b)[20]] + b[member_starts(b)[20] + 3 :],
+        lambda b: b[: member_starts(b)[30]] + b"junk" + b[member_starts(b)[30] :],
+        lambda b: b + b"tail",
+        lambda b: flipped(len(b) - 6)(b),
+    ],
+)
+def test_damage_is_an_error(spark, change, split):
+    """Cut, flipped, missing and foreign bytes, whether or not the list of files is there."""
+    with pytest.raises(Exception, match="damaged|no record|ends in the middle"):
+        warc.read_warc(spark, damaged(spark, change), split).collect()
+
+
+@pytest.mark.parametrize("change", [lambda b: None, lambda b: b[:-200], lambda b: b[: member_starts(b)[-1]]])
+def test_files_are_those_that_were_written(spark, change):
+    """Also a file that is gone, or ends where a record ends."""
+    with pytest.raises(warc.Damaged, match="missing, unknown or of another size"):
+        warc.read_warc(spark, damaged(spark, change, keep_list=True))
+
+
+@pytest.mark.parametrize("split", [100, 3000, 1 << 20])
+def test_as_many_records_as_were_written(spark, split):
+    folder = damaged(spark, lambda b: b, keep_list=True)
+    assert warc.read_warc(spark, folder, split).count() == 250
