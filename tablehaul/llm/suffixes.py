@@ -151,6 +151,41 @@ def _types(t: np.ndarray) -> np.ndarray:
     return smaller[nxt]
 
 
+def _words(body: bytes, depth: int, order: str) -> np.ndarray:
+    """The eight bytes from each place on as one number; what lies behind the end is zero."""
+    padded = np.frombuffer(body + bytes(depth + 8), np.uint8)
+    return np.ndarray((len(padded) - 7,), f"{order}u8", padded, strides=(1,))
+
+
+def sort_by_words(body: bytes, places: np.ndarray, depth: int) -> np.ndarray:
+    """Places in order of the ``depth`` bytes from there on, eight bytes at a time; only ties are looked at again.
+
+    Two that tie are compared where they first differ; larger groups are sorted by their next eight bytes.
+    """
+    words, symbols = _words(body, depth, ">"), np.frombuffer(body + bytes(depth + 8), np.uint8)
+    out = places.copy()
+    # places of ``out`` in question, and the first place of each one's group
+    at, group = np.arange(len(out)), np.zeros(len(out), np.int64)
+    for offset in range(0, depth, 8):
+        if not len(at):
+            break
+        key = words[out[at] + offset].astype(np.uint64)
+        order = np.lexsort((key, group)) if offset else np.argsort(key, kind="stable")
+        out[at], key, group = out[at[order]], key[order], group[order]
+        new = np.ones(len(at) + 2, bool)
+        new[1 : len(at)] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        pair = np.flatnonzero(new[:-2] & ~new[1:-1] & new[2:])
+        left, right = out[at[pair]], out[at[pair + 1]]
+        same = common_prefixes(body, left, right, depth)
+        swap = (same < depth) & (symbols[left + same] > symbols[right + same])
+        out[at[pair[swap]]], out[at[pair[swap] + 1]] = right[swap], left[swap]
+        more = ~(new[:-2] & new[1:-1])
+        more[pair] = more[pair + 1] = False
+        group = at[np.maximum.accumulate(np.where(new[:-2], np.arange(len(at)), 0))][more]
+        at = at[more]
+    return out
+
+
 def two_stage_sort(t: np.ndarray, wanted: np.ndarray, body: bytes, depth: int) -> np.ndarray:
     """Places of the wanted suffixes, and of those needed to sort them, in order of their first ``depth`` bytes.
 
@@ -167,9 +202,7 @@ def two_stage_sort(t: np.ndarray, wanted: np.ndarray, body: bytes, depth: int) -
     needed |= (last_wanted >= 0) & (before < last_wanted)
     direct = np.flatnonzero(needed & small)
     ends = direct[t[direct] == 0]  # separators come first, though the bytes know no symbol below zero
-    inner = direct[t[direct] > 0].tolist()
-    inner.sort(key=lambda i: body[i : i + depth])
-    direct = np.concatenate([ends, np.array(inner, np.int64)])
+    direct = np.concatenate([ends, sort_by_words(body, direct[t[direct] > 0], depth)])
     heads = t[direct]
     symbols = int(t.max()) + 1
     cuts = np.searchsorted(heads, np.arange(symbols + 1))
@@ -205,8 +238,7 @@ def two_stage_sort(t: np.ndarray, wanted: np.ndarray, body: bytes, depth: int) -
 def common_prefixes(body: bytes, left: np.ndarray, right: np.ndarray, limit: int) -> np.ndarray:
     """Length of the common prefix of each pair of suffixes, counted up to ``limit``."""
     step = 8
-    padded = np.frombuffer(body + bytes(limit + step), np.uint8)
-    words = np.ndarray((len(padded) - step + 1,), "<u8", padded, strides=(1,))
+    words = _words(body, limit, "<")
     out = np.zeros(len(left), np.int64)
     live = np.arange(len(left))
     while len(live):
@@ -272,6 +304,7 @@ def _sort_buckets(window: int):
                     rows.append(row)
         if rows:
             yield run(rows)
+        texts.release()
 
     return task
 
@@ -299,7 +332,7 @@ def _cut_bodies(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
         yield texts.batch_of((*others, "body"), *columns, pa.array(bodies, pa.binary()))
 
     same = rows.doc_id.eqNullSafe(listed.doc_id) & (rows.tag == listed.tag)
-    return texts.map_arrow(rows.join(listed, same).select(rows.text, "places"), run, schema)
+    return texts.map_arrow(rows.join(listed, same).select(rows.text, "places"), run, schema, done=texts.release)
 
 
 def _variants(shared: DataFrame) -> DataFrame:
@@ -454,7 +487,7 @@ def cut_repeats(
             columns[counted] = pa.array([None if t is None else len(t) for t in left]).cast(columns[counted].type)
         return pa.RecordBatch.from_arrays(columns, kept_columns)
 
-    return texts.map_arrow(joined, run, docs.schema, text)
+    return texts.map_arrow(joined, run, docs.schema, text, done=texts.release)
 
 
 def _each_mask(text: pa.Array, spans: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -27,10 +28,18 @@ def tag_of(name: str) -> Column:
     return F.xxhash64(whole, F.octet_length(whole))
 
 
+def release() -> None:
+    """Give what a task has freed back to the system, as its worker lives on and other work needs the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text", done: Callable | None = None) -> DataFrame:
     """``mapInArrow`` with batches of bounded text size. ``run`` gets and returns a ``RecordBatch`` or yields some.
 
-    ``done`` is called at the end of a task, whose worker may go on with other work: what it freed goes back to the system.
+    ``done`` is called at the end of a task, whose worker may go on with other work.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,6 +9,7 @@ the tokenizer.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,8 +17,11 @@ import pyarrow as pa
 
 from tablehaul.llm import texts
 
-# Chunks a Python worker remembers, half of them from its last batches. Ids do not depend on it.
-MEMORY = 400_000
+# Bytes that the chunks a Python worker remembers may take, over all its tasks; beyond, it starts again with those of the last batch.
+# Ids do not depend on it.
+MEMORY_BYTES = 64 << 20
+# What a remembered chunk takes beside its bytes and ids: two objects and a place in a table.
+CHUNK_BYTES = 170
 # Chunks that are encoded as one text, with a mark behind each.
 JOINED = 2_000
 # U+0001 behind a space is a token of its own in any of the tokenizers, and no other text has its last id.
@@ -33,9 +37,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.recent: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.edges, self.at_begin = self._word_edges()
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows in one array, and the row bounds in it."""
@@ -49,44 +54,98 @@ class Encoder:
         begin = np.cumsum(sizes) - sizes
         each = sizes[code]
         total = np.concatenate(([0], np.cumsum(each)))
-        place = np.repeat(begin[code] - total[:-1], each)
-        place += np.arange(len(place))
+        kind = np.int32 if total[-1] < 2**31 and len(ids) < 2**31 else np.int64
+        place = np.repeat((begin[code] - total[:-1]).astype(kind), each)
+        place += np.arange(len(place), dtype=kind)
         return ids[place], total[np.searchsorted(starts, offsets)]
 
     def forget(self) -> None:
-        """Drop the remembered chunks, at the end of a task."""
-        self.recent, self.older = {}, {}
+        """Drop the remembered chunks."""
+        self.known, self.held = {}, 0
 
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks one after the other, and how many each has."""
-        recent, older = self.recent, self.older
-        each = [recent.get(c) or older.get(c) for c in chunks]
+        each = list(map(self.known.get, chunks))
         new = [i for i, e in enumerate(each) if e is None]
-        for i, ids in zip(new, self._encoded([chunks[i] for i in new]), strict=True):
+        fresh = [chunks[i] for i in new]
+        found = self._encoded(fresh)
+        for i, ids in zip(new, found, strict=True):
             each[i] = ids
-        recent.update(zip(chunks, each, strict=True))
-        if len(recent) > MEMORY // 2:
-            self.recent, self.older = {}, recent
-        return np.frombuffer(b"".join(each), np.uint32), np.array([len(e) for e in each], np.int64) // 4
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        self.known.update(zip(fresh, found, strict=True))
+        self.held += sum(map(len, fresh)) + sum(map(len, found)) + CHUNK_BYTES * len(fresh)
+        if self.held > MEMORY_BYTES:
+            self.known = dict(zip(chunks, each, strict=True))
+            self.held = sum(map(len, chunks)) + int(sizes.sum()) + CHUNK_BYTES * len(chunks)
+        return np.frombuffer(b"".join(each), np.uint32), sizes // 4
 
     def _encoded(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of each chunk as bytes. Chunks that can follow a mark, and a mark them, share a text."""
-        plain = [c[0] in _BEGIN and c[-1] in _SOLID and b"\x01" not in c for c in chunks]
-        apart = [c for c, p in zip(chunks, plain, strict=True) if not p]
-        together = [c for c, p in zip(chunks, plain, strict=True) if p]
-        mark = MARK.encode()
-        joined = [mark.join([*together[i : i + JOINED], b""]).decode() for i in range(0, len(together), JOINED)]
-        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        ends = np.flatnonzero(ids == self.mark[-1]) + 1
-        if len(ends) != len(together):
-            raise ValueError("the tokenizer does not keep marks apart")
-        body, width = ids.tobytes(), 4 * len(self.mark)
-        begins = np.concatenate(([0], 4 * ends[:-1])).tolist() if len(ends) else []
-        shared = iter([body[i : j - width] for i, j in zip(begins, (4 * ends).tolist(), strict=True)])
-        single = (e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in apart], add_special_tokens=False))
-        alone = iter([np.array(i, np.uint32).tobytes() for i in single])
-        return [next(shared) if p else next(alone) for p in plain]
+        """Ids of each chunk as bytes. Words behind a space share a text, as tokens tell where each begins; other chunks that
+        can follow a mark share one with a mark behind each."""
+        kinds = [_kind(c) for c in chunks]
+        by_kind: tuple[list[bytes], ...] = ([], [], [])
+        for c, k in zip(chunks, kinds, strict=True):
+            by_kind[k].append(c)
+        apart, together, words = by_kind
+        found = [iter(self._alone(apart)), iter(self._marked(together)), iter(self._spaced(words))]
+        return [next(found[k]) for k in kinds]
+
+    def _alone(self, chunks: list[bytes]) -> list[bytes]:
+        single = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32).tobytes() for e in single]
+
+    def _texts(self, chunks: list[bytes], between: bytes) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """The chunks of each shared text, and its ids."""
+        parts = [chunks[i : i + JOINED] for i in range(0, len(chunks), JOINED)]
+        joined = [between.join([*part, b""]).decode() for part in parts]
+        for part, e in zip(parts, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            yield part, np.array(e.ids, np.uint32)
+
+    def _marked(self, chunks: list[bytes]) -> list[bytes]:
+        out, width = [], 4 * len(self.mark)
+        for part, ids in self._texts(chunks, MARK.encode()):
+            ends = 4 * (np.flatnonzero(ids == self.mark[-1]) + 1)
+            if len(ends) != len(part):
+                raise ValueError("the tokenizer does not keep marks apart")
+            body = ids.tobytes()
+            out += [body[i : j - width] for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        return out
+
+    def _spaced(self, chunks: list[bytes]) -> list[bytes]:
+        if self.edges is None:
+            return self._marked(chunks)
+        out = []
+        for part, ids in self._texts(chunks, b""):
+            # where words begin: at a token that begins one, or behind a token that ends one
+            at = np.flatnonzero(self.edges[ids]) + (not self.at_begin)
+            bounds = np.append(at, len(ids)) if self.at_begin else np.append(0, at)
+            if len(at) != len(part) or bounds[0] or bounds[-1] != len(ids):
+                out += self._marked(part)
+                continue
+            body, bounds = ids.tobytes(), (4 * bounds).tolist()
+            out += [body[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
+        return out
+
+    def _word_edges(self) -> tuple[np.ndarray | None, bool]:
+        """Which tokens begin a word, or end one; none if the vocabulary has no sign for either."""
+        tokens = self.tokenizer.encode(" a", add_special_tokens=False).tokens
+        sign = tokens[0][:1]
+        at_begin = bool(sign) and not sign.isascii()
+        if not at_begin:
+            sign = tokens[-1].removeprefix("a") if tokens[-1].startswith("a") else ""
+        if not sign:
+            return None, False
+        edges = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            edges[number] = token.startswith(sign) if at_begin else token.endswith(sign)
+        return edges, at_begin
+
+
+def _kind(chunk: bytes) -> int:
+    """2 for a space and ASCII letters, 1 for other chunks that can follow a mark and one them, 0 for the rest."""
+    if chunk[0] == 0x20 and chunk[1:].isalpha():
+        return 2
+    return 1 if chunk[0] in _BEGIN and chunk[-1] in _SOLID and b"\x01" not in chunk else 0
 
 
 _BEGIN = bytes([0x20, *range(0x09, 0x0E), *range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -123,7 +182,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One encoder per Python worker and file."""
+    """One encoder per Python worker: that of the last file asked for."""
     return Encoder(path)

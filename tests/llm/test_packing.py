@@ -40,7 +40,7 @@ def test_chunks_give_the_ids_of_whole_texts(spark, name):
 
 
 def test_memory_limit_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMORY", 3)
+    monkeypatch.setattr(tokens, "MEMORY_BYTES", 500)
     monkeypatch.setattr(tokens, "JOINED", 2)
     encoder, ids_of = tokens.Encoder(PATH), reference("word_bpe_49k.json")
     for seed in range(3):
