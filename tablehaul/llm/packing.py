@@ -66,7 +66,7 @@ def token_pieces(
         )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), texts.whole_text(text).alias("text"))
-    return texts.map_arrow(rows, run, schema, done=texts.release)
+    return texts.map_arrow(rows, run, schema, done=lambda: tokens.end_task(tokenizer), limit=tokens.BATCH_BYTES)
 
 
 # the plan

@@ -36,15 +36,15 @@ def release() -> None:
         trim(0)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text", done: Callable | None = None) -> DataFrame:
-    """``mapInArrow`` with batches of bounded text size. ``run`` gets and returns a ``RecordBatch`` or yields some.
+def map_arrow(df: DataFrame, run: Callable, schema: str, text: str = "text", done: Callable | None = None, limit: int = BATCH_BYTES) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``limit`` text bytes. ``run`` gets and returns a ``RecordBatch`` or yields some.
 
     ``done`` is called at the end of a task, whose worker may go on with other work.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in bounded(batch, text):
+            for part in bounded(batch, text, limit):
                 out = run(part)
                 if isinstance(out, pa.RecordBatch):
                     yield out

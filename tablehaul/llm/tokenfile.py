@@ -173,7 +173,7 @@ def _encoded(docs: DataFrame, tokenizer: str, doc_id: str, text: str, cuts: list
         return texts.batch_of(("doc_id", "shard", "ids"), keys, shard, pa.array(own, pa.binary()))
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), texts.whole_text(text).alias("text"))
-    return texts.map_arrow(rows, run, "doc_id bigint, shard int, ids binary", done=texts.release)
+    return texts.map_arrow(rows, run, "doc_id bigint, shard int, ids binary", done=lambda: tokens.end_task(tokenizer), limit=tokens.BATCH_BYTES)
 
 
 RECORDS = "doc_id bigint, copy int, shard int, first bigint, n bigint"

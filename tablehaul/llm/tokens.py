@@ -17,11 +17,12 @@ import pyarrow as pa
 
 from tablehaul.llm import texts
 
-# Bytes that the chunks a Python worker remembers may take, over all its tasks; beyond, it starts again with those of the last batch.
-# Ids do not depend on it.
+# Bytes that the chunks a task remembers may take, half of them those met last. Ids do not depend on it.
 MEMORY_BYTES = 64 << 20
 # What a remembered chunk takes beside its bytes and ids: two objects and a place in a table.
 CHUNK_BYTES = 170
+# Text bytes encoded at once: with more of them a chunk is looked up less often.
+BATCH_BYTES = 4 << 20
 # Chunks that are encoded as one text, with a mark behind each.
 JOINED = 2_000
 # U+0001 behind a space is a token of its own in any of the tokenizers, and no other text has its last id.
@@ -38,6 +39,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.held = 0
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.edges, self.at_begin = self._word_edges()
@@ -61,22 +63,24 @@ class Encoder:
 
     def forget(self) -> None:
         """Drop the remembered chunks."""
-        self.known, self.held = {}, 0
+        self.known, self.older, self.held = {}, {}, 0
 
     def _ids(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks one after the other, and how many each has."""
         each = list(map(self.known.get, chunks))
-        new = [i for i, e in enumerate(each) if e is None]
-        fresh = [chunks[i] for i in new]
-        found = self._encoded(fresh)
-        for i, ids in zip(new, found, strict=True):
+        missed = [i for i, e in enumerate(each) if e is None]
+        names = [chunks[i] for i in missed]
+        found = list(map(self.older.get, names))
+        new = [j for j, e in enumerate(found) if e is None]
+        for j, ids in zip(new, self._encoded([names[j] for j in new]), strict=True):
+            found[j] = ids
+        for i, ids in zip(missed, found, strict=True):
             each[i] = ids
         sizes = np.fromiter(map(len, each), np.int64, len(each))
-        self.known.update(zip(fresh, found, strict=True))
-        self.held += sum(map(len, fresh)) + sum(map(len, found)) + CHUNK_BYTES * len(fresh)
-        if self.held > MEMORY_BYTES:
-            self.known = dict(zip(chunks, each, strict=True))
-            self.held = sum(map(len, chunks)) + int(sizes.sum()) + CHUNK_BYTES * len(chunks)
+        self.known.update(zip(names, found, strict=True))
+        self.held += sum(map(len, names)) + sum(map(len, found)) + CHUNK_BYTES * len(names)
+        if self.held > MEMORY_BYTES // 2:
+            self.known, self.older, self.held = {}, self.known, 0
         return np.frombuffer(b"".join(each), np.uint32), sizes // 4
 
     def _encoded(self, chunks: list[bytes]) -> list[bytes]:
@@ -186,3 +190,9 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker: that of the last file asked for."""
     return Encoder(path)
+
+
+def end_task(path: str) -> None:
+    """Workers live on after a task: what it remembered goes back to the system."""
+    encoder(path).forget()
+    texts.release()
