@@ -6,6 +6,7 @@ import os
 import sys
 from collections.abc import Callable
 from functools import reduce
+from itertools import combinations
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -22,6 +23,8 @@ from tablehaul.functions.coerce import (  # noqa: E402
     trim_text,
 )
 from tablehaul.plans.balance import with_leaf_number  # noqa: E402
+from tablehaul.plans.discovery import MAX_COLUMNS  # noqa: E402
+from tablehaul.plans.sketches import DISTINCT_ERROR, LONG_TEXT, as_item  # noqa: E402
 from tablehaul.sources.files import fresh_path  # noqa: E402
 from tablehaul.sources.tables import default_partitions  # noqa: E402
 
@@ -36,6 +39,7 @@ PAGE = 100
 CHUNK = 500
 FILE_ROWS = 4_000
 MANY_PARTS = 10_000
+HEAVY_SHARE = 0.02
 
 KEYS: dict[str, list[str]] = {
     "region": ["r_regionkey"],
@@ -546,6 +550,60 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scalar_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Integer and text columns of all tables, whose text form is the same everywhere."""
+    return {
+        name: _table(spark, sf_dir, name).select(*(c for c, _, target in COLUMNS[name] if target in ("int64", "utf8"))) for name in KEYS
+    }
+
+
+def column_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of all columns: NULLs, and whether distinct counts and the counts of all listed values are within their bounds."""
+    out = []
+    for name, df in _scalar_tables(spark, sf_dir).items():
+        sketched = th.column_sketches(df)
+        items = F.array(*(F.struct(F.lit(i).alias("position"), as_item(f).alias("value")) for i, f in enumerate(df.schema.fields)))
+        counts = df.select(F.inline(items)).where("value IS NOT NULL").groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+        listed = sketched.select("position", "count_error", F.explode("heavy").alias("h"))
+        listed = listed.select("position", "count_error", F.col("h.value").alias("value"), F.col("h.n").alias("listed"))
+        # an unlisted value may have up to twice the bound
+        off = counts.join(listed, ["position", "value"], "left").join(sketched.select("position", F.col("count_error").alias("bound")), "position")
+        wrong = F.coalesce(F.abs(F.col("listed") - F.col("n")) > F.col("bound"), F.col("n") > 2 * F.col("bound"))
+        checked = off.groupBy("position").agg(F.count(F.lit(1)).alias("exact"), F.count_if(wrong).alias("n_wrong"))
+        within = F.abs(F.col("n_distinct") - F.coalesce("exact", F.lit(0))) <= 1 + DISTINCT_ERROR * F.coalesce("exact", F.lit(0))
+        out.append(
+            sketched.join(checked, "position", "left").select(
+                F.lit(name).alias("table_name"), "column_name", "n", "n_null", within.alias("distinct_within"), F.coalesce("n_wrong", F.lit(0)).alias("n_wrong")
+            )
+        )
+    return _union(out)
+
+
+def heavy_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of at least 2 % of the rows of any column, found by sketches and counted exactly."""
+    return _union(
+        th.heavy_values(df, HEAVY_SHARE).select(F.lit(name).alias("table_name"), "column_name", "value", "n")
+        for name, df in _scalar_tables(spark, sf_dir).items()
+    )
+
+
+def discover_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Least unique sets of integer columns of all tables, and of one whose key is spoilt by a repeated row."""
+    tables = _tables(spark, sf_dir)
+    tables["suppliers_and_one"] = tables["supplier"].union(tables["supplier"].where("s_suppkey = 1"))
+    found = [(name, ",".join(key)) for name, df in tables.items() for key in th.discover_keys(df) or [[]]]
+    return spark.createDataFrame(found, "table_name string, key_columns string")
+
+
+def profile_distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct keys of all tables that have a key, and of the leading columns of composite ones."""
+    tables = _tables(spark, sf_dir)
+    return _union(
+        th.key_uniqueness(tables[name], keys[:size]).select(F.lit(name).alias("table_name"), F.lit(",".join(keys[:size])).alias("key_columns"), "*")
+        for name, keys in KEYS.items() for size in range(1, len(keys) + 1)
+    )
+
+
 def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in many small files, then in even ones of at most ``FILE_ROWS`` rows: content of each, and what the files hold."""
     small, usual = fresh_path(spark, "small"), fresh_path(spark, "usual")
@@ -656,7 +714,8 @@ _QUERIES = (
     extract_text_blobs, extract_nested, extract_uneven_key, extract_by_catalog, extract_by_catalog_types, extract_file_order, extract_own_names, extract_stats, extract_resumed, extract_delta, source_view_sql, source_datasource_sql, page_slice, page_slice_far, page_numbers,
     row_numbers_hot_key, profile_keys, plan_ranges, plan_chunks, range_counts, range_predicates,
     balanced_range_counts, predicates_hot_key, many_balanced_parts, resolve_columns, detect_keys, choose_strategy, coerce_numeric, coerce_text,
-    coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats,
+    coerce_float_text, coerce_binary, coerce_charset, null_coercion, coerce_declared, column_stats, column_sketches,
+    heavy_values, discover_keys, profile_distinct_keys,
     compact_files, compact_mixed, page_from_directory, reconcile_tree, reconcile_clean, reconcile_faulty, reconcile_screened, reconcile_content, partition_sizes,
 )
 
@@ -734,6 +793,49 @@ def _column_rows(with_length: bool) -> str:
     return " UNION ALL ".join(rows)
 
 
+def _scalar_columns():
+    return ((name, c, target) for name, columns in COLUMNS.items() for c, _, target in columns if target in ("int64", "utf8"))
+
+
+def _heavy_rows() -> str:
+    rows = []
+    for name, c, target in _scalar_columns():
+        value = f"CASE WHEN length({c}) <= {LONG_TEXT} THEN {c} ELSE 'sha256:' || sha256({c}) END" if target == "utf8" else f"CAST({c} AS VARCHAR)"
+        rows.append(
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, value, n "
+            f"FROM (SELECT {value} AS value, count(*) AS n FROM {name} WHERE {c} IS NOT NULL GROUP BY 1) "
+            f"WHERE n >= {HEAVY_SHARE} * (SELECT count(*) FROM {name})"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _key_rows() -> str:
+    """Every set of integer columns that is unique while none of its subsets is."""
+    sources = {name: name for name in COLUMNS}
+    sources["suppliers_and_one"] = "(SELECT * FROM supplier UNION ALL SELECT * FROM supplier WHERE s_suppkey = 1)"
+    rows = []
+    for name, source in sources.items():
+        integers = [c for c, _, target in COLUMNS.get(name, COLUMNS["supplier"]) if target == "int64"]
+        sets = [s for size in range(1, MAX_COLUMNS + 1) for s in combinations(integers, size)]
+        unique = {s: f"(count(DISTINCT ({', '.join(s)})) = count(*) AND " + " AND ".join(f"count({c}) = count(*)" for c in s) + ")" for s in sets}
+        rows += [
+            f"SELECT '{name}' AS table_name, '{','.join(s)}' AS key_columns FROM {source} HAVING count(*) > 1 AND {unique[s]}"
+            + "".join(f" AND NOT {unique[t]}" for t in sets if set(t) < set(s))
+            for s in sets
+        ]
+        rows.append(f"SELECT '{name}', '' FROM {source} HAVING count(*) < 2 OR NOT ({' OR '.join(unique.values())})")
+    return " UNION ALL ".join(rows)
+
+
+def _distinct_key_rows() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{','.join(keys[:size])}' AS key_columns, CAST(coalesce(sum(copies), 0) AS BIGINT) AS n, "
+        f"count(*) AS n_distinct, CAST(coalesce(sum(copies), 0) - count(*) AS BIGINT) AS n_repeated, coalesce(max(copies), 0) AS most "
+        f"FROM (SELECT count(*) AS copies FROM {name} GROUP BY {', '.join(keys[:size])})"
+        for name, keys in KEYS.items() for size in range(1, len(keys) + 1)
+    )
+
+
 def _strategy(keys: str) -> str:
     return (
         f"CASE WHEN n = 0 THEN 'empty' WHEN {keys} = 0 THEN 'unkeyed' WHEN {keys} = 1 THEN 'single_key' "
@@ -900,6 +1002,13 @@ def library_sql() -> dict[str, str]:
                    {_truncated('value')} AS value, hex(encode(props)) AS props
             FROM events""",
         "column_stats": _column_rows(True),
+        "column_sketches": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, '{c}' AS column_name, count(*) AS n, count(*) - count({c}) AS n_null, "
+            f"true AS distinct_within, CAST(0 AS BIGINT) AS n_wrong FROM {name}" for name, c, _ in _scalar_columns()
+        ),
+        "heavy_values": _heavy_rows(),
+        "discover_keys": _key_rows(),
+        "profile_distinct_keys": _distinct_key_rows(),
         "compact_files": f"""
             SELECT files AS n_files, n - (files - 1) * size AS smallest, size AS largest, n AS n_rows, keys, cents
             FROM (SELECT *, (n + files - 1) // files AS size

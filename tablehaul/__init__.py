@@ -26,6 +26,7 @@ from tablehaul.plans.catalog import (
     text_blob_tables,
 )
 from tablehaul.plans.balance import plan_leaves
+from tablehaul.plans.discovery import discover_keys, key_uniqueness
 from tablehaul.plans.profile import KeyProfile, column_stats, profile_frame, profile_key
 from tablehaul.plans.ranges import (
     KeyRange,
@@ -39,6 +40,7 @@ from tablehaul.plans.ranges import (
     range_predicates,
     ranges_frame,
 )
+from tablehaul.plans.sketches import column_sketches, heavy_values, merge_sketches, read_sketches, sketch_columns
 from tablehaul.plans.strategy import choose_strategy, rows_per_file, strategy_of
 from tablehaul.sources.compaction import Compaction, compact_in_place
 from tablehaul.sources.datasource import register_key_ranges
