@@ -46,11 +46,65 @@ def test_held_out_wordings(spark, classifier):
 
 
 def test_calibration(classifier):
-    assert 0.5 <= classifier.threshold < 1 and classifier.temperature in licences.TEMPERATURES
+    """Held-out wordings and licences decide the threshold, and confidence is about the share that is right."""
+    assert licences.THRESHOLDS[0] < classifier.threshold < 1 and classifier.temperature in licences.TEMPERATURES
+    assert classifier.precision >= 0.95 and classifier.recall >= 0.85 and classifier.calibration_error <= 0.1
+    assert classifier.unknown_kept >= 0.6
+
+
+# Whole licences that no list of the module has, as files hold them.
+UNSEEN = """Permission to use, copy, modify, distribute, and sell this software and its
+documentation for any purpose is hereby granted without fee, provided that
+the above copyright notice appear in all copies and that both that
+copyright notice and this permission notice appear in supporting
+documentation.
+
+In no event shall the university be liable to any party for direct, indirect,
+special, incidental, or consequential damages, including lost profits, arising
+out of the use of this software and its documentation.
+
+The university specifically disclaims any warranties, including, but not
+limited to, the implied warranties of merchantability and fitness for a
+particular purpose. The software provided hereunder is on an "as is" basis.
+
+Except as contained in this notice, the name of a copyright holder shall not
+be used in advertising or otherwise to promote the sale, use or other dealings
+in this Software without prior written authorization of the copyright holder."""
+
+
+def wrapped(paragraph, width=10, comment=""):
+    words = paragraph.split()
+    return "\n".join(comment + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_whole_licences(spark, classifier):
+    """Every paragraph of a whole licence is its family, or unknown where families share it; wrapped and commented lines too."""
+    rows, want = [], {}
+    for n, (family, paragraphs) in enumerate(licences.PARAGRAPHS.items()):
+        rows.append((n, "\n\n".join(wrapped(p, 7 + n % 5, ["", "# ", " * "][n % 3]) for p in paragraphs)))
+        want[n] = (family, len(paragraphs))
+    rows.append((99, UNSEEN))
+    got = {r.doc_id: r for r in licences.document_licences(documents(spark, rows), classifier).collect()}
+    for n, (family, size) in want.items():
+        assert got[n].n_paragraphs == size == got[n].n_licensed + got[n].n_unknown, (family, got[n])
+        assert family in got[n].families, (family, got[n])
+    assert got[99].n_paragraphs == 4 and got[99].n_licensed + got[99].n_unknown == 4, got[99]
+
+
+def test_wrapped_grant_and_denials(spark, classifier):
+    rows = [
+        (1, wrapped(licences.PARAGRAPHS["mit"][0], 12)),
+        (2, "This program is not released under the MIT License, it is proprietary."),
+        (3, wrapped(prose(3, 200)) + "\nReleased under the MIT License.\n" + wrapped(prose(4, 200))),
+    ]
+    got = {r.doc_id: r for r in licences.document_licences(documents(spark, rows), classifier).collect()}
+    assert got[1].families == ["mit"] and got[1].n_paragraphs == 1
+    assert got[2].families == [] and got[2].n_unknown == 1
+    assert got[3].families == ["mit"]
 
 
 def test_segments_cover_all_words(spark):
-    rows = [(1, prose(1, 500)), (2, "a b\n\n c"), (3, None), (4, " ")]
+    rows = [(1, prose(1, 500)), (2, "a b\n \n c\nd"), (3, None), (4, " ")]
     found = licences.segments(documents(spark, rows), size=10, overlap=4).collect()
     for doc_id, text in rows[:1]:
         own = [r.words for r in found if r.doc_id == doc_id]
@@ -58,7 +112,7 @@ def test_segments_cover_all_words(spark):
         runs = [tuple(words[i : i + 4]) for i in range(len(words) - 3)]
         inside = {tuple(s[i : i + 4]) for s in own for i in range(len(s) - 3)}
         assert set(runs) == inside and max(map(len, own)) == 10
-    assert [(r.paragraph, r.words) for r in found if r.doc_id == 2] == [(0, ["a", "b"]), (2, ["c"])]
+    assert [(r.paragraph, r.words) for r in found if r.doc_id == 2] == [(0, ["a", "b"]), (1, ["c", "d"])]
     assert not [r for r in found if r.doc_id in (3, 4)]
 
 
@@ -84,7 +138,7 @@ def test_plan_is_native(spark, classifier):
 def test_sample_holds_different_texts_and_no_templates(spark):
     """Many copies of one text take one place, and licence lines without a licence word are not class none."""
     footers = ["Published under CC0 1.0 Universal", "Available under CC BY 4.0"]
-    rows = [(i, "the same words again") for i in range(50)] + [(100 + i, f"{prose(i, 30)}\n{footers[i % 2]}") for i in range(9)]
+    rows = [(i, "the same words again") for i in range(50)] + [(100 + i, f"{prose(i, 30)}\n\n{footers[i % 2]}") for i in range(9)]
     got = [" ".join(r.words) for r in licences.ordinary_segments(documents(spark, rows), sample_documents=10).collect()]
     assert sorted(got) == sorted(["the same words again", *(prose(i, 30).lower() for i in range(9))])
 
