@@ -29,6 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tablehaul.llm.texts import whole_text
+from tablehaul.sources.files import staged
 
 SEGMENT_WORDS = 48
 OVERLAP_WORDS = 24
@@ -391,7 +392,8 @@ def train(
     F1 of families, classes weighing alike, that at most ``max_false_share`` of held-out ordinary segments reach.
     """
     spark = docs.sparkSession
-    ordinary = ordinary_segments(docs, doc_id, text, sample_documents)
+    # read three times below
+    ordinary = staged(ordinary_segments(docs, doc_id, text, sample_documents), "ordinary-segments")
     held = F.pmod(F.xxhash64("words"), F.lit(HELD_OUT)) == 0
     lines = labelled_rows(spark)
     rows = lines.union(ordinary.select("family", "words", held.alias("held"))).union(_carried(lines.where(F.col("family") != NONE), ordinary))
