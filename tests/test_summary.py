@@ -1,5 +1,7 @@
 """Quantile summaries and the parts cut from them."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +46,28 @@ def test_ranks_stay_within_the_bound(seed):
     assert off <= 3 * len(rows) / points
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_merging_by_slices(monkeypatch, seed):
+    """The same summary as from one sort of all points, without a copy of them."""
+    monkeypatch.setattr(summary, "SLICE_POINTS", 2_000)
+    rows = skewed(200_000, seed)
+    order = np.sort(rows) if seed >= 4 else rows
+    parts = [Summary.of(encode([part, part % 7])) for part in np.array_split(order, 6)]
+    for points in (50, 4_000, 150_000, 300_000):
+        whole, want = summary.merge(parts, points), Summary.merged(parts).compressed(points)
+        assert (whole.keys == want.keys).all() and (whole.weights == want.weights).all()
+
+
+def test_merging_holds_its_parts_and_little_more():
+    pick = np.random.default_rng(1)
+    parts = [Summary.of(encode([pick.integers(0, 2**60, 400_000) for _ in range(6)])) for _ in range(8)]
+    tracemalloc.start()
+    whole = summary.merge(parts, 100_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(whole.keys) == 100_000 and peak < sum(p.keys.nbytes for p in parts) / 2
+
+
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("parts", [8, 100])
 def test_parts_are_even(spark, seed, parts):
