@@ -149,17 +149,21 @@ def _entries(spark: SparkSession, folder: str, keys: Sequence[str], plan: Sequen
     ranges = spark.createDataFrame(rows, "range_id bigint, prefix array<bigint>, lo bigint, hi bigint, files array<string>")
     of_file = ranges.select("range_id", F.explode("files").alias("file"))
     data = spark.read.parquet(*[f"{folder}/{f}" for files in done.values() for f in files])
-    file, number, hashed, top = names.unused(data.columns, "file_", "range_", "hash_", "top_")
-    top_key = F.struct(*[c.cast("bigint").alias(f"k{i}") for i, c in enumerate(names.columns(keys))])
-    hashes = data.select(F.col("_metadata.file_name").alias(file), row_hash(data.columns).alias(hashed), top_key.alias(top))
+    file, place, hashed, *tops = names.unused(data.columns, "file_", "place_", "hash_", *(f"key_{i}" for i in range(len(keys))))
+    key = [c.cast("bigint").alias(t) for c, t in zip(names.columns(keys), tops, strict=True)]
+    hashes = data.select(F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(place), row_hash(data.columns).alias(hashed), *key)
+    # files are in key order, so their last row has the highest key; key by key, as the greatest struct would sort all rows
+    spread = [F.max(t) == F.min(t) for t in tops]
     per_file = hashes.groupBy(file).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col(hashed).cast("decimal(20,0)")).cast("decimal(38,0)").alias("hash_sum"), F.bit_xor(hashed).alias("hash_xor"), F.max(top).alias("top"), F.min(top).alias("low")
-    )
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col(hashed).cast("decimal(20,0)")).cast("decimal(38,0)").alias("hash_sum"), F.bit_xor(hashed).alias("hash_xor"),
+        *(F.max_by(t, place).alias(f"top_{i}") for i, t in enumerate(tops)), reduce(Column.__and__, spread).alias("one_key"),
+    ).withColumn("top", F.struct(*(f"top_{i}" for i in range(len(keys)))))
     facts = per_file.join(F.broadcast(of_file), F.col(file) == F.col("file")).groupBy("range_id").agg(
-        F.sum("rows").alias("rows"), F.sum("hash_sum").cast("decimal(38,0)").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"), F.max("top").alias("top"), F.min("low").alias("low")
+        F.sum("rows").alias("rows"), F.sum("hash_sum").cast("decimal(38,0)").alias("hash_sum"), F.bit_xor("hash_xor").alias("hash_xor"), F.max("top").alias("top"),
+        (F.bool_and("one_key") & (F.min("top") == F.max("top"))).alias("one_key"),
     )
-    top_list = F.array(*[F.col(f"top.k{i}") for i in range(len(keys))])
-    return ranges.join(facts, "range_id").select("range_id", "prefix", "lo", "hi", "rows", top_list.alias("hi_key"), (F.col("top") == F.col("low")).alias("one_key"), "hash_sum", "hash_xor", "files")
+    top_list = F.array(*[F.col(f"top.top_{i}") for i in range(len(keys))])
+    return ranges.join(facts, "range_id").select("range_id", "prefix", "lo", "hi", "rows", top_list.alias("hi_key"), "one_key", "hash_sum", "hash_xor", "files")
 
 
 # versions

@@ -142,3 +142,18 @@ def test_a_delta_that_dies_changes_nothing(spark, tmp_path):
     assert th.versions(spark, stats.path) == [1] and same(th.read_version(spark, stats.path), old)
     th.extract_delta(new, stats.path, ["a", "b"])
     assert same(th.read_version(spark, stats.path), new)
+
+
+def test_entries_need_no_sort_of_the_rows(spark, tmp_path):
+    """Highest keys and ranges of one key, from partial sums of the files."""
+    rows = spark.range(0, 900, 1, 3).select((F.col("id") % 30).alias("a"), (-F.col("id")).alias("b")).union(spark.createDataFrame([(99, 1)] * 200, "a long, b long"))
+    stats = th.run_extract_resumable(rows, "T", str(tmp_path), ["a", "b"], 5)
+    known = th.ledger(spark, stats.path).collect()
+    for r in known:
+        keys = [tuple(k) for k in spark.read.parquet(*[f"{stats.path}/{f}" for f in r.files]).select("a", "b").collect()]
+        assert tuple(r.hi_key) == max(keys) and r.rows == len(keys) and r.one_key == (len(set(keys)) == 1)
+    assert any(r.one_key for r in known)
+    plan = [(versions.Leaf(tuple(r.prefix), r.lo, r.hi, r.rows), i, 1) for i, r in enumerate(known)]
+    entries = versions._entries(spark, stats.path, ["a", "b"], plan, {i: r.files for i, r in enumerate(known)})
+    made = entries._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[file_" in made and "SortAggregate(key=[file_" not in made
