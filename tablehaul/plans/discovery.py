@@ -2,7 +2,8 @@
 
 Sets are searched by size. One pass of distinct-count sketches rules out single columns and, as a set has at most the product
 of its columns' distinct counts, most larger sets too; sketches of the sets left rule out those with clearly fewer
-values than rows. What remains is counted exactly, all sets of one size in one job.
+values than rows. What remains is decided exactly, all sets of one size in one job: first by the keys of some hashes, where most sets
+already repeat, then by all hashes, of which no two are equal in a key.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from tablehaul.plans.sketches import DISTINCT_ERROR, LOG_BUCKETS
 MAX_COLUMNS = 4
 # Sets whose sketches, or exact counts, are made in one pass.
 SETS_A_PASS = 64
+# One hash in so many is looked at first to refute a set.
+SCREEN = 64
 
 
 def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,22 +54,46 @@ def _estimates(rows: DataFrame, sets: list[tuple[int, ...]]) -> list[int]:
     return out
 
 
+def _repeated(rows: DataFrame, sets: list[tuple[int, ...]], share: int = 1) -> set[int]:
+    """Numbers of the sets of which two rows have equal hashes, among the hashes that ``share`` divides."""
+    hashes = F.array(*(F.struct(F.lit(n).alias("s"), F.xxhash64(*(f"c{i}" for i in s)).alias("h")) for n, s in enumerate(sets)))
+    each = rows.select(F.inline(hashes))
+    if share > 1:
+        each = each.where(F.pmod("h", F.lit(share)) == 0)
+    repeated = each.groupBy("s", "h").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return {r.s for r in repeated.select("s").distinct().collect()}
+
+
 def _unique(rows: DataFrame, sets: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
-    """The sets under which no two rows are equal, counted exactly."""
+    """The sets under which no two rows are equal, exactly.
+
+    Rows of different hashes are different, so a set without equal hashes is unique. Most sets are refuted by the keys of one hash in
+    ``SCREEN``; the hashes of the others are counted whole. Sets with equal hashes are counted by their values.
+    """
     out: list[tuple[int, ...]] = []
     for part in _passes(sets):
-        used = sorted({i for s in part for i in s})
-        names = [f"c{i}" for i in used]
-        grouped = rows.groupingSets([[F.col(f"c{i}") for i in s] for s in part], *(F.col(c) for c in names))
-        repeated = grouped.agg(F.grouping_id().alias("left_out"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-        seen = {r["left_out"] for r in repeated.select("left_out").distinct().collect()}
-        for s in part:
-            left_out = sum(1 << (len(used) - 1 - n) for n, i in enumerate(used) if i not in s)
-            if left_out not in seen:
-                out.append(s)
+        doubtful: list[tuple[int, ...]] = []
+        screened = _repeated(rows, part, SCREEN)
+        open_sets = [s for n, s in enumerate(part) if n not in screened]
+        equal = _repeated(rows, open_sets) if open_sets else set()
+        doubtful = [s for n, s in enumerate(part) if n in screened] + [s for n, s in enumerate(open_sets) if n in equal]
+        same = {s for s in doubtful if _has_copies(rows, s, s not in open_sets)}
+        out += [s for s in part if s not in same]
     return out
 
 
+def _has_copies(rows: DataFrame, key: tuple[int, ...], screened: bool) -> bool:
+    """Whether two rows have equal values, looked for where hashes are equal; a screened set's first in its part of the hashes."""
+    columns = [F.col(f"c{i}") for i in key]
+    hashed = rows.select(F.xxhash64(*columns).alias("h"), *columns)
+    for share in [SCREEN, 1] if screened else [1]:
+        some = hashed.where(F.pmod("h", F.lit(share)) == 0) if share > 1 else hashed
+        copies = some.groupBy("h", *columns).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+        if not copies.isEmpty():
+            return True
+    return False
+
+
 def discover_keys(df: DataFrame, candidates: Sequence[str] | None = None, max_columns: int = MAX_COLUMNS) -> list[list[str]]:
     """All least unique sets of at most ``max_columns`` of the candidate columns, in order of size, then of columns.
 

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR
+from tablehaul.plans import discovery
 from tablehaul.plans.discovery import discover_keys, key_uniqueness
 from tablehaul.plans.sketches import COUNT_ERROR, DISTINCT_ERROR, column_sketches, heavy_values, merge_sketches, read_sketches, sketch_columns
 
@@ -87,3 +88,16 @@ def test_sketches_of_no_rows(spark):
     empty = spark.createDataFrame([], "a int, b string")
     assert [(r["n"], r["n_null"], r["n_distinct"], r["heavy"]) for r in column_sketches(empty).collect()] in ([], [(0, 0, 0, [])] * 2)
     assert heavy_values(empty).count() == 0
+
+
+def test_near_keys_are_refuted_by_some_hashes(spark):
+    rows = spark.range(0, 20_000, 1, 4).select((F.col("id") % 19_000).alias("c0"), F.col("id").alias("c1"), (F.col("id") % 7).alias("c2"))
+    sets = [(0,), (1,), (0, 2), (1, 2)]
+    assert discovery._repeated(rows, sets, discovery.SCREEN) == {0} and discovery._unique(rows, sets) == sets[1:]
+
+
+def test_equal_hashes_are_no_equal_keys(spark, monkeypatch):
+    """Sets whose hashes meet are decided by their values."""
+    rows = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 2)], "c0 long, c1 long").repartition(2)
+    monkeypatch.setattr(discovery.F, "xxhash64", lambda *_: F.lit(0).cast("bigint"))
+    assert discovery._unique(rows, [(0,), (1,), (0, 1)]) == [(0,), (0, 1)]
