@@ -27,7 +27,7 @@ from tablehaul.sources.jdbc import (
     read_jdbc_by_key_range,
 )
 from tablehaul.sources.parquet import write_extract
-from tablehaul.sources.tables import default_partitions, partitions_are_ranges, read_by_key_range
+from tablehaul.sources.tables import default_partitions, enough_partitions, partitions_are_ranges, read_by_key_range
 
 @dataclass(frozen=True)
 class ExtractStats:
@@ -119,6 +119,7 @@ def run_extract(
     partitions turn out to be disjoint key ranges, they are kept as they are.
     ``check_keys`` also reconciles every key before the move; it does not compare other columns (``reconcile`` can).
     ``single_file`` reads and writes through one task, whatever the size: its cost is the caller's to judge.
+    ``n``: ranges at least; a table whose ranges would be too large to sort in one task gets more.
     Without ``has_text_blob`` the mark in the source's schema decides.
     """
     started = time.monotonic()
@@ -138,7 +139,7 @@ def run_extract(
     if chosen != UNKEYED and presorted and partitions_are_ranges(source, wanted, profile):
         rows = source.sortWithinPartitions(*columns(wanted))
     elif chosen != UNKEYED:
-        parts = n or default_partitions(source, profile.rows, has_text_blob)
+        parts = enough_partitions(source, n, profile.rows) if n else default_partitions(source, profile.rows, has_text_blob)
         rows = read_by_key_range(source, wanted, parts, profile)
     rows = coerce_table(rows, declared_schema, charset)
     if single_file:

@@ -52,6 +52,11 @@ def default_partitions(df: DataFrame, rows: int, has_text_blob: bool = False) ->
     return partitions_for(rows, source_bytes(df), has_text_blob, cores)
 
 
+def enough_partitions(df: DataFrame, n: int, rows: int) -> int:
+    """``n``, or as many as it takes for each to suit one task, which sorts it."""
+    return max(n, -(-rows // partition_rows(rows, source_bytes(df))))
+
+
 def split_by_plan(df: DataFrame, keys: Sequence[str], n: int, profile: KeyProfile) -> DataFrame:
     """Partition *i* holds equal-width range *i* of the leading key, sorted by all keys."""
     ids = range_id(names.column(keys[0]), profile.lo, profile.hi, n)

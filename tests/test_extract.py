@@ -11,6 +11,7 @@ from tablehaul.operators.reconcile import key_balance
 from tablehaul.operators.reconcile import reconcile as plain_reconcile
 from tablehaul.plans.catalog import mark_text_blobs
 from tablehaul.plans.profile import profile_key
+from tablehaul.sources import tables
 from tablehaul.sources.parquet import compact, write_extract
 from tablehaul.sources.tables import partitions_are_ranges, read_by_key_range
 
@@ -207,3 +208,12 @@ def test_reconcile_sees_contents_if_asked(spark, table, screen):
     assert list(plain_reconcile(orders, lost, ["s", "e"], screen=screen, content=True).first()) == [1500, 1500, 0, 150, 150]
     with pytest.raises(ValueError, match="same columns"):
         plain_reconcile(orders, orders.drop("o_totalprice"), ["s"], content=True)
+
+
+def test_ranges_of_a_large_table_suit_a_task(spark, tmp_path, monkeypatch):
+    """The number of ranges that the caller names is a least one."""
+    monkeypatch.setattr(tables, "partition_rows", lambda rows, source_bytes: 100)
+    df = spark.range(0, 1000, 1, 3).select(F.col("id").alias("k"))
+    stats = run_extract(df, "T", str(tmp_path), ["k"], 2)
+    sizes = [r["count"] for r in spark.read.parquet(stats.path).groupBy(F.col("_metadata.file_name")).count().collect()]
+    assert stats.rows == sum(sizes) == 1000 and len(sizes) >= 10 and max(sizes) <= 100
