@@ -16,7 +16,8 @@ Matches never cross texts and all are judged on the input.
    and are cut out.
 
 A hash whose different pieces exceed a bucket (the edge of a passage that very many texts
-share) is split: its windows are dealt by their own hash instead, again two for all equal ones.
+share) is split: its windows are dealt by their own hash instead, again two for all equal ones. Only texts that hold
+such pieces, and a few others, are shuffled for that.
 
 NULL text counts as empty, texts shorter than a window stay whole. Equal rows repeat each
 other. Rows are told apart by id and text, so a NULL or repeated id does no harm. Other
@@ -26,7 +27,7 @@ columns of the input play no part in ``find_repeats``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ MAX_RUN = 1024
 # Bytes looked at together when pieces are cut, and bytes sorted together.
 SLAB_BYTES = 1 << 20
 BUCKET_BYTES = 1 << 20
+# Numbers by which texts that are looked at again are told from most others, all of them broadcast at most.
+MARKS = 1 << 20
 
 
 # pieces
@@ -128,6 +131,7 @@ def pieces(rows: DataFrame, window: int, gram: int) -> DataFrame:
                         start.astype(np.int32), n.astype(np.int32), key.view(np.int64),
                         np.minimum(times, 2).astype(np.int32), content.view(np.int64),
                     )
+        texts.release()
 
     return rows.mapInArrow(task, PIECES)
 
@@ -312,8 +316,19 @@ def _sort_buckets(window: int):
 # putting it together
 
 
-def _cut_bodies(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
-    """Text of each (doc_id, tag, start, n) place, with the place's other columns; more than once if its row is repeated."""
+def _marked(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows that ``places`` name by their tag, and few others; texts are not shuffled for it. ``places`` is read once more."""
+    marks = places.select(F.pmod("tag", F.lit(MARKS)).alias("mark")).distinct()
+    return rows.join(F.broadcast(marks), F.pmod(rows.tag, F.lit(MARKS)) == marks.mark, "left_semi")
+
+
+def _cut_bodies(
+    rows: DataFrame, places: DataFrame, window: int, each: Callable | None = None, made: str | None = None
+) -> DataFrame:
+    """Text of each (doc_id, tag, start, n) place, with the place's other columns; more than once if its row is repeated.
+
+    ``each`` turns a batch of them into others, of the schema ``made``, in the same worker.
+    """
     others = [c for c in places.columns if c not in ("doc_id", "tag")]
     kinds = dict(places.dtypes)
     listed = places.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(*others)).alias("places"))
@@ -329,10 +344,11 @@ def _cut_bodies(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
         ends = begin + columns[others.index("n")].to_numpy() + window - 1
         body = memoryview(data)
         bodies = [bytes(body[i:j]) for i, j in zip(begin.tolist(), ends.tolist(), strict=True)]
-        yield texts.batch_of((*others, "body"), *columns, pa.array(bodies, pa.binary()))
+        cut = texts.batch_of((*others, "body"), *columns, pa.array(bodies, pa.binary()))
+        yield from each(cut) if each else [cut]
 
     same = rows.doc_id.eqNullSafe(listed.doc_id) & (rows.tag == listed.tag)
-    return texts.map_arrow(rows.join(listed, same).select(rows.text, "places"), run, schema, done=texts.release)
+    return texts.map_arrow(rows.join(listed, same).select(rows.text, "places"), run, made or schema)
 
 
 def _variants(shared: DataFrame) -> DataFrame:
@@ -358,10 +374,9 @@ def _windows_of(rows: DataFrame, places: DataFrame, window: int) -> DataFrame:
                 keys, np.array(inner, np.uint64).view(np.int64),
             )
 
-    bodies = _cut_bodies(rows, places.withColumn("id", F.col("doc_id")).withColumn("mark", F.col("tag")), window)
-    bodies = bodies.select("owner", "content", "times", F.col("id").alias("doc_id"), F.col("mark").alias("tag"), "start", "n", "body")
+    asked = places.select("doc_id", "tag", "owner", "content", "times", F.col("doc_id").alias("id"), F.col("tag").alias("own_tag"), "start", "n")
     schema = "owner bigint, content bigint, times int, doc_id bigint, tag bigint, start int, first int, key bigint, inner bigint"
-    return texts.map_arrow(bodies, run, schema, "body")
+    return _cut_bodies(_marked(rows, places), asked, window, run, schema)
 
 
 def find_repeats(
@@ -396,7 +411,7 @@ def find_repeats(
     alike = split.where("times > 1").withColumn("deal", F.xxhash64("key", "content"))
     places = whole_keys.unionByName(alike)
     if not large.isEmpty():
-        windows = _windows_of(long, split.drop("key"), window).dropDuplicates(["owner", "content", "first"])
+        windows = _windows_of(long, staged(split.drop("key"), "split"), window).dropDuplicates(["owner", "content", "first"])
         windows = staged(windows, "windows")
         found = shared_pieces(windows.withColumn("weight", F.lit(1)))
         two = found.groupBy("key", "inner").agg(F.sum("times").alias("sum"), F.min(F.struct("doc_id", "tag", "start")).alias("at"))

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from llm_cases import EDGE_ROWS, documents, prose, table
+from pyspark.sql import functions as F
 
 from tablehaul.llm import queries, suffixes, texts
 
@@ -99,3 +100,18 @@ def test_batches_cut_alike(monkeypatch):
         cover.append(windows)
     assert cover[0] == cover[1]
     assert set(cover[0]) == {(r, i) for r in range(4) for i in range(offsets[r + 1] - offsets[r] - 199)}
+
+
+def test_windows_need_one_worker_and_few_texts(spark):
+    """Texts without a split piece are not shuffled, and cutting a piece and its windows takes one Python worker a task."""
+    docs = documents(spark, [(i, prose(i, 60)) for i in range(500)] + [(None, prose(600, 60)), (3, prose(601, 60))])
+    rows = docs.select("doc_id", texts.tag_of("text").alias("tag"), "text")
+    places = rows.where("doc_id IN (3, 4) OR doc_id IS NULL").select(
+        "doc_id", "tag", F.lit(0).alias("start"), F.lit(2).alias("n"), F.lit(7).cast("bigint").alias("owner"),
+        F.lit(8).cast("bigint").alias("content"), F.lit(1).alias("times"),
+    )
+    few = [r.doc_id for r in suffixes._marked(rows, places).collect()]
+    assert len(few) < 10 and sorted(i for i in few if i in (3, 4)) == [3, 3, 4] and None in few
+    windows = suffixes._windows_of(rows, places, 20)
+    assert sorted((r.doc_id or 0, r.first) for r in windows.collect()) == [(0, 0), (0, 1), (3, 0), (3, 0), (3, 1), (3, 1), (4, 0), (4, 1)]
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
