@@ -1,6 +1,7 @@
 """The stages one after the other, against the brute-force versions of their operators."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import test_compression
 import test_packing
@@ -64,3 +65,13 @@ def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality rules", "simhash near-dedup", "suffix-array dedup", "benchmark decontamination", "best-fit packing",
     ]
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_batches_are_bounded_by_bytes(spark, stage):
+    """10,000 long texts in a batch would be held several times over by each task."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = documents(spark, [(i, "x" * 100_000) for i in range(200)])
+    corpus_pipeline.STAGES[stage][1](spark, docs.limit(0), SF_DIR)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n bigint").collect()
+    assert len(sizes) > 3 and max(r.n for r in sizes) <= 5 << 20
